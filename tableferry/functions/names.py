@@ -60,9 +60,9 @@ def dedup_names(names: Column | str) -> Column:
     """Make the names of one table unique, left to right.
 
     A name already taken is tried with suffixes 2, 3, … until one is free. The
-    choice depends on the names *assigned* so far, so this is a fold over the
-    array. The array holds one table's column list; for names in rows (of any
-    number per group) use :func:`tableferry.operators.naming.assign_unique_names`.
+    choice depends on the names *assigned* so far, so a rank over equal names would
+    be wrong and this is a fold over the array. The array holds one table's column
+    list, which the catalog bounds; tables are folded in parallel.
     """
 
     def step(taken: Column, base: Column) -> Column:

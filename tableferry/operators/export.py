@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.names import dedup_names, normalize_name
 from tableferry.functions.type_map import ZONED_TIMESTAMPS, source_type_name
+from tableferry.sources.storage import reads_from
 from tableferry.sources.tables import run_sql
 
 DEFAULT_SAMPLE_ROWS = 100
@@ -112,8 +113,12 @@ def storable(frame: DataFrame) -> DataFrame:
 def export_frame(frame: DataFrame, path: str) -> ExportResult:
     """Write a selection as Snappy Parquet, replacing all earlier files of ``path``.
 
-    The row count is that of the rows written, taken by the write job itself.
+    The row count is that of the rows written, taken by the write job itself. Spark
+    would delete the old files before reading them, so a path that the selection
+    reads from is refused.
     """
+    if reads_from(frame, path):
+        raise ValueError(f"the export would overwrite its own source: {path}")
     observation = Observation()
     (
         storable(frame)

@@ -28,6 +28,8 @@ SETTINGS = {
     "action": "string",
 }
 
+_LOCATION = ["stage_path", "stage_location", "namespace", "target_table"]
+
 
 @dataclass(frozen=True)
 class RunOptions:
@@ -55,25 +57,36 @@ def build_plan(
     place of the projection, load options, a proceed/skip/abort action). A table
     that cannot be planned keeps its row and says why in ``error``.
     """
+    located = _with_errors(_located(selected, options))
     records = table_records(columns, [F.lit(None).cast("string").alias("alias")])
-    plan = selected.join(records, KEY, "left").withColumn("columns", target_fields(F.col("columns")))
+    plan = located.join(records, KEY, "left").withColumn("columns", target_fields(F.col("columns")))
+    no_columns = F.when(F.col("columns").isNull(), F.lit("no columns known for the table"))
     plan = _with_settings(plan, settings)
-    database, schema, table = (F.col(k) for k in KEY)
-    path = staging_path(database, schema, table)
-    plan = plan.select(
+    return plan.select(
         F.struct("rule_pos", *KEY).alias("seq"),
         *KEY,
         "table_type",
-        qualified_name(database, schema, table).alias("table_key"),
+        "table_key",
         "columns",
         _select_sql(options).alias("select_sql"),
-        path.alias("stage_path"),
-        staging_location(options.stage_root, path).alias("stage_location"),
-        namespace_id(database, schema, options.namespace_prefix).alias("namespace"),
-        F.lower(table).alias("target_table"),
+        *_LOCATION,
         *SETTINGS,
+        F.coalesce(no_columns, "error").alias("error"),
+    )
+
+
+def _located(selected: DataFrame, options: RunOptions) -> DataFrame:
+    database, schema, table = (F.col(k) for k in KEY)
+    path = staging_path(database, schema, table)
+    return selected.withColumns(
+        {
+            "table_key": qualified_name(database, schema, table),
+            "stage_path": path,
+            "stage_location": staging_location(options.stage_root, path),
+            "namespace": namespace_id(database, schema, options.namespace_prefix),
+            "target_table": F.lower(table),
+        }
     )
-    return _with_errors(plan)
 
 
 def _with_settings(plan: DataFrame, settings: DataFrame | None) -> DataFrame:
@@ -110,22 +123,19 @@ def _select_sql(options: RunOptions) -> Column:
     return F.coalesce("override_sql", generated)
 
 
-def _with_errors(plan: DataFrame) -> DataFrame:
-    """Mark tables that cannot be planned, or whose target another table shares."""
-    target = ["namespace", "target_table"]
-    marked = plan
-    for key, flag in ((["stage_path"], "_same_path"), (target, "_same_target")):
-        shared = plan.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def _with_errors(located: DataFrame) -> DataFrame:
+    """Mark tables that cannot be moved, or whose target another table shares."""
+    marked = located
+    for key, flag in ((["stage_path"], "_same_path"), (["namespace", "target_table"], "_same_target")):
+        shared = located.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         marked = marked.join(shared.select(*key, F.lit(True).alias(flag)), key, "left")
-    parts = F.array(*KEY)
-    unusable = F.exists(parts, lambda p: p.isin("", ".", "..") | p.contains("/"))
+    unusable = F.exists(F.array(*KEY), lambda p: p.isin("", ".", "..") | p.contains("/"))
     error = (
-        F.when(F.coalesce(F.size("columns"), F.lit(0)) < 1, F.lit("no columns known for the table"))
-        .when(unusable, F.lit("a name of the table cannot be used in a path"))
+        F.when(unusable, F.lit("a name of the table cannot be used in a path"))
         .when(F.col("_same_path"), F.lit("another table is staged under the same path"))
         .when(F.col("_same_target"), F.lit("another table has the same target"))
     )
-    return marked.select(*plan.columns, error.alias("error"))
+    return marked.select(*located.columns, error.alias("error"))
 
 
 def with_source_rows(plan: DataFrame, counts: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from tableferry.operators.export import ColumnMapping, export_table
 from tableferry.operators.load import LoadOptions, load_table
 from tableferry.operators.validation import FAILED, SUCCEEDED, target_row_count
 from tableferry.plans.planning import RunOptions
+from tableferry.sources.metadata import VIEW
 from tableferry.sources.tables import SourceReader
 
 PROCEED, SKIP, ABORT = "proceed", "skip", "abort"
@@ -69,7 +70,9 @@ def migrate_table(spark: SparkSession, step: Row, source: SourceReader, options:
             options.sample_rows, step.override_sql, options.cast_zoned_timestamps,
         )
         outcome["expected_rows"] = exported.rows
-        outcome["source_rows"] = frame.count()
+        # A view is not evaluated again to count what was just exported as a whole.
+        whole = options.sample_rows is None and not step.override_sql
+        outcome["source_rows"] = exported.rows if whole and step.table_type == VIEW else frame.count()
         stage = "Load"
         load_table(
             spark, exported.path, options.target_root, step.namespace, step.target_table, load_options(step)

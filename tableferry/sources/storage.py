@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -28,6 +28,17 @@ def delete_directory(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def reads_from(frame: DataFrame, path: str) -> bool:
+    """Whether any input file of a frame lies under ``path``."""
+    fs, jpath = _resolve(frame.sparkSession, path)
+    directory = _plain(fs.makeQualified(jpath).toUri().toString()).rstrip("/") + "/"
+    return any(_plain(file).startswith(directory) for file in frame.inputFiles())
+
+
+def _plain(uri: str) -> str:
+    return uri.replace(":///", ":/")
+
+
 def scratch_directory(spark: SparkSession) -> str:
     """A fresh directory that every executor can reach.
 
