@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+from unicodedata import ucd_3_2_0
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tableferry.functions.names import dedup_names, normalize_name
+
+CASES = [
+    ("CUSTOMER_ID", "customer_id"),
+    ("customer.name", "customer_name"),
+    ("user profile email", "user_profile_email"),
+    ("order-date", "order_date"),
+    ("2nd_priority", "_2nd_priority"),
+    ("user@domain.com", "user_domain_com"),
+    ('"quoted.column"', "quoted_column"),
+    ("trailing_underscores___", "trailing_underscores"),
+    ("", "_"),
+    (None, "_"),
+    ("   ", "_"),
+    ("　\t name  ", "name"),
+    ('"', "_"),
+    ('""', "_"),
+    ('"  padded "', "padded"),
+    ('"open', "_open"),
+    ('say ""hi""', "say_hi"),
+    ("_TABLE_reserved", "_table_reserved_"),
+    ("_partition_x", "_partition_x_"),
+    ("_FILE_", "_file"),
+    ("_TABLE_", "_table"),
+    ("_TABLE__x", "_table_x_"),
+    ("Größe²", "größe²"),
+    ("²Größe", "_²größe"),
+    ("x" * 400, "x" * 300),
+    ("_file_" + "x" * 400, "_file_" + "x" * 294 + "_"),
+    ("x" * 299 + "-yz", "x" * 299 + "_"),
+]
+
+
+def normalized(spark, names):
+    frame = spark.createDataFrame(list(enumerate(names)), "i int, n string")
+    return [r.n for r in frame.select("i", normalize_name("n").alias("n")).orderBy("i").collect()]
+
+
+def plain_normalize(name: str) -> str:
+    """The naming rules restated character by character."""
+    text = name.strip()
+    if text[:1] == '"' and text[-1:] == '"':
+        text = text[1:-1]
+    text = "".join(c if c.isalnum() else "_" for c in text.strip())
+    if text and text[0] != "_" and not text[0].isalpha():
+        text = f"_{text}"
+    words = text.split("_")
+    text = "_".join([words[0], *[w for w in words[1:] if w]])[:300] if text.strip("_") else "_"
+    upper = text.upper()
+    reserved = any(upper.startswith(f"_{w}_") for w in ("TABLE", "FILE", "PARTITION"))
+    return (text + "_" if reserved else text).lower()
+
+
+def plain_dedup(names: list[str]) -> list[str]:
+    taken: list[str] = []
+    for base in names:
+        stem = "" if base == "_" else base
+        options = [base, *(f"{stem}_{k}" for k in range(2, len(names) + 2))]
+        taken.append(next(o for o in options if o not in taken))
+    return taken
+
+
+def test_normalize_cases(spark):
+    assert normalized(spark, [raw for raw, _ in CASES]) == [expected for _, expected in CASES]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.text(alphabet=st.one_of(st.sampled_from('_" \t\n.-0aBİßΣ١² 　'), st.characters(codec="utf-8", max_codepoint=0x2FFF)), max_size=40)
+        | st.builds("{}{}".format, st.sampled_from(["_table_", "_FILE_", "_Partition_", "_ta ble_"]), st.text(max_size=8)),
+        min_size=100,
+        max_size=300,
+    )
+)
+def test_normalize_agrees_with_restatement(spark, names):
+    # Only characters old enough to be in the Unicode tables of Python and of the JVM.
+    names = ["".join(c for c in n if ucd_3_2_0.category(c) not in ("Cn", "Cs")) for n in names]
+    found = normalized(spark, names)
+    assert [(n, f) for n, f in zip(names, found) if f != plain_normalize(n)] == []
+
+
+DEDUP = [
+    (["a", "a", "a_2"], ["a", "a_2", "a_2_2"]),
+    (["a_2", "a", "a"], ["a_2", "a", "a_3"]),
+    (["_", "_", "user_name", "user_name", "user_name"], ["_", "_2", "user_name", "user_name_2", "user_name_3"]),
+    (["_2", "_", "_", "_2"], ["_2", "_", "_3", "_2_2"]),
+    ([], []),
+]
+
+
+@pytest.mark.parametrize("names, expected", DEDUP)
+def test_dedup_cases(spark, names, expected):
+    frame = spark.createDataFrame([(names,)], "n array<string>")
+    assert frame.select(dedup_names("n").alias("n")).first().n == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["a", "a_2", "a_3", "a_2_2", "_", "_2", "b"]), max_size=12), min_size=50, max_size=100))
+def test_dedup_agrees_with_restatement(spark, lists):
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(lists)], "i int, n array<string>")
+    found = [r.n for r in frame.select("i", dedup_names("n").alias("n")).orderBy("i").collect()]
+    assert found == [plain_dedup(n) for n in lists]
+
+
+def test_dedup_of_a_wide_table(spark):
+    names = F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda i: F.lit("c"))
+    found = spark.range(1).select(dedup_names(names).alias("n")).first().n
+    assert found == ["c", *[f"c_{k}" for k in range(2, 1501)]]

@@ -1,0 +1,25 @@
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as contract
+import oracle
+
+from conftest import SF_DIR
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return oracle.connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_agrees_with_sql(spark, connection, name):
+    found = oracle.spark_rows(contract.queries()[name](spark, SF_DIR))
+    assert found == oracle.oracle_rows(connection, contract.oracle_sql()[name])
+    assert found[1]
+
+
+def test_entry(spark):
+    row = contract.entry(spark).collect()
+    assert [tuple(r) for r in row] == [("WH.PUBLIC.LINEITEM", 6000, 6000, 6000, "succeeded")]
