@@ -16,7 +16,7 @@ from tableferry.operators.load import (
     read_table,
     table_name,
 )
-from tableferry.operators.validation import target_row_count
+from tableferry.operators.validation import row_counts, target_row_count
 from tableferry.sources.tables import run_sql
 
 TABLE = "moved"
@@ -120,14 +120,15 @@ def sample_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sample_first",
-    """SELECT least(100, count(*)) AS sampled, least(100, count(*)) AS in_source FROM documents""",
+    """SELECT what, least(100, n) AS rows FROM (SELECT count(*) AS n FROM documents)
+       CROSS JOIN (VALUES ('sampled'), ('in_source')) AS w (what)""",
 )
 def sample_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The unordered sample: its size, and how many of its rows are rows of the source."""
+    """The unordered sample: its size, and how many rows of the source it holds."""
     documents = table(spark, sf_dir, "documents")
     sample = spark.read.parquet(exported(documents, sample_rows=100))
-    known = sample.join(documents, documents.columns, "left_semi")
-    return sample.agg(F.count(F.lit(1)).alias("sampled")).join(known.agg(F.count(F.lit(1)).alias("in_source")))
+    known = documents.join(sample, documents.columns, "left_semi")
+    return row_counts({"sampled": sample, "in_source": known}).withColumnRenamed("table_key", "what")
 
 
 # --- loads ----------------------------------------------------------------------------

@@ -44,6 +44,9 @@ def normalize_name(name: Column | str) -> Column:
     # A lone double quote counts as an enclosing pair around nothing.
     text = strip_whitespace(F.regexp_replace(text, r'(?s)\A"(?:(.*)")?\z', "$1"))
     text = F.regexp_replace(text, r"[^\p{L}\p{N}]+", "_")
+    # No two `_` are adjacent now, so one spare character covers the one that may be
+    # trimmed below: the later steps need not carry a long text along.
+    text = F.substring(text, 1, MAX_NAME_LENGTH + 1)
     text = F.regexp_replace(text, r"\A(?=[^\p{L}_])", "_")
     text = F.substring(F.rtrim(text, F.lit("_")), 1, MAX_NAME_LENGTH)
     text = F.regexp_replace(text, r"\A\z", "_")

@@ -23,7 +23,10 @@ MODES = ("NULLABLE", "REQUIRED", "REPEATED")
 MAX_CLUSTER_FIELDS = 4
 
 GENERATED_PREFIX = "__p_"
-BYTES_PER_FILE = 256 * 1024 * 1024
+MIB = 1024 * 1024
+BYTES_PER_TASK = 256 * MIB
+SMALL_TABLE_TASKS = 8
+MAX_TASKS = 50_000
 POSITION = GENERATED_PREFIX + "position"
 
 _PARTITION_FIELD = "tableferry.partition_field"
@@ -156,8 +159,9 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     """Distribute rows for the write.
 
     Without options the scan is written as it is, without a shuffle. Partitioning
-    alone rebalances by partition: AQE splits a partition that holds far more rows
-    than the others, whatever its rows look like. Clustering sorts globally by
+    alone rebalances by partition, over enough tasks that few partitions share one:
+    AQE splits a partition that holds far more rows than the others, whatever its
+    rows look like, and merges small ones. Clustering sorts globally by
     (partition, cluster fields); the row's position in the staged files breaks
     ties, so that equal keys, even whole copies, spread over many tasks.
     """
@@ -167,17 +171,28 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
         key = partition_key(F.col(quoted(options.partition_field)), options.partition_unit)
         frame = frame.withColumn(name, key)
         part = [name]
+    tasks = shuffle_tasks(staged_bytes)
     if not options.cluster_fields:
-        return frame.hint("rebalance", *part) if part else frame
+        return frame.hint("rebalance", tasks, *part) if part else frame
     keys = [F.col(quoted(c)) for c in [*part, *options.cluster_fields]]
-    files = max(1, math.ceil(staged_bytes / BYTES_PER_FILE))
     return (
-        frame.repartitionByRange(files, *keys, F.col(POSITION))
+        frame.repartitionByRange(tasks, *keys, F.col(POSITION))
         .sortWithinPartitions(*keys)
         .drop(POSITION)
     )
 
 
+def shuffle_tasks(staged_bytes: int) -> int:
+    """One task per 256 MiB of staged files, up to what a shuffle can bear.
+
+    A small table still gets a few tasks. Beyond the maximum the tasks grow, and
+    sort with spilling.
+    """
+    small = min(SMALL_TABLE_TASKS, math.ceil(staged_bytes / MIB))
+    large = min(MAX_TASKS, math.ceil(staged_bytes / BYTES_PER_TASK))
+    return max(1, small, large)
+
+
 # --- target tables --------------------------------------------------------------------
 
 
@@ -205,17 +220,16 @@ def load_table(
     """
     create_namespace(spark, namespace, target_root)
     staged = spark.read.parquet(staged_path)
-    carry, staged_bytes = [], 0
+    carry = []
     if options.cluster_fields:
         position = F.struct("_metadata.file_name", "_metadata.row_index").alias(POSITION)
-        staged = staged.select("*", position)
-        carry, staged_bytes = [POSITION], directory_bytes(spark, staged_path)
+        staged, carry = staged.select("*", position), [POSITION]
     frame = staged
     if options.custom_schema is not None:
         frame = enforce_schema(staged, options.custom_schema, carry)
     check_options(frame.drop(POSITION).schema, options)
 
-    laid_out = lay_out(frame, options, staged_bytes)
+    laid_out = lay_out(frame, options, directory_bytes(spark, staged_path))
     part = [generated_column(options.partition_unit)] if options.partition_field else []
     location = f"{target_root.rstrip('/')}/{namespace}/{table}/v-{uuid.uuid4().hex}"
     observation = Observation()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.functions.names import dedup_names, normalize_name
@@ -11,41 +11,33 @@ from tableferry.functions.type_map import DEFAULT_LOGICAL, TEMPORAL_TYPES, logic
 from tableferry.operators.selection import table_records
 
 
-def target_fields(columns: Column) -> Column:
-    """Add target ``name`` and ``logical_type`` to each element of a record's columns.
+def target_records(columns: DataFrame) -> DataFrame:
+    """One row per table: KEY and its target fields ``columns`` in ordinal order.
 
-    An element's ``alias`` (an output name of a user's SELECT), when it has one, wins
-    over its column name; a column without either is ``column_<position>``.
+    ``columns`` are metadata rows. An ``alias`` (an output name of a user's SELECT),
+    where there is one, wins over the column name; a column without either is
+    ``column_<position>``. Names and types are worked out on the flat rows, only the
+    de-duplication needs a table's columns together.
     """
-    names = dedup_names(
-        F.transform(
-            columns,
-            lambda c, i: normalize_name(
-                F.coalesce(c["alias"], c["column_name"], F.concat(F.lit("column_"), i.cast("string")))
-            ),
-        )
+    source = F.coalesce("alias", "column_name") if "alias" in columns.columns else F.col("column_name")
+    extra = [
+        F.when(source.isNotNull(), normalize_name(source)).alias("name"),
+        logical_type(F.coalesce("data_type", F.lit(DEFAULT_LOGICAL))).alias("logical_type"),
+    ]
+    records = table_records(columns, extra)
+    numbered = F.transform(
+        "columns",
+        lambda c, i: F.coalesce(c["name"], F.concat(F.lit("column_"), i.cast("string"))),
     )
     # Zipped, so that the fold over the names runs once per table.
-    return F.transform(
-        F.arrays_zip(columns.alias("column"), names.alias("name")),
-        lambda z: F.struct(
-            z["column"]["ordinal"].alias("ordinal"),
-            z["column"]["column_name"].alias("column_name"),
-            z["column"]["data_type"].alias("data_type"),
-            z["name"].alias("name"),
-            logical_type(F.coalesce(z["column"]["data_type"], F.lit(DEFAULT_LOGICAL))).alias("logical_type"),
-        ),
-    )
+    zipped = F.arrays_zip(F.col("columns").alias("column"), dedup_names(numbered).alias("name"))
+    fields = F.transform(zipped, lambda z: z["column"].withField("name", z["name"]))
+    return records.select(*KEY, fields.alias("columns"))
 
 
 def infer_schema(columns: DataFrame) -> DataFrame:
-    """``KEY, ordinal, source_name, name, type, mode`` of every target column.
-
-    ``columns`` are metadata rows; an optional ``alias`` column carries output names.
-    """
-    alias = F.col("alias") if "alias" in columns.columns else F.lit(None).cast("string")
-    records = table_records(columns, [alias.alias("alias")])
-    return records.select(*KEY, F.explode(target_fields(F.col("columns"))).alias("f")).select(
+    """``KEY, ordinal, source_name, name, type, mode`` of every target column."""
+    return target_records(columns).select(*KEY, F.explode("columns").alias("f")).select(
         *KEY,
         F.col("f.ordinal").alias("ordinal"),
         F.col("f.column_name").alias("source_name"),

@@ -16,8 +16,7 @@ from tableferry.functions.paths import (
     staging_path,
 )
 from tableferry.functions.type_map import ZONED_TIMESTAMPS
-from tableferry.operators.selection import table_records
-from tableferry.plans.inference import target_fields
+from tableferry.plans.inference import target_records
 
 SETTINGS = {
     "override_sql": "string",
@@ -58,8 +57,7 @@ def build_plan(
     that cannot be planned keeps its row and says why in ``error``.
     """
     located = _with_errors(_located(selected, options))
-    records = table_records(columns, [F.lit(None).cast("string").alias("alias")])
-    plan = located.join(records, KEY, "left").withColumn("columns", target_fields(F.col("columns")))
+    plan = located.join(target_records(columns), KEY, "left")
     no_columns = F.when(F.col("columns").isNull(), F.lit("no columns known for the table"))
     plan = _with_settings(plan, settings)
     return plan.select(

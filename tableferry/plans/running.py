@@ -140,7 +140,7 @@ def _run_steps(
     def flush() -> None:
         if finished:
             rows = [tuple(outcome.get(name) for name in OUTCOME_COLUMNS) for outcome in finished]
-            _append(spark.createDataFrame(rows, OUTCOME_SCHEMA), manifest)
+            _append(spark.createDataFrame(rows, OUTCOME_SCHEMA).coalesce(1), manifest)
             finished.clear()
 
     def migrate(step: Row) -> dict:

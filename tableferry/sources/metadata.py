@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,12 +107,18 @@ def catalog_metadata(spark: SparkSession, schemas: Iterable[str] | None = None)
     """
     catalog = spark.catalog.currentCatalog()
     schemas = list(schemas) if schemas is not None else [d.name for d in spark.catalog.listDatabases()]
-    names, entries = {}, []
+    names, entries, unlisted = {}, [], []
     for schema in schemas:
-        for table in spark.catalog.listTables(schema):
+        try:
+            listed = spark.catalog.listTables(schema)
+        except Exception as error:  # one broken schema must not hide the others
+            unlisted.append((catalog.upper(), schema.upper(), None, str(error).splitlines()[0]))
+            continue
+        for table in listed:
             if table.isTemporary:
                 continue
             key = (catalog.upper(), schema.upper(), table.name.upper())
             names[key] = f"`{schema}`.`{table.name}`"
             entries.append((key, VIEW if table.tableType == "VIEW" else BASE_TABLE))
-    return schema_metadata(spark, entries, lambda key: spark.table(names[key]).schema)
+    found = schema_metadata(spark, entries, lambda key: spark.table(names[key]).schema)
+    return replace(found, errors=found.errors.union(spark.createDataFrame(unlisted, ERRORS_SCHEMA)))

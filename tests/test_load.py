@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tableferry.operators import load
 from tableferry.operators.load import (
-    BYTES_PER_FILE,
+    BYTES_PER_TASK,
     POSITION,
     LoadOptions,
     check_options,
@@ -159,7 +159,7 @@ def test_hot_partition_is_split(spark, lineitem, tmp_path):
     lineitem.withColumn("l_shipdate", F.lit("2000-01-01").cast("timestamp_ntz")).repartition(8).write.parquet(staged)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "30KB")
     try:
-        frame = lay_out(spark.read.parquet(staged), LoadOptions(partition_field="l_shipdate"), 0)
+        frame = lay_out(spark.read.parquet(staged), LoadOptions(partition_field="l_shipdate"), 4 * BYTES_PER_TASK)
         frame.write.partitionBy("__p_day").parquet(str(tmp_path / "out"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
@@ -168,11 +168,17 @@ def test_hot_partition_is_split(spark, lineitem, tmp_path):
 
 def test_copies_of_one_row_are_split_by_clustering(spark, lineitem, tmp_path):
     staged = str(tmp_path / "stage")
-    lineitem.limit(1).join(spark.range(20000)).drop("id").repartition(4).write.parquet(staged)
+    copies = lineitem.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20000)))).drop("n")
+    copies.repartition(4).write.parquet(staged)
     position = F.struct("_metadata.file_name", "_metadata.row_index").alias(POSITION)
-    frame = lay_out(spark.read.parquet(staged).select("*", position), LoadOptions(cluster_fields=("l_suppkey",)), 4 * BYTES_PER_FILE)
+    frame = lay_out(spark.read.parquet(staged).select("*", position), LoadOptions(cluster_fields=("l_suppkey",)), 10 * BYTES_PER_TASK)
     sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+    assert len(sizes) == 10 and max(sizes) < 2 * min(sizes)
+
+
+def test_tasks_grow_with_the_staged_bytes():
+    sizes = [0, 3 * load.MIB, 100 * load.MIB, 100 * BYTES_PER_TASK, 10**6 * BYTES_PER_TASK]
+    assert [load.shuffle_tasks(s) for s in sizes] == [1, 3, 8, 100, load.MAX_TASKS]
 
 
 # --- tables ---------------------------------------------------------------------------

@@ -91,7 +91,8 @@ def test_catalog_metadata(spark, namespace, tmp_path):
     spark.sql(f"CREATE DATABASE {namespace} LOCATION '{tmp_path}/db'")
     spark.range(3).write.option("path", f"{tmp_path}/t").saveAsTable(f"{namespace}.t")
     spark.sql(f"CREATE VIEW {namespace}.v AS SELECT id, timestamp '2024-01-01' AS at FROM {namespace}.t")
-    found = catalog_metadata(spark, [namespace])
+    found = catalog_metadata(spark, ["no_such_schema", namespace])
+    assert [(r.schema, r.table) for r in found.errors.collect()] == [("NO_SUCH_SCHEMA", None)]
     assert {(r.table, r.table_type) for r in found.tables.collect()} == {("T", "BASE TABLE"), ("V", "VIEW")}
     record = table_records(found.columns).where("table = 'V'").first()
     assert [(c.column_name, c.data_type) for c in record["columns"]] == [("id", "BIGINT"), ("at", "TIMESTAMP_LTZ")]
