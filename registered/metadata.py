@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registered import warehouse
-from registered.registry import TABLES, query, table, table_paths
+from registered.registry import TABLES, query, run_options, table, table_paths
 from registered.warehouse import COLUMNS_SQL
 from tableferry.functions.paths import KEY
+from tableferry.functions.type_map import logical_type
+from tableferry.operators.load import create_external_table
 from tableferry.operators.selection import (
     in_listing_order,
     list_columns,
@@ -17,8 +19,10 @@ from tableferry.operators.selection import (
     table_records,
 )
 from tableferry.operators.validation import row_counts
-from tableferry.sources.metadata import information_schema, parquet_metadata
-from tableferry.sources.rules import make_rules, split_rules
+from tableferry.sources.metadata import catalog_metadata, information_schema, parquet_metadata
+from tableferry.sources.rules import make_rules, read_rules, split_rules
+from tableferry.sources.storage import scratch_directory
+from tableferry.sources.tables import catalog_source
 
 _NAMES = ", ".join(f"'{t}'" for t in TABLES)
 ROW_COUNTS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in TABLES)
@@ -40,6 +44,34 @@ def inventory_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CATALOGED = ["customer", "orders", "lineitem", "embeddings"]
+
+
+@query(
+    "inventory_catalog",
+    f"""SELECT c.table_name || '_external' AS table_name, c.column_name, CAST(c.ordinal_position AS INTEGER) AS ordinal,
+               CASE WHEN c.data_type LIKE '%[]' THEN 'JSON' WHEN c.data_type IN ('BIGINT', 'INTEGER') THEN 'INTEGER'
+                    WHEN c.data_type = 'DOUBLE' THEN 'FLOAT64' WHEN c.data_type = 'VARCHAR' THEN 'STRING'
+                    ELSE 'TIMESTAMP' END AS type, r.n AS source_rows
+        FROM information_schema.columns c JOIN ({ROW_COUNTS_SQL}) r ON c.table_name = r.t
+        WHERE c.table_name IN ({", ".join(f"'{t}'" for t in _CATALOGED)})""",
+)
+def inventory_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns, logical types and row counts of tables found in the session catalog."""
+    options = run_options(spark)
+    namespace = f"{options.namespace_prefix}catalog"
+    for name in _CATALOGED:
+        staged = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        create_external_table(spark, staged, options.target_root, namespace, name)
+    found = catalog_metadata(spark, [namespace])
+    read = catalog_source(spark)
+    counts = row_counts({f"{t}_external": read("", namespace, f"{t}_external") for t in _CATALOGED})
+    columns = list_columns(found).withColumn("table_name", F.lower("table"))
+    return columns.join(counts.withColumnRenamed("table_key", "table_name"), "table_name").select(
+        "table_name", "column_name", "ordinal", logical_type("data_type").alias("type"), F.col("rows").alias("source_rows")
+    )
+
+
 RULES = [
     {"database": "db0", "schema": "public", "exclude_table_like": ["tmp_%", "%_TEMP", ""]},
     {"database": "DB1", "exclude_schema_like": ["%tmp%", "raw-%"], "with_views": True},
@@ -80,7 +112,7 @@ def inventory_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE coalesce(db, '') = '' OR (coalesce(tab, '') <> '' AND coalesce(sch, '') = '')""",
 )
 def rejected_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation of one rule per customer, some without database or schema."""
+    """Validation of a JSON rule file with one rule per customer, some incomplete."""
     unset = F.lit(None).cast("array<string>")
     rules = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("rule_idx"),
@@ -91,7 +123,9 @@ def rejected_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         unset.alias("exclude_table_like"),
         F.lit(False).alias("with_views"),
     )
-    _, rejected = split_rules(rules)
+    path = f"{scratch_directory(spark)}/rules"
+    rules.write.json(path)
+    _, rejected = split_rules(read_rules(spark, path))
     return rejected.select(F.concat(F.lit("rule_"), F.col("rule_idx")).alias("rule"), "reject_reason")
 
 

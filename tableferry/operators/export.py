@@ -14,6 +14,7 @@ from tableferry.functions.type_map import ZONED_TIMESTAMPS, source_type_name
 from tableferry.sources.storage import reads_from
 from tableferry.sources.tables import run_sql
 
+# Fixed value: rows of a sample unless told otherwise.
 DEFAULT_SAMPLE_ROWS = 100
 
 # Spark types without a Parquet form; they are written as text.
@@ -80,7 +81,7 @@ def custom_selection(spark: SparkSession, select_sql: str, source: DataFrame) ->
     return selected.toDF(*target_names(spark, selected.columns))
 
 
-def first_rows(source: DataFrame, n: int) -> DataFrame:
+def first_rows(source: DataFrame, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
     """The first ``n`` rows in no particular order.
 
     Over files, a small incremental job finds the files that hold ``n`` rows and
@@ -95,7 +96,7 @@ def first_rows(source: DataFrame, n: int) -> DataFrame:
     return source.where(F.col("_metadata.file_path").isin(sorted(files))).limit(n)
 
 
-def ordered_sample(source: DataFrame, n: int) -> DataFrame:
+def ordered_sample(source: DataFrame, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
     """A reproducible sample: the ``n`` smallest rows by all columns."""
     return source.orderBy(*[F.col(quoted(c)) for c in source.columns]).limit(n)
 

@@ -6,7 +6,7 @@ import json
 import math
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tableferry.functions.type_map import SPARK_TYPES, TEMPORAL_TYPES, logical_name
 from tableferry.operators.export import quoted
-from tableferry.sources.storage import delete_directory, directory_bytes
+from tableferry.sources.storage import delete_directory, directory_bytes, qualified
 
 # Partition units, field modes and the largest number of cluster fields.
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
@@ -116,8 +116,11 @@ def enforce_schema(
 # --- layout ---------------------------------------------------------------------------
 
 
-def check_options(schema: T.StructType, options: LoadOptions) -> None:
-    """Reject layout options that do not fit the effective schema."""
+def check_options(schema: T.StructType, options: LoadOptions) -> LoadOptions:
+    """Reject layout options that do not fit the effective schema.
+
+    Returns them with the field names spelled as in the schema.
+    """
     by_name = {f.name.lower(): f for f in schema.fields}
     generated = [f.name for f in schema.fields if f.name.lower().startswith(GENERATED_PREFIX)]
     if generated:
@@ -136,6 +139,8 @@ def check_options(schema: T.StructType, options: LoadOptions) -> None:
     missing = [c for c in options.cluster_fields if c.lower() not in by_name]
     if missing:
         raise ValueError(f"cluster fields not in the table: {missing}")
+    spelled = options.partition_field and by_name[options.partition_field.lower()].name
+    return replace(options, partition_field=spelled, cluster_fields=tuple(by_name[c].name for c in clusters))
 
 
 def generated_column(unit: str) -> str:
@@ -227,7 +232,7 @@ def load_table(
     frame = staged
     if options.custom_schema is not None:
         frame = enforce_schema(staged, options.custom_schema, carry)
-    check_options(frame.drop(POSITION).schema, options)
+    options = check_options(frame.drop(POSITION).schema, options)
 
     laid_out = lay_out(frame, options, directory_bytes(spark, staged_path))
     part = [generated_column(options.partition_unit)] if options.partition_field else []
@@ -278,8 +283,8 @@ def _swap(
         spark.sql(f"DROP TABLE IF EXISTS {incoming}")
         raise
     # Only a version directory that an earlier load made is removed.
-    versions = location.rsplit("/", 1)[0]
-    if previous and f"{versions.split(':', 1)[-1]}/v-" in previous:
+    versions = qualified(spark, location.rsplit("/", 1)[0])
+    if previous and qualified(spark, previous).startswith(f"{versions}/v-"):
         delete_directory(spark, previous)
 
 

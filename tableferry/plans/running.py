@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from itertools import islice
@@ -143,9 +144,12 @@ def _run_steps(
             _append(spark.createDataFrame(rows, OUTCOME_SCHEMA).coalesce(1), manifest)
             finished.clear()
 
+    tag = f"tableferry-{uuid.uuid4().hex}"
+
     def migrate(step: Row) -> dict:
         # One FAIR pool per worker thread keeps a huge table from starving the others.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", current_thread().name)
+        spark.sparkContext.addJobTag(tag)
         return migrate_table(spark, step, source, options)
 
     with ThreadPoolExecutor(options.max_parallel, "tableferry") as pool:
@@ -158,6 +162,9 @@ def _run_steps(
                 if len(finished) >= _OUTCOMES_PER_WRITE:
                     flush()
                 pending |= {pool.submit(target, s) for s in islice(steps, len(done))}
+        except KeyboardInterrupt:
+            spark.sparkContext.cancelJobsWithTag(tag)
+            raise
         finally:
             flush()
 

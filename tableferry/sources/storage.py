@@ -13,9 +13,10 @@ def _resolve(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, without a trailing slash, in one spelling."""
     fs, jpath = _resolve(spark, path)
-    return fs.exists(jpath)
+    return _plain(fs.makeQualified(jpath).toUri().toString()).rstrip("/")
 
 
 def directory_bytes(spark: SparkSession, path: str) -> int:
@@ -30,8 +31,7 @@ def delete_directory(spark: SparkSession, path: str) -> None:
 
 def reads_from(frame: DataFrame, path: str) -> bool:
     """Whether any input file of a frame lies under ``path``."""
-    fs, jpath = _resolve(frame.sparkSession, path)
-    directory = _plain(fs.makeQualified(jpath).toUri().toString()).rstrip("/") + "/"
+    directory = qualified(frame.sparkSession, path) + "/"
     return any(_plain(file).startswith(directory) for file in frame.inputFiles())
 
 

@@ -134,6 +134,8 @@ def test_bad_layouts(options):
 
 
 def test_good_layouts():
+    found = check_options(SCHEMA, LoadOptions(partition_field="TS", cluster_fields=("S", "K")))
+    assert (found.partition_field, found.cluster_fields) == ("ts", ("s", "k"))
     for field, unit in [("ts", "HOUR"), ("AT", "DAY"), ("day", "MONTH"), ("day", "YEAR")]:
         check_options(SCHEMA, LoadOptions(partition_field=field, partition_unit=unit, cluster_fields=("k", "S")))
     with pytest.raises(ValueError, match="reserved"):
@@ -199,7 +201,7 @@ def test_partitioned_and_clustered_load(spark, lineitem, staged, namespace, tmp_
 
 def test_range_reads_only_its_partitions(spark, events, staged, namespace, tmp_path):
     late = events.where("ts >= '2024-01-10 06:00:00' AND ts < '2024-01-12'")
-    load_table(spark, staged(events), str(tmp_path), namespace, "t", LoadOptions(partition_field="ts"))
+    load_table(spark, staged(events), str(tmp_path), namespace, "t", LoadOptions(partition_field="TS"))
     found = read_partitioned(spark, namespace, "t", datetime.datetime(2024, 1, 10, 6), datetime.datetime(2024, 1, 12))
     assert found.exceptAll(late).isEmpty() and found.count() == late.count()
     days = {p.split("__p_day=")[1][:8] for p in found.inputFiles()}

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +113,28 @@ def test_interrupt_keeps_finished_outcomes_and_resume_does_the_rest(spark, optio
     assert resumed == dict.fromkeys(["ORDERS", "PART", "REGION"], ("succeeded", None))
 
 
+def test_interrupt_cancels_the_jobs_of_other_tables(spark, options):
+    options = RunOptions(**{**options.__dict__, "max_parallel": 2})
+    reader = parquet_source(spark, PATHS)
+
+    def slow(frame):
+        # Minutes of work for few rows, unless it is cancelled.
+        for name in ("i", "j"):
+            frame = frame.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(30_000))))
+        return frame.where("i * j < 0").drop("i", "j")
+
+    def source(database, schema, table):
+        if table == "NATION":
+            time.sleep(2)
+            raise KeyboardInterrupt
+        return slow(reader(database, schema, table)) if table == "CUSTOMER" else reader(database, schema, table)
+
+    started = time.monotonic()
+    found = statuses(run(spark, plan_for(spark, options), source, options, "r"))
+    assert time.monotonic() - started < 45
+    assert set(found.values()) == {("failed", "Aborted by user (Ctrl+C)")}
+
+
 def test_time_zone_must_be_the_declared_one(spark, options):
     options = RunOptions(**{**options.__dict__, "session_tz": "Europe/Berlin"})
     with pytest.raises(ValueError, match="time zone"):
