@@ -15,6 +15,7 @@ from tableferry.plans import planning, running
 from tableferry.plans.planning import RunOptions, build_plan
 from tableferry.sources.metadata import parquet_metadata
 from tableferry.sources.rules import make_rules, rules_from_manifest
+from tableferry.sources.storage import delete_directory
 from tableferry.sources.tables import parquet_source
 
 
@@ -169,6 +170,19 @@ def _setting(name: str, **values) -> dict:
     return {"database": "WH", "schema": "PUBLIC", "table": name, **values}
 
 
+def _run(spark: SparkSession, plan: DataFrame, sf_dir: str, options: RunOptions, run_id: str = "run") -> DataFrame:
+    """The outcomes of a run; the copies of the tables are not kept."""
+    outcomes = running.run(spark, plan, parquet_source(spark, table_paths(sf_dir)), options, run_id)
+    _discard_copies(spark, options)
+    return outcomes
+
+
+def _discard_copies(spark: SparkSession, options: RunOptions) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS {options.namespace_prefix}wh_public CASCADE")
+    delete_directory(spark, options.stage_root)
+    delete_directory(spark, options.target_root)
+
+
 @query(
     "migrate_table",
     """SELECT 'WH.PUBLIC.LINEITEM' AS table_key, count(*) AS source_rows, count(*) AS expected_rows,
@@ -179,7 +193,7 @@ def migrate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = run_options(spark)
     layout = _setting("LINEITEM", partition_field="l_shipdate", partition_unit="MONTH", cluster_fields=["l_suppkey"])
     plan = _plan(spark, sf_dir, ["lineitem"], options, _settings(spark, [layout]))
-    outcomes = running.run(spark, plan, parquet_source(spark, table_paths(sf_dir)), options, "run")
+    outcomes = _run(spark, plan, sf_dir, options)
     return outcomes.select("table_key", "source_rows", "expected_rows", "target_rows", "status")
 
 
@@ -195,12 +209,12 @@ FROM ({ROW_COUNTS_SQL})"""
 @query("run_outcomes", _RUN_SQL)
 def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch over all test tables in which one export and one load fail and one table is skipped."""
-    outcomes = _run_all(spark, sf_dir)[0]
+    outcomes, _ = _run_all(spark, sf_dir)
     stage = F.regexp_extract("error", "^(Export failed|Load failed|Skipped by user)", 1)
     return outcomes.select("table_key", "status", F.when(stage != "", stage).alias("error"), "source_rows", "target_rows")
 
 
-def _run_all(spark: SparkSession, sf_dir: str):
+def _run_all(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, RunOptions]:
     options = run_options(spark, max_parallel=4)
     settings = _settings(
         spark,
@@ -211,9 +225,7 @@ def _run_all(spark: SparkSession, sf_dir: str):
             _setting("ORDERS", override_sql="SELECT * FROM {source} WHERE o_orderstatus = 'O'"),
         ],
     )
-    plan = _plan(spark, sf_dir, TABLES, options, settings)
-    source = parquet_source(spark, table_paths(sf_dir))
-    return running.run(spark, plan, source, options, "first"), options, source
+    return _run(spark, _plan(spark, sf_dir, TABLES, options, settings), sf_dir, options, "first"), options
 
 
 @query(
@@ -223,12 +235,14 @@ def _run_all(spark: SparkSession, sf_dir: str):
 )
 def resume_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failed tables of a batch, selected from its manifest and run again with mended settings."""
-    _, options, source = _run_all(spark, sf_dir)
+    _, options = _run_all(spark, sf_dir)
     manifest = f"{options.manifest_root}/first"
     rules = rules_from_manifest(running.read_outcomes(spark, manifest, running.FAILED))
     found = parquet_metadata(spark, table_paths(sf_dir))
     plan = build_plan(select_tables(rules, found.tables), found.columns, options)
+    source = parquet_source(spark, table_paths(sf_dir))
     outcomes = running.resume(spark, plan, source, options, "second", "first")
+    _discard_copies(spark, options)
     return outcomes.select("table_key", "target_rows", "status")
 
 
@@ -253,7 +267,7 @@ def reconcile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled tables compare with the rows of the sample, not of the whole table."""
     options = run_options(spark, sample_rows=100, max_parallel=4)
     plan = _plan(spark, sf_dir, ["region", "lineitem", "documents", "events"], options)
-    outcomes = running.run(spark, plan, parquet_source(spark, table_paths(sf_dir)), options, "run")
+    outcomes = _run(spark, plan, sf_dir, options)
     return outcomes.select("table_key", "source_rows", "expected_rows", "target_rows", "status")
 
 

@@ -17,6 +17,7 @@ from tableferry.operators.load import (
     table_name,
 )
 from tableferry.operators.validation import row_counts, target_row_count
+from tableferry.sources.storage import delete_directory
 from tableferry.sources.tables import run_sql
 
 TABLE = "moved"
@@ -33,7 +34,9 @@ def loaded(source: DataFrame, layout: LoadOptions = LoadOptions()) -> tuple[Spar
     spark = source.sparkSession
     options = run_options(spark)
     namespace = f"{options.namespace_prefix}wh_public"
-    load_table(spark, exported(source), options.target_root, namespace, TABLE, layout)
+    staged = exported(source)
+    load_table(spark, staged, options.target_root, namespace, TABLE, layout)
+    delete_directory(spark, staged)
     return spark, namespace, TABLE
 
 
@@ -275,4 +278,5 @@ def load_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = LoadOptions(partition_field="o_orderdate", partition_unit="YEAR")
     load_table(spark, orders, options.target_root, *target, layout)
     load_table(spark, exported(parts), options.target_root, *target, LoadOptions(cluster_fields=("p_brand",)))
+    delete_directory(spark, orders)
     return read_table(spark, *target).withColumn("rows_before", F.lit(before))

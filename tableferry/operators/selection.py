@@ -34,7 +34,7 @@ def select_tables(rules: DataFrame, tables: DataFrame) -> DataFrame:
 def _rule_matches() -> Column:
     def equals_if_set(name: str) -> Column:
         value = F.upper(f"r.{name}")
-        return F.coalesce(value, F.lit("")).isin("") | (F.col(f"t.{name}") == value)
+        return (F.coalesce(value, F.lit("")) == "") | (F.col(f"t.{name}") == value)
 
     def not_like_any(name: str, patterns: str) -> Column:
         # A backslash in a pattern is an ordinary character, not an escape.

@@ -43,6 +43,11 @@ class RunOptions:
     session_tz: str = "UTC"
     max_parallel: int = 1
 
+    def __post_init__(self) -> None:
+        for name in ("stage_root", "target_root", "manifest_root"):
+            if not getattr(self, name):
+                raise ValueError(f"{name} is required")
+
 
 def build_plan(
     selected: DataFrame,
@@ -88,12 +93,15 @@ def _located(selected: DataFrame, options: RunOptions) -> DataFrame:
 
 
 def _with_settings(plan: DataFrame, settings: DataFrame | None) -> DataFrame:
-    given = set(settings.columns) if settings is not None else set()
+    given = [c for c in SETTINGS if settings is not None and c in settings.columns]
     if settings is not None:
-        plan = plan.join(settings.select(*KEY, *[c for c in SETTINGS if c in given]), KEY, "left")
-    return plan.withColumns(
-        {c: F.lit(None).cast(kind) for c, kind in SETTINGS.items() if c not in given}
-    )
+        # One row per table whatever is given, so that no table is planned twice.
+        per_table = settings.groupBy(*KEY).agg(
+            *[F.first(c).alias(c) for c in given], F.count(F.lit(1)).alias("_given")
+        )
+        repeated = F.when(F.col("_given") > 1, F.lit("settings of the table are given more than once"))
+        plan = plan.join(per_table, KEY, "left").withColumn("error", F.coalesce("error", repeated))
+    return plan.withColumns({c: F.lit(None).cast(kind) for c, kind in SETTINGS.items() if c not in given})
 
 
 def _quoted(name: Column) -> Column:

@@ -196,6 +196,17 @@ def test_plan_keeps_tables_it_cannot_plan(spark):
     }
 
 
+def test_settings_given_twice_are_an_error(spark, options):
+    plan = plan_for(spark, options, {"table": "PART", "action": "skip"}, {"table": "PART"}, {"table": "ORDERS"})
+    errors = {r.table: r.error for r in plan.collect()}
+    assert errors == {**dict.fromkeys(NAMES), "PART": "settings of the table are given more than once"}
+
+
+def test_roots_are_required():
+    with pytest.raises(ValueError, match="target_root is required"):
+        RunOptions("/s", "", "/m")
+
+
 def test_tables_with_plan_errors_touch_nothing(spark, options):
     plan = plan_for(spark, options).withColumn("error", F.when(F.col("table") == "PART", F.lit("bad plan")))
     found = statuses(run(spark, plan, parquet_source(spark, PATHS), options, "r"))
