@@ -6,7 +6,7 @@ databases and schemas. The metadata therefore grows with the events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from registered.registry import table
@@ -37,8 +37,8 @@ def metadata(spark: SparkSession, sf_dir: str) -> Metadata:
     name = (
         F.when(F.col("user_id") % 4 == 0, F.col("event_type"))
         .when(F.col("user_id") % 4 == 1, F.upper("event_type"))
-        .when(F.col("user_id") % 4 == 2, F.concat(F.col("event_type"), F.lit("."), (F.col("user_id") % 3 + 2).cast("string")))
-        .otherwise(F.concat((F.col("user_id") % 10).cast("string"), F.lit(" "), F.col("event_type"), F.lit("?")))
+        .when(F.col("user_id") % 4 == 2, F.concat(F.col("event_type"), F.lit("."), F.col("user_id") % 3 + 2))
+        .otherwise(F.concat(F.col("user_id") % 10, F.lit(" "), F.col("event_type"), F.lit("?")))
     )
     rows = table(spark, sf_dir, "events").select(
         F.concat(F.lit("DB"), (F.expr(f"event_id div {COLUMNS_PER_TABLE * 10}") % 3).cast("string")).alias("database"),
@@ -47,7 +47,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> Metadata:
         F.when(n % 13 == 0, "VIEW").otherwise("BASE TABLE").alias("table_type"),
         (F.col("event_id") % COLUMNS_PER_TABLE + 1).cast("int").alias("ordinal"),
         name.alias("column_name"),
-        F.element_at(types, ((F.col("event_id") * 7 + F.col("user_id")) % len(DATA_TYPES) + 1).cast("int")).alias("data_type"),
+        F.element_at(types, F.expr(f"int((event_id * 7 + user_id) % {len(DATA_TYPES)} + 1)")).alias("data_type"),
     )
     tables = rows.where(F.col("ordinal") == 1).select("database", "schema", "table", "table_type")
     return Metadata(tables=tables, columns=rows.drop("table_type"))

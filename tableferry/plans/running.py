@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
@@ -31,6 +32,7 @@ OUTCOME_SCHEMA = (
 )
 OUTCOME_COLUMNS = [field.split()[0] for field in OUTCOME_SCHEMA.split(", ")]
 _OUTCOMES_PER_WRITE = 50
+_SECONDS_PER_WRITE = 30
 
 
 # --- decisions ------------------------------------------------------------------------
@@ -111,6 +113,7 @@ def run(
     Tables run independently, ``max_parallel`` at a time, each as its own Spark
     jobs; a failure is recorded and the batch goes on. Outcomes are appended to
     ``<manifest_root>/<run_id>`` as they arrive, so an interrupted run can resume.
+    A ``run_id`` is used once.
     """
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone != options.session_tz:
@@ -119,7 +122,7 @@ def run(
     # Decided once and stored: the plan must not change while its tables move.
     plan_path = f"{options.manifest_root.rstrip('/')}/plan-{run_id}"
     decided = dispositions(plan.withColumn("run_id", F.lit(run_id)))
-    decided.write.mode("overwrite").parquet(plan_path)
+    decided.write.parquet(plan_path)
     decided = spark.read.parquet(plan_path)
 
     reason = F.coalesce("error", "reason")
@@ -137,8 +140,11 @@ def _run_steps(
     spark: SparkSession, steps: Iterator[Row], source: SourceReader, options: RunOptions, manifest: str
 ) -> None:
     finished: list[dict] = []
+    written = time.monotonic()
 
     def flush() -> None:
+        nonlocal written
+        written = time.monotonic()
         if finished:
             rows = [tuple(outcome.get(name) for name in OUTCOME_COLUMNS) for outcome in finished]
             _append(spark.createDataFrame(rows, OUTCOME_SCHEMA).coalesce(1), manifest)
@@ -157,9 +163,10 @@ def _run_steps(
         pending: set[Future] = {pool.submit(target, s) for s in islice(steps, options.max_parallel)}
         try:
             while pending:
-                done, pending = wait(pending, return_when=FIRST_COMPLETED)
+                done, pending = wait(pending, _SECONDS_PER_WRITE, FIRST_COMPLETED)
                 finished += [future.result() for future in done]
-                if len(finished) >= _OUTCOMES_PER_WRITE:
+                # Small tables are written together, the outcome of a long one at once.
+                if len(finished) >= _OUTCOMES_PER_WRITE or time.monotonic() - written > _SECONDS_PER_WRITE:
                     flush()
                 pending |= {pool.submit(target, s) for s in islice(steps, len(done))}
         except KeyboardInterrupt:

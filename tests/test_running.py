@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableferry.operators.selection import select_tables
-from tableferry.operators.validation import reconcile
+from tableferry.operators.validation import reconcile, row_counts
 from tableferry.plans import running
 from tableferry.plans.planning import SETTINGS, RunOptions, build_plan, write_plan
 from tableferry.plans.running import dispositions, migrate_table, read_outcomes, remaining, resume, run, status_totals
@@ -118,10 +118,9 @@ def test_interrupt_cancels_the_jobs_of_other_tables(spark, options):
     reader = parquet_source(spark, PATHS)
 
     def slow(frame):
-        # Minutes of work for few rows, unless it is cancelled.
-        for name in ("i", "j"):
-            frame = frame.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(30_000))))
-        return frame.where("i * j < 0").drop("i", "j")
+        # Hours of work for no row, unless it is cancelled.
+        endless = spark.range(10**13).where("id % 7 > 7")
+        return endless.select(*[F.col("id").alias(c) for c in frame.columns])
 
     def source(database, schema, table):
         if table == "NATION":
@@ -135,6 +134,13 @@ def test_interrupt_cancels_the_jobs_of_other_tables(spark, options):
     assert set(found.values()) == {("failed", "Aborted by user (Ctrl+C)")}
 
 
+def test_a_run_id_is_used_once(spark, options):
+    plan = plan_for(spark, options).where("table = 'REGION'")
+    run(spark, plan, parquet_source(spark, PATHS), options, "r")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        run(spark, plan, parquet_source(spark, PATHS), options, "r")
+
+
 def test_time_zone_must_be_the_declared_one(spark, options):
     options = RunOptions(**{**options.__dict__, "session_tz": "Europe/Berlin"})
     with pytest.raises(ValueError, match="time zone"):
@@ -237,6 +243,17 @@ def test_reconcile_counts(spark):
     }
 
 
+def test_counts_read_no_columns_and_no_row_by_row_joins(spark):
+    def plan_of(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    counts = plan_of(row_counts({n: spark.read.parquet(f"{SF_DIR}/{n.lower()}.parquet") for n in NAMES}))
+    assert counts.count("ReadSchema: struct<>") == len(NAMES)
+    tables = spark.createDataFrame([("A", "B", "C", "BASE TABLE")], TABLES_SCHEMA)
+    selected = plan_of(select_tables(make_rules(spark, [{"database": "a", "exclude_table_like": ["X%"]}]), tables))
+    assert "NestedLoop" not in selected and "Cartesian" not in selected
+
+
 def test_remaining(spark, options):
     plan = plan_for(spark, options)
     assert sorted(r.table for r in remaining(plan, plan.where("table < 'O'")).collect()) == ["ORDERS", "PART", "REGION"]
