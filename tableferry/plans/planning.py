@@ -130,18 +130,17 @@ def _select_sql(options: RunOptions) -> Column:
 
 
 def _with_errors(located: DataFrame) -> DataFrame:
-    """Mark tables that cannot be moved, or whose target another table shares."""
-    marked = located
-    for key, flag in ((["stage_path"], "_same_path"), (["namespace", "target_table"], "_same_target")):
-        shared = located.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        marked = marked.join(shared.select(*key, F.lit(True).alias(flag)), key, "left")
+    """Mark tables that cannot be moved, or whose target another table shares.
+
+    Tables that share a staging path differ in case only and so share their target.
+    """
+    target = ["namespace", "target_table"]
+    shared = located.groupBy(*target).agg(F.count(F.lit(1)).alias("_sharing")).where("_sharing > 1")
     unusable = F.exists(F.array(*KEY), lambda p: p.isin("", ".", "..") | p.contains("/"))
-    error = (
-        F.when(unusable, F.lit("a name of the table cannot be used in a path"))
-        .when(F.col("_same_path"), F.lit("another table is staged under the same path"))
-        .when(F.col("_same_target"), F.lit("another table has the same target"))
+    error = F.when(unusable, F.lit("a name of the table cannot be used in a path")).when(
+        F.col("_sharing").isNotNull(), F.lit("another table has the same target")
     )
-    return marked.select(*located.columns, error.alias("error"))
+    return located.join(shared, target, "left").select(*located.columns, error.alias("error"))
 
 
 def with_source_rows(plan: DataFrame, counts: DataFrame) -> DataFrame:

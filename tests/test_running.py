@@ -194,8 +194,8 @@ def test_plan_keeps_tables_it_cannot_plan(spark):
     assert errors == {
         "A.B_C.T": "another table has the same target",
         "A_B.C.T": "another table has the same target",
-        "D.P.Mixed": "another table is staged under the same path",
-        "D.P.MIXED": "another table is staged under the same path",
+        "D.P.Mixed": "another table has the same target",
+        "D.P.MIXED": "another table has the same target",
         "D.P.x/y": "a name of the table cannot be used in a path",
         "D.P.EMPTY": "no columns known for the table",
         "D.P.OK": None,
