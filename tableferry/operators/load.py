@@ -7,6 +7,7 @@ import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -147,12 +148,16 @@ def generated_column(unit: str) -> str:
     return GENERATED_PREFIX + unit.lower()
 
 
-def partition_key(value: Column, unit: str) -> Column:
+def partition_key(value: Column, data_type: T.DataType, unit: str) -> Column:
     """``yyyy[MM[dd[HH]]]`` of a temporal value; sorts like the value itself.
 
-    Built from the date fields, so a wall-clock timestamp never passes through a
-    time zone (``date_format`` would move it across a daylight-saving gap).
+    The key never depends on the session time zone: an instant is keyed by its UTC
+    date and hour, a wall-clock timestamp by its own date fields (``date_format``
+    would move it across a daylight-saving gap).
     """
+    if isinstance(data_type, T.TimestampType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        value = F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
     parts = [F.lpad(F.year(value).cast("string"), 4, "0")]
     for read, since in ((F.month, "MONTH"), (F.day, "DAY"), (F.hour, "HOUR")):
         if PARTITION_UNITS.index(unit) <= PARTITION_UNITS.index(since):
@@ -173,7 +178,8 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     part = []
     if options.partition_field is not None:
         name = generated_column(options.partition_unit)
-        key = partition_key(F.col(quoted(options.partition_field)), options.partition_unit)
+        field = options.partition_field
+        key = partition_key(F.col(quoted(field)), frame.schema[field].dataType, options.partition_unit)
         frame = frame.withColumn(name, key)
         part = [name]
     tasks = shuffle_tasks(staged_bytes)
@@ -324,12 +330,17 @@ def read_partitioned(spark: SparkSession, namespace: str, table: str, low: Any =
     frame = spark.table(target)
     field = frame.schema[properties[_PARTITION_FIELD]]
     value, key = F.col(quoted(field.name)), F.col(generated_column(unit))
+
+    def bound(limit: Any) -> Column:
+        # As text: a literal datetime would pass through the time zone of the Python process.
+        return F.lit(limit.isoformat() if isinstance(limit, date) else limit).cast(field.dataType)
+
     if low is not None:
-        bound = F.lit(low).cast(field.dataType)
-        frame = frame.where((value >= bound) & (key >= partition_key(bound, unit)))
+        first = bound(low)
+        frame = frame.where((value >= first) & (key >= partition_key(first, field.dataType, unit)))
     if high is not None:
-        bound = F.lit(high).cast(field.dataType)
-        frame = frame.where((value < bound) & (key <= partition_key(bound, unit)))
+        last = bound(high)
+        frame = frame.where((value < last) & (key <= partition_key(last, field.dataType, unit)))
     return _without_generated(frame)
 
 

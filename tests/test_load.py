@@ -146,7 +146,7 @@ def test_partition_keys_ignore_the_time_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:  # 02:30 does not exist there on this day
         frame = spark.sql("SELECT timestamp_ntz '2024-03-10 02:30:00' AS t")
-        keys = frame.select(*[partition_key(F.col("t"), u).alias(u) for u in load.PARTITION_UNITS]).first()
+        keys = frame.select(*[partition_key(F.col("t"), T.TimestampNTZType(), u).alias(u) for u in load.PARTITION_UNITS]).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(keys) == ("2024031002", "20240310", "202403", "2024")
@@ -213,6 +213,22 @@ def test_range_reads_only_its_partitions(spark, events, staged, namespace, tmp_p
         read_partitioned(spark, namespace, "plain")
 
 
+def test_instants_are_read_alike_in_every_time_zone(spark, staged, namespace, tmp_path):
+    hours = spark.range(72).selectExpr("timestamp_seconds(1709900000 + id * 3600) AS at", "id")
+    path = staged(hours)
+    low, high = "2024-03-09T12:00:00Z", datetime.datetime(2024, 3, 10, 12, tzinfo=datetime.UTC)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        load_table(spark, path, str(tmp_path), namespace, "t", LoadOptions(partition_field="at"))
+        there = {r.id for r in read_partitioned(spark, namespace, "t", low, high).collect()}
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        here = {r.id for r in read_partitioned(spark, namespace, "t", low, high).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    expected = {r.id for r in hours.where("at >= '2024-03-09 12:00:00' AND at < '2024-03-10 12:00:00'").collect()}
+    assert there == here == expected and len(expected) == 24
+
+
 def test_null_partition_values_survive(spark, staged, namespace, tmp_path):
     frame = spark.sql("SELECT * FROM VALUES (1, date '2024-02-03'), (2, null) AS t(k, day)")
     load_table(spark, staged(frame), str(tmp_path), namespace, "t", LoadOptions(partition_field="day", partition_unit="YEAR"))
