@@ -308,8 +308,9 @@ def table_location(spark: SparkSession, namespace: str, table: str) -> str | Non
     if not spark.catalog.tableExists(table_name(namespace, table)):
         return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(namespace, table)}")
-    row = described.where("col_name = 'Location'").first()
-    return row.data_type if row else None
+    # The last one: a column of the table may have this name, too.
+    rows = described.where("col_name = 'Location'").collect()
+    return rows[-1].data_type if rows else None
 
 
 # --- reading targets ------------------------------------------------------------------

@@ -250,6 +250,8 @@ def test_a_load_replaces_schema_layout_and_files(spark, events, staged, namespac
     assert target_row_count(spark, namespace, "t") == 0
     load_table(spark, staged(events), str(tmp_path), namespace, "t", LoadOptions(partition_field="ts"))
     assert target_row_count(spark, namespace, "t") == 1000
+    named = LoadOptions(custom_schema=[{"name": "Location", "type": "INTEGER"}])
+    load_table(spark, staged(spark.range(5).toDF("location"), "other"), str(tmp_path), namespace, "t", named)
     load_table(spark, staged(spark.range(5), "other"), str(tmp_path), namespace, "t")
     assert read_table(spark, namespace, "t").columns == ["id"]
     assert target_row_count(spark, namespace, "t") == 5
