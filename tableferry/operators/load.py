@@ -153,12 +153,15 @@ def partition_key(value: Column, data_type: T.DataType, unit: str) -> Column:
 
     The key never depends on the session time zone: an instant is keyed by its UTC
     date and hour, a wall-clock timestamp by its own date fields (``date_format``
-    would move it across a daylight-saving gap).
+    would move it across a daylight-saving gap). Years that do not fit four digits
+    would break the order and raise.
     """
     if isinstance(data_type, T.TimestampType):
         epoch = F.lit("1970-01-01").cast("timestamp_ntz")
         value = F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
-    parts = [F.lpad(F.year(value).cast("string"), 4, "0")]
+    year = F.year(value)
+    checked = F.when(~year.between(0, 9999), F.raise_error(F.lit("cannot partition by years beyond 9999")))
+    parts = [F.lpad(checked.otherwise(year).cast("string"), 4, "0")]
     for read, since in ((F.month, "MONTH"), (F.day, "DAY"), (F.hour, "HOUR")):
         if PARTITION_UNITS.index(unit) <= PARTITION_UNITS.index(since):
             parts.append(F.lpad(read(value).cast("string"), 2, "0"))
