@@ -127,7 +127,7 @@ def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[t
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = 1024) -> list[tuple[int, int, int, int, int]]:
     """Runs (length, first rank, number, first sequence, offset) that place every piece of a histogram of lengths."""
     large = sorted(x for x in histogram if x >= LARGE * capacity and histogram[x])
     members = grouped(large, [histogram[x] for x in large], groups)
