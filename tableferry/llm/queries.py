@@ -6,9 +6,10 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableferry.llm import exact_dedup, fertility, host_reputation, packing, simhash
-from tableferry.llm.common import table, with_package
+from tableferry.llm import archives, exact_dedup, fertility, host_reputation, language_model, packing, simhash, site_templates
+from tableferry.llm.common import remainder, table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,11 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -43,6 +49,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op5_exact_dedup"] = exact_dedup.SQL
 
 
+@query
+def op6_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -51,3 +62,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_templates.main_text(table(spark, sf_dir, "pages"))

@@ -44,7 +44,7 @@ class Vocabulary:
         """The ids of each text of an Arrow string array; a null text has none."""
         out: list[bytes] = []
         for start in range(0, len(texts), _ROWS):
-            out += self._encode(texts.slice(start, _ROWS).fill_null(""))
+            out += self._encode(texts.take(pa.array(range(start, min(len(texts), start + _ROWS)), pa.int64())).fill_null(""))
         return out
 
     def _known(self, parts: list[str]) -> list[bytes | None]:
