@@ -75,6 +75,16 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, rows: str, total:
     return at_hot.unionByName(others)
 
 
+def without(docs: DataFrame, dropped: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``dropped`` and not in ``kept`` leave; rows without an id stay.
+
+    Ids alone decide, so the join's hash table holds ids. It is always a shuffle: a broadcast of ids would have to stop
+    at some size of the input.
+    """
+    gone = dropped.select("doc_id").distinct().join(kept.select("doc_id"), "doc_id", "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b of one orderable type): one row ``node, root`` for each node that has
     an edge to another; ``root`` is the smallest node of its component.

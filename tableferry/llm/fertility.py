@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.llm import common, vocabulary
 
@@ -72,29 +73,38 @@ def token_measures(packed: bytes) -> tuple[int, float, float]:
 
 
 _MEASURED = (
-    "row long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_tokens long, byte_share double, entropy double"
 )
 
 
-def measures(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The counts and token measures of each row. ``row`` numbers rows; ``base_failed`` follows the base rules."""
+def measures(docs: DataFrame, path: str | None = None, carry: bool = False) -> DataFrame:
+    """The counts and token measures of each row; ``base_failed`` follows the base rules.
+
+    ``carry``: the row itself comes along in a struct ``whole``, so that it need not be joined again.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.piece_bpe(path).encode
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            base = list(zip(*map(counts, texts))) or [()] * 5
-            token = list(zip(*map(token_measures, encode(batch.column(3))))) or [()] * 3
+            texts = batch.column(2).to_pylist()
+            if not texts:
+                continue
+            base = list(zip(*map(counts, texts)))
+            token = list(zip(*map(token_measures, encode(batch.column(2)))))
             kinds = [pa.int64()] * 6 + [pa.float64()] * 2
             columns = [pa.array(x, t) for x, t in zip([*base, *token], kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=_NAMES)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns, *batch.columns[3:]], names=[*_NAMES, *["whole"][: carry]])
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), lang.alias("lang"), "text")
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")] if carry else []
+    rows = docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), "text", *whole)
+    schema = T.StructType.fromDDL(_MEASURED)
+    if carry:
+        schema = schema.add("whole", docs.schema)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_SHARE * F.col("n_words"))
     per_token = F.col("word_chars") / F.greatest(F.col("n_tokens"), F.lit(1))
-    return rows.mapInArrow(of, _MEASURED).withColumn("base_failed", failed).withColumn("chars_per_token", per_token)
+    return rows.mapInArrow(of, schema).withColumn("base_failed", failed).withColumn("chars_per_token", per_token)
 
 
 _NAMES = [x.split()[0] for x in _MEASURED.split(", ")]
@@ -115,14 +125,14 @@ def bands(measured: DataFrame) -> DataFrame:
     return found.select("lang", *columns)
 
 
-def judge(docs: DataFrame, width: float = WIDTH, path: str | None = None) -> DataFrame:
-    """One row for each row of ``docs``: row, doc_id, counts, measures, base_failed and kept.
+def judge(docs: DataFrame, width: float = WIDTH, path: str | None = None, carry: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, counts, measures, base_failed and kept; with ``carry`` also ``whole``.
 
     A null text has no words and fails the base rules, as does an empty one; a null ``lang``, or a table without the
     column, is a language of its own. Repeated rows and ids are judged each. Bands of a language come from its own
     rows, whatever their number; ties at a band's edge are kept. An empty table gives no rows.
     """
-    measured = common.stored(measures(docs, path), "measures")
+    measured = common.stored(measures(docs, path, carry), "measures")
     found = bands(measured)
     rows = measured.join(F.broadcast(found) if _few(measured) else found, "lang", "left")
     wide = width * (1 + F.sqrt(SHORT / F.greatest(F.col("n_tokens"), F.lit(1))))
@@ -142,6 +152,5 @@ def _few(measured: DataFrame) -> bool:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has a row that is kept; columns as given."""
-    kept = judge(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The rows of ``docs`` that are kept; columns as given."""
+    return judge(docs, carry=True).filter("kept").select("whole.*")

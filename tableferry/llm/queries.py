@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import archives, exact_dedup, fertility, host_reputation, language_model, packing, simhash, site_templates
+from tableferry.llm import archives, exact_dedup, fertility, host_reputation, language_model, line_crf, packing, pieces, simhash, site_templates
 from tableferry.llm.common import remainder, table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,9 +36,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.judge(table(spark, sf_dir, "documents")).drop("row")
+    return fertility.judge(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -59,6 +64,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 0
+    field = line_crf.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return line_crf.classify(docs, field).withColumn("held_out", held_out)
+
+
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"))

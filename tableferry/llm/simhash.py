@@ -190,6 +190,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component. Rows of that id that are repeated all stay."""
-    firsts = near_duplicates(docs, width, radius).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
+    """``docs`` with the smallest doc_id of each component alone; rows that repeat it stay, as do rows without an id."""
+    placed = common.stored(near_duplicates(docs, width, radius).select("doc_id", "component_id"), "placed")
+    return common.without(docs, placed.filter("doc_id <> component_id"), placed.filter("doc_id = component_id"))

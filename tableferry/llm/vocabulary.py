@@ -32,12 +32,12 @@ def _regular(part: str) -> bool:
 class Vocabulary:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, whole: Callable[[str], list[int]], many: Callable[[list[str]], list[bytes]], inner: bool):
+    def __init__(self, whole: Callable[[str], list[int]], many: Callable[[list[str]], list[bytes]], inner: bool, chunk: int = _CHUNK):
         """``whole`` encodes a text, ``many`` regular parts as they stand behind a blank.
 
-        ``inner``: such a part differs from one that begins a text.
+        ``inner``: such a part differs from one that begins a text; ``chunk``: parts given to ``many`` at once.
         """
-        self._whole, self._many, self._apart = whole, many, inner
+        self._whole, self._many, self._apart, self._chunk = whole, many, inner, chunk
         self._parts: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -53,8 +53,8 @@ class Vocabulary:
         found = list(map(self._parts.get, parts))
         order = [p for p, ids in zip(parts, found) if ids is None and _regular(p)]
         new: dict[str, bytes] = {}
-        for start in range(0, len(order), _CHUNK):
-            chunk = order[start : start + _CHUNK]
+        for start in range(0, len(order), self._chunk):
+            chunk = order[start : start + self._chunk]
             new.update(zip(chunk, self._many(chunk)))
         self._parts.update(new)
         return [new.get(p) if ids is None else ids for p, ids in zip(parts, found)]
