@@ -158,7 +158,8 @@ def hashes(root: Element) -> dict[int, tuple[int, ...]]:
     found: dict[int, tuple[int, ...]] = {}
     parts: dict[int, tuple[str, str, bool, bool]] = {}  # content, shape, has text, has text outside links
     for element in reversed(_walk(root)):
-        content, shape, text, free = [element.tag, element.attributes.strip()], [element.tag, element.attributes.strip()], False, False
+        named = [m[0] for m in _ATTRIBUTE.finditer(element.attributes) if m[1].lower() in ("class", "id", "role")]
+        content, shape, text, free = [element.tag, element.attributes.strip()], [element.tag, *named], False, False
         for item in element.items:
             if isinstance(item, str):
                 bare = " ".join(item.split())
