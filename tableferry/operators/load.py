@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date
@@ -26,13 +27,12 @@ MAX_CLUSTER_FIELDS = 4
 GENERATED_PREFIX = "__p_"
 MIB = 1024 * 1024
 BYTES_PER_TASK = 256 * MIB
-SMALL_TABLE_TASKS = 8
-MAX_TASKS = 50_000
 POSITION = GENERATED_PREFIX + "position"
 
 _PARTITION_FIELD = "tableferry.partition_field"
 _PARTITION_UNIT = "tableferry.partition_unit"
 _CLUSTER_FIELDS = "tableferry.cluster_fields"
+_PREVIOUS = "tableferry.previous"
 
 
 @dataclass(frozen=True)
@@ -172,11 +172,12 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     """Distribute rows for the write.
 
     Without options the scan is written as it is, without a shuffle. Partitioning
-    alone rebalances by partition, over enough tasks that few partitions share one:
-    AQE splits a partition that holds far more rows than the others, whatever its
-    rows look like, and merges small ones. Clustering sorts globally by
-    (partition, cluster fields); the row's position in the staged files breaks
-    ties, so that equal keys, even whole copies, spread over many tasks.
+    alone deals rows by partition; one that holds more bytes than a task should is
+    cut into slices first, found by one count of the partition column, so that a hot
+    partition is split whatever its rows look like and whether or not AQE is on.
+    Clustering sorts globally by (partition, cluster fields). In both cases the row's
+    position in the staged files (column ``POSITION``) tells equal rows apart, so that
+    whole copies spread over many tasks, and the split is the same when a task runs again.
     """
     part = []
     if options.partition_field is not None:
@@ -185,9 +186,9 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
         key = partition_key(F.col(quoted(field)), frame.schema[field].dataType, options.partition_unit)
         frame = frame.withColumn(name, key)
         part = [name]
-    tasks = shuffle_tasks(staged_bytes)
+    tasks = shuffle_tasks(frame.sparkSession, staged_bytes)
     if not options.cluster_fields:
-        return frame.hint("rebalance", tasks, *part) if part else frame
+        return _deal_partitions(frame, part[0], tasks, staged_bytes).drop(POSITION) if part else frame
     keys = [F.col(quoted(c)) for c in [*part, *options.cluster_fields]]
     return (
         frame.repartitionByRange(tasks, *keys, F.col(POSITION))
@@ -196,15 +197,25 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     )
 
 
-def shuffle_tasks(staged_bytes: int) -> int:
-    """One task per 256 MiB of staged files, up to what a shuffle can bear.
+def _deal_partitions(frame: DataFrame, part: str, tasks: int, staged_bytes: int) -> DataFrame:
+    """Rows dealt by partition, one of more than ``BYTES_PER_TASK`` in slices by the row's position.
 
-    A small table still gets a few tasks. Beyond the maximum the tasks grow, and
-    sort with spilling.
+    At most ``staged_bytes / BYTES_PER_TASK`` partitions need slices, so their table is
+    small enough to broadcast at any size of the input.
     """
-    small = min(SMALL_TABLE_TASKS, math.ceil(staged_bytes / MIB))
-    large = min(MAX_TASKS, math.ceil(staged_bytes / BYTES_PER_TASK))
-    return max(1, small, large)
+    share = max(1, staged_bytes) / BYTES_PER_TASK
+    counts = frame.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    total = max(1, frame.count())
+    slices = F.ceil(F.col("_rows") * F.lit(share / total)).alias("_slices")
+    hot = counts.select(F.col(part).alias("_hot"), slices).where("_slices > 1")
+    sliced = frame.join(F.broadcast(hot), F.col(part).eqNullSafe(F.col("_hot")), "left")
+    own = F.pmod(F.xxhash64(POSITION), F.coalesce("_slices", F.lit(1)))
+    return sliced.repartition(tasks, F.col(part), own).drop("_hot", "_slices")
+
+
+def shuffle_tasks(spark: SparkSession, staged_bytes: int) -> int:
+    """One task per 256 MiB of staged files, and at least one for each core."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(staged_bytes / BYTES_PER_TASK))
 
 
 # --- target tables --------------------------------------------------------------------
@@ -214,6 +225,24 @@ def table_name(namespace: str, table: str) -> str:
     return f"{quoted(namespace)}.{quoted(table)}"
 
 
+def with_position(staged: DataFrame) -> DataFrame:
+    """Add ``POSITION``: the file and place of each row, also where a column is named ``_metadata``."""
+    place = staged.metadataColumn("_metadata")
+    return staged.select("*", F.struct(place["file_name"], place["row_index"]).alias(POSITION))
+
+
+def check_load(spark: SparkSession, schema: T.StructType, options: LoadOptions) -> list[str]:
+    """Raise what a load of rows of this schema would raise before it reads any.
+
+    Returns the columns that a user schema leaves out.
+    """
+    empty = spark.createDataFrame([], schema)
+    frame = empty if options.custom_schema is None else enforce_schema(empty, options.custom_schema)
+    check_options(frame.schema, options)
+    given = {f.name.lower() for f in frame.schema.fields}
+    return [f.name for f in schema.fields if f.name.lower() not in given]
+
+
 def create_namespace(spark: SparkSession, namespace: str, root: str) -> None:
     location = _literal(f"{root.rstrip('/')}/{namespace}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(namespace)} LOCATION {location}")
@@ -235,9 +264,8 @@ def load_table(
     create_namespace(spark, namespace, target_root)
     staged = spark.read.parquet(staged_path)
     carry = []
-    if options.cluster_fields:
-        position = F.struct("_metadata.file_name", "_metadata.row_index").alias(POSITION)
-        staged, carry = staged.select("*", position), [POSITION]
+    if options.cluster_fields or options.partition_field:
+        staged, carry = with_position(staged), [POSITION]
     frame = staged
     if options.custom_schema is not None:
         frame = enforce_schema(staged, options.custom_schema, carry)
@@ -268,11 +296,14 @@ def _swap(
     options: LoadOptions,
     part: list[str],
 ) -> None:
-    """Point the catalog entry at ``location`` and drop the version it replaces."""
-    target = table_name(namespace, table)
+    """Point the catalog entry at ``location``. The version it replaces stays until the next load."""
     incoming = table_name(namespace, f"{table}__{uuid.uuid4().hex}")
     columns = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+    previous = table_location(spark, namespace, table)
+    before_that = _property(spark, namespace, table, _PREVIOUS) if previous else None
     properties = {_CLUSTER_FIELDS: json.dumps(list(options.cluster_fields))}
+    if previous:
+        properties[_PREVIOUS] = previous
     if part:
         properties |= {_PARTITION_FIELD: options.partition_field, _PARTITION_UNIT: options.partition_unit}
     settings = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
@@ -285,28 +316,59 @@ def _swap(
     try:
         if part:
             spark.sql(f"MSCK REPAIR TABLE {incoming}")
-        previous = table_location(spark, namespace, table)
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {incoming} RENAME TO {target}")
+        _put_in_place(spark, incoming, namespace, table)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {incoming}")
         raise
-    # Only a version directory that an earlier load made is removed.
+    # Readers of the version just replaced may go on; of those before it only directories of earlier loads go.
     versions = qualified(spark, location.rsplit("/", 1)[0])
-    if previous and qualified(spark, previous).startswith(f"{versions}/v-"):
-        delete_directory(spark, previous)
+    if before_that and qualified(spark, before_that).startswith(f"{versions}/v-"):
+        delete_directory(spark, before_that)
+
+
+def _put_in_place(spark: SparkSession, incoming: str, namespace: str, table: str) -> None:
+    """Give ``incoming`` the name of a table. On failure the old entry has its name again."""
+    target = table_name(namespace, table)
+    backup = table_name(namespace, f"{table}__before_{uuid.uuid4().hex}")
+    replaced = spark.catalog.tableExists(target)
+    if replaced:
+        _rename(spark, target, backup)
+    try:
+        _rename(spark, incoming, target)
+    except Exception:
+        if replaced:
+            _rename(spark, backup, target)
+        raise
+    if replaced:
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        except Exception as error:  # the new table is in place; the old rows stay under the other name
+            warnings.warn(f"the replaced table stays as {backup}: {error}", stacklevel=2)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
 
 def create_external_table(spark: SparkSession, staged_path: str, target_root: str, namespace: str, table: str) -> str:
     """``<table>_external`` over the staged files in place; replaces an earlier one."""
     create_namespace(spark, namespace, target_root)
     name = f"{table}_external".lower()
-    target = table_name(namespace, name)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} USING PARQUET LOCATION {_literal(staged_path.rstrip('/'))}")
+    incoming = table_name(namespace, f"{name}__{uuid.uuid4().hex}")
+    spark.sql(f"CREATE TABLE {incoming} USING PARQUET LOCATION {_literal(staged_path.rstrip('/'))}")
+    try:
+        _put_in_place(spark, incoming, namespace, name)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+        raise
     return f"{namespace}.{name}"
 
 
+def _property(spark: SparkSession, namespace: str, table: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table_name(namespace, table)}").where(F.col("key") == key).collect()
+    return rows[0].value if rows else None
+
+
 def table_location(spark: SparkSession, namespace: str, table: str) -> str | None:
     if not spark.catalog.tableExists(table_name(namespace, table)):
         return None

@@ -167,13 +167,11 @@ def test_plain_load_has_no_shuffle(spark, lineitem):
 def test_hot_partition_is_split(spark, lineitem, tmp_path):
     staged = str(tmp_path / "stage")
     lineitem.withColumn("l_shipdate", F.lit("2000-01-01").cast("timestamp_ntz")).repartition(8).write.parquet(staged)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "30KB")
-    try:
-        frame = lay_out(spark.read.parquet(staged), LoadOptions(partition_field="l_shipdate"), 4 * BYTES_PER_TASK)
-        frame.write.partitionBy("__p_day").parquet(str(tmp_path / "out"))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(glob(f"{tmp_path}/out/__p_day=20000101/*.parquet")) > 3
+    staged_rows = load.with_position(spark.read.parquet(staged))
+    frame = lay_out(staged_rows, LoadOptions(partition_field="l_shipdate"), 20 * BYTES_PER_TASK)
+    assert POSITION not in frame.columns and "_slices" not in frame.columns
+    frame.write.partitionBy("__p_day").parquet(str(tmp_path / "out"))
+    assert len(glob(f"{tmp_path}/out/__p_day=20000101/*.parquet")) > 8
 
 
 def test_copies_of_one_row_are_split_by_clustering(spark, lineitem, tmp_path):
@@ -186,9 +184,9 @@ def test_copies_of_one_row_are_split_by_clustering(spark, lineitem, tmp_path):
     assert len(sizes) == 10 and max(sizes) < 2 * min(sizes)
 
 
-def test_tasks_grow_with_the_staged_bytes():
-    sizes = [0, 3 * load.MIB, 100 * load.MIB, 100 * BYTES_PER_TASK, 10**6 * BYTES_PER_TASK]
-    assert [load.shuffle_tasks(s) for s in sizes] == [1, 3, 8, 100, load.MAX_TASKS]
+def test_tasks_grow_with_the_staged_bytes(spark):
+    sizes = [0, 3 * load.MIB, 100 * BYTES_PER_TASK, 10**6 * BYTES_PER_TASK]
+    assert [load.shuffle_tasks(spark, s) for s in sizes] == [8, 8, 100, 10**6]
 
 
 # --- tables ---------------------------------------------------------------------------
@@ -255,6 +253,57 @@ def test_a_failed_load_leaves_the_old_table(spark, staged, namespace, tmp_path):
     assert len(glob(f"{tmp_path}/{namespace}/t/v-*")) == 1
 
 
+@pytest.mark.parametrize("failing", ["incoming", "target"])
+def test_a_failed_rename_keeps_the_old_table(spark, staged, namespace, tmp_path, monkeypatch, failing):
+    load_table(spark, staged(spark.range(5)), str(tmp_path), namespace, "t")
+    rename = load._rename
+
+    def broken(spark, old, new):
+        if (new if failing == "incoming" else old) == table_name(namespace, "t") and "before" not in old:
+            raise RuntimeError("no rename")
+        rename(spark, old, new)
+
+    monkeypatch.setattr(load, "_rename", broken)
+    with pytest.raises(RuntimeError, match="no rename"):
+        load_table(spark, staged(spark.range(9), "b"), str(tmp_path), namespace, "t")
+    with pytest.raises(RuntimeError, match="no rename"):
+        load._put_in_place(spark, table_name(namespace, "none"), namespace, "t")
+    assert read_table(spark, namespace, "t").count() == 5
+    assert len(glob(f"{tmp_path}/{namespace}/t/v-*")) == 1
+    assert [t.name for t in spark.catalog.listTables(namespace)] == ["t"]
+
+
+def test_a_failed_drop_keeps_both_versions(spark, staged, namespace, tmp_path, monkeypatch):
+    load_table(spark, staged(spark.range(5)), str(tmp_path), namespace, "t")
+    real = type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        if text.startswith("DROP TABLE") and "before" in text:
+            raise RuntimeError("no drop")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.warns(UserWarning, match="no drop"):
+        load_table(spark, staged(spark.range(9), "b"), str(tmp_path), namespace, "t")
+    assert read_table(spark, namespace, "t").count() == 9
+    old = next(t.name for t in spark.catalog.listTables(namespace) if "before" in t.name)
+    assert spark.table(table_name(namespace, old)).count() == 5
+
+
+def test_the_replaced_version_stays_until_the_next_load(spark, staged, namespace, tmp_path):
+    for n, kept in ((3, 1), (4, 2), (5, 2)):
+        load_table(spark, staged(spark.range(n), f"s{n}"), str(tmp_path), namespace, "t")
+        assert len(glob(f"{tmp_path}/{namespace}/t/v-*")) == kept
+    assert read_table(spark, namespace, "t").count() == 5
+
+
+def test_a_column_named_metadata(spark, staged, namespace, tmp_path):
+    frame = spark.sql("SELECT id AS _metadata, DATE'2024-01-01' + CAST(id % 3 AS INT) AS day FROM range(9)")
+    options = LoadOptions(partition_field="day", cluster_fields=("_metadata",))
+    assert load_table(spark, staged(frame), str(tmp_path), namespace, "t", options).rows == 9
+    assert read_table(spark, namespace, "t").columns == ["_metadata", "day"]
+
+
 def test_a_load_replaces_schema_layout_and_files(spark, events, staged, namespace, tmp_path):
     assert target_row_count(spark, namespace, "t") == 0
     load_table(spark, staged(events), str(tmp_path), namespace, "t", LoadOptions(partition_field="ts"))
@@ -264,7 +313,7 @@ def test_a_load_replaces_schema_layout_and_files(spark, events, staged, namespac
     load_table(spark, staged(spark.range(5), "other"), str(tmp_path), namespace, "t")
     assert read_table(spark, namespace, "t").columns == ["id"]
     assert target_row_count(spark, namespace, "t") == 5
-    assert len(glob(f"{tmp_path}/{namespace}/t/v-*")) == 1
+    assert len(glob(f"{tmp_path}/{namespace}/t/v-*")) == 2
     assert [t.name for t in spark.catalog.listTables(namespace)] == ["t"]
 
 
