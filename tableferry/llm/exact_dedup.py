@@ -3,9 +3,9 @@
 The key of a text is the 64-bit hash of its normalised form. Distinct keys are counted by their leading bits; a bucket
 that holds more than ``capacity`` keys is split by one more bit, which doubles the directory, until every bucket fits.
 The index (one row for each key: bucket, key, rows) lies in the shared folder; each owner task writes the file of a
-range of buckets and keys. Texts of keys that have several rows are then brought together by key and bytes: texts
-whose keys collide become a chain of different texts, told apart by comparing them. Copies are folded before each
-shuffle, so that a text with a third of all rows costs one row for each task.
+range of buckets and keys. Texts are brought together by key and bytes: where keys collide, they form a chain of
+different texts, told apart by comparing them. Copies are folded before each shuffle, so that a text with a third of
+all rows costs one row for each task.
 """
 
 from __future__ import annotations
@@ -73,28 +73,28 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) ->
         "entries",
     )
     total = entries.count()
-    heads = common.stored(entries.groupBy("key").agg(F.count("*").alias("rows")), "heads")
+    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("least"))).alias("best")
+    heads = common.stored(entries.groupBy("key").agg(F.count("*").alias("rows"), best), "heads")
     index = common.stored(build_index(heads, capacity), "index")
 
-    # Owner tasks: texts of keys with several rows, folded to one row for each different text of a key.
-    several = index.filter("rows > 1")
-    best = F.struct("chars", (-F.col("doc_id")).alias("least"))
-    located = rows.withColumn("chars", F.char_length("text").cast("long")).join(several.select("key"), "key", "left_semi")
-    chain = located.groupBy("key", "norm").agg(F.count("*").alias("group_size"), F.max(best).alias("best"))
-    chain = common.stored(chain.withColumn("keep_id", -F.col("best.least")).drop("best"), "chain")
-    lengths = chain.groupBy("key").agg(F.count("*").alias("links"), F.sum("group_size").alias("rows"), F.first("keep_id").alias("keep_id"))
-
-    plain = lengths.filter("links = 1").select("key", "rows", "keep_id", F.col("rows").alias("group_size"))
-    collided = common.stored(lengths.filter("links > 1").select("key"), "collided")
-    single = entries.join(several.select("key"), "key", "left_anti").select(
+    # Texts meet by key and bytes, copies folded to one row in each task; a key with several texts is a collision.
+    texts = rows.groupBy("key", "norm").agg(F.count("*").alias("rows"))
+    collided = common.stored(texts.groupBy("key").agg(F.count("*").alias("links")).filter("links > 1").select("key"), "collided")
+
+    plain = index.join(collided, "key", "left_anti")
+    grouped = plain.filter("rows > 1").select("key", "rows", (-F.col("best.least")).alias("keep_id"), F.col("rows").alias("group_size"))
+    alone = plain.filter("rows = 1").select("key")
+    single = entries.join(alone, "key", "left_semi").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"
     )
     out = ["doc_id", "keep_id", "group_size", "text_sha256"]
-    result = single.unionByName(common.join_counted(entries, plain, "key", "rows", total).select(out))
-    if not collided.isEmpty():  # different texts with one key: the bytes tell them apart
-        clashed = rows.join(collided, "key", "left_semi").select("doc_id", "key", "norm")
-        links = chain.join(collided, "key", "left_semi")
-        found = clashed.join(links, ["key", "norm"]).withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
+    result = single.unionByName(common.join_counted(entries, grouped, "key", "rows", total).select(out))
+    if not collided.isEmpty():  # different texts with one key form a chain: their bytes tell them apart
+        clashed = rows.join(collided, "key", "left_semi")
+        order = F.struct(F.char_length("text").alias("chars"), (-F.col("doc_id")).alias("least"))
+        chain = clashed.groupBy("key", "norm").agg(F.count("*").alias("group_size"), (-F.max(order)["least"]).alias("keep_id"))
+        digest = F.sha2(F.col("norm").cast("binary"), 256)
+        found = clashed.select("doc_id", "key", "norm").join(chain, ["key", "norm"]).withColumn("text_sha256", digest)
         result = result.unionByName(found.select(out))
     return result.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
@@ -102,9 +102,9 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = 64) ->
 
 
 def keep_one(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The rows of ``docs`` that stay; rows that repeat a doc_id stay with it."""
-    kept = duplicates(docs, capacity).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """``docs`` without the rows that :func:`duplicates` drops; an id that has a row that stays keeps all its rows."""
+    judged = common.stored(duplicates(docs, capacity).select("doc_id", "kept"), "judged")
+    return common.without(docs, judged.filter("not kept"), judged.filter("kept"))
 
 
 SQL = r"""
