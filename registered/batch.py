@@ -198,19 +198,20 @@ def migrate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RUN_SQL = f"""SELECT 'WH.PUBLIC.' || upper(t) AS table_key,
-  CASE WHEN t IN ('part', 'nation', 'pages') THEN 'failed' ELSE 'succeeded' END AS status,
-  CASE t WHEN 'part' THEN 'Export failed' WHEN 'nation' THEN 'Load failed' WHEN 'pages' THEN 'Skipped by user' END AS error,
-  CASE WHEN t IN ('part', 'pages') THEN NULL ELSE n END AS source_rows,
-  CASE WHEN t IN ('part', 'nation', 'pages') THEN NULL WHEN t = 'orders' THEN (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')
+  CASE WHEN t IN ('part', 'nation', 'pages', 'region') THEN 'failed' ELSE 'succeeded' END AS status,
+  CASE t WHEN 'part' THEN 'Export failed' WHEN 'nation' THEN 'Check failed' WHEN 'region' THEN 'Load failed' WHEN 'pages' THEN 'Skipped by user' END AS error,
+  CASE WHEN t IN ('part', 'nation', 'pages') THEN NULL ELSE n END AS source_rows,
+  CASE WHEN t IN ('part', 'nation', 'pages', 'region') THEN NULL WHEN t = 'orders' THEN (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')
        ELSE n END AS target_rows
 FROM ({ROW_COUNTS_SQL})"""
 
 
 @query("run_outcomes", _RUN_SQL)
 def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch over all test tables in which one export and one load fail and one table is skipped."""
-    outcomes, _ = _run_all(spark, sf_dir)
-    stage = F.regexp_extract("error", "^(Export failed|Load failed|Skipped by user)", 1)
+    """A batch over all test tables in which an export, a check and a load fail and one table is skipped."""
+    outcomes, options = _run_all(spark, sf_dir)
+    _discard_copies(spark, options)
+    stage = F.regexp_extract("error", "^(Export failed|Check failed|Load failed|Skipped by user)", 1)
     return outcomes.select("table_key", "status", F.when(stage != "", stage).alias("error"), "source_rows", "target_rows")
 
 
@@ -221,17 +222,19 @@ def _run_all(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, RunOptions]:
         [
             _setting("PART", override_sql="SELECT no_such_column FROM {source}"),
             _setting("NATION", partition_field="n_name"),
+            _setting("REGION", custom_schema='[{"name": "r_name", "type": "JSON"}]'),
             _setting("PAGES", action=running.SKIP),
             _setting("ORDERS", override_sql="SELECT * FROM {source} WHERE o_orderstatus = 'O'"),
         ],
     )
-    return _run(spark, _plan(spark, sf_dir, TABLES, options, settings), sf_dir, options, "first"), options
+    plan = _plan(spark, sf_dir, TABLES, options, settings)
+    return running.run(spark, plan, parquet_source(spark, table_paths(sf_dir)), options, "first"), options
 
 
 @query(
     "resume_failed",
     f"""SELECT 'WH.PUBLIC.' || upper(t) AS table_key, n AS target_rows, 'succeeded' AS status
-        FROM ({ROW_COUNTS_SQL}) WHERE t IN ('part', 'nation', 'pages')""",
+        FROM ({ROW_COUNTS_SQL}) WHERE t IN ('part', 'nation', 'pages', 'region')""",
 )
 def resume_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failed tables of a batch, selected from its manifest and run again with mended settings."""
@@ -246,6 +249,25 @@ def resume_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select("table_key", "target_rows", "status")
 
 
+@query(
+    "resume_load_only",
+    f"""SELECT 'WH.PUBLIC.' || upper(t) AS table_key, n AS source_rows, n AS target_rows, 'succeeded' AS status
+        FROM ({ROW_COUNTS_SQL}) WHERE t = 'region'
+        UNION ALL
+        SELECT 'WH.PUBLIC.' || upper(t), NULL, NULL, 'failed' FROM ({ROW_COUNTS_SQL}) WHERE t IN ('part', 'nation', 'pages')""",
+)
+def resume_load_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch resumed without its source: a table that was staged is loaded, the others need their export."""
+
+    def gone(database: str, schema: str, name: str) -> DataFrame:
+        raise RuntimeError("the source is gone")
+
+    _, options = _run_all(spark, sf_dir)
+    outcomes = running.resume(spark, _plan(spark, sf_dir, TABLES, options), gone, options, "second", "first", reload=True)
+    _discard_copies(spark, options)
+    return outcomes.select("table_key", "source_rows", "target_rows", "status")
+
+
 @query(
     "remaining_steps",
     f"""WITH {_STEPS_SQL} SELECT run_id, seq, action FROM flagged WHERE gone = 1 OR action = 'skip'""",

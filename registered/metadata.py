@@ -44,9 +44,6 @@ def inventory_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CATALOGED = ["customer", "orders", "lineitem", "embeddings"]
-
-
 @query(
     "inventory_catalog",
     f"""SELECT c.table_name || '_external' AS table_name, c.column_name, CAST(c.ordinal_position AS INTEGER) AS ordinal,
@@ -54,18 +51,18 @@ _CATALOGED = ["customer", "orders", "lineitem", "embeddings"]
                     WHEN c.data_type = 'DOUBLE' THEN 'FLOAT64' WHEN c.data_type = 'VARCHAR' THEN 'STRING'
                     ELSE 'TIMESTAMP' END AS type, r.n AS source_rows
         FROM information_schema.columns c JOIN ({ROW_COUNTS_SQL}) r ON c.table_name = r.t
-        WHERE c.table_name IN ({", ".join(f"'{t}'" for t in _CATALOGED)})""",
+        WHERE c.table_name IN ({_NAMES})""",
 )
 def inventory_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns, logical types and row counts of tables found in the session catalog."""
     options = run_options(spark)
     namespace = f"{options.namespace_prefix}catalog"
-    for name in _CATALOGED:
+    for name in TABLES:
         staged = f"{sf_dir.rstrip('/')}/{name}.parquet"
         create_external_table(spark, staged, options.target_root, namespace, name)
     found = catalog_metadata(spark, [namespace])
     read = catalog_source(spark)
-    counts = row_counts({f"{t}_external": read("", namespace, f"{t}_external") for t in _CATALOGED})
+    counts = row_counts({f"{t}_external": read("", namespace, f"{t}_external") for t in TABLES})
     columns = list_columns(found).withColumn("table_name", F.lower("table"))
     return columns.join(counts.withColumnRenamed("table_key", "table_name"), "table_name").select(
         "table_name", "column_name", "ordinal", logical_type("data_type").alias("type"), F.col("rows").alias("source_rows")

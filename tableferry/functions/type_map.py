@@ -8,22 +8,43 @@ from pyspark.sql import types as T
 
 from tableferry.functions.names import strip_whitespace
 
-# Source type names by the logical target type they map to.
-SOURCE_TYPES = {
-    "NUMERIC": "NUMBER DECIMAL NUMERIC",
-    "INTEGER": "INT INTEGER BIGINT SMALLINT TINYINT BYTEINT",
-    "FLOAT64": "FLOAT FLOAT4 FLOAT8 DOUBLE DOUBLE_PRECISION REAL",
-    "STRING": "VARCHAR CHAR CHARACTER STRING TEXT",
-    "BYTES": "BINARY VARBINARY",
+# The logical target type of each source type name.
+LOGICAL_OF = {
+    "NUMBER": "NUMERIC",
+    "DECIMAL": "NUMERIC",
+    "NUMERIC": "NUMERIC",
+    "INT": "INTEGER",
+    "INTEGER": "INTEGER",
+    "BIGINT": "INTEGER",
+    "SMALLINT": "INTEGER",
+    "TINYINT": "INTEGER",
+    "BYTEINT": "INTEGER",
+    "FLOAT": "FLOAT64",
+    "FLOAT4": "FLOAT64",
+    "FLOAT8": "FLOAT64",
+    "DOUBLE": "FLOAT64",
+    "DOUBLE_PRECISION": "FLOAT64",
+    "REAL": "FLOAT64",
+    "VARCHAR": "STRING",
+    "CHAR": "STRING",
+    "CHARACTER": "STRING",
+    "STRING": "STRING",
+    "TEXT": "STRING",
+    "BINARY": "BYTES",
+    "VARBINARY": "BYTES",
     "BOOLEAN": "BOOLEAN",
     "DATE": "DATE",
     "DATETIME": "DATETIME",
     "TIME": "TIME",
-    "TIMESTAMP": "TIMESTAMP TIMESTAMP_LTZ TIMESTAMP_NTZ TIMESTAMP_TZ",
-    "JSON": "VARIANT OBJECT ARRAY",
+    "TIMESTAMP": "TIMESTAMP",
+    "TIMESTAMP_LTZ": "TIMESTAMP",
+    "TIMESTAMP_NTZ": "TIMESTAMP",
+    "TIMESTAMP_TZ": "TIMESTAMP",
+    "VARIANT": "JSON",
+    "OBJECT": "JSON",
+    "ARRAY": "JSON",
     "GEOGRAPHY": "GEOGRAPHY",
 }
-LOGICAL_OF = {name: logical for logical, names in SOURCE_TYPES.items() for name in names.split()}
 DEFAULT_LOGICAL = "STRING"
 
 # Source types exported as wall-clock timestamps, and the logical
@@ -41,6 +62,9 @@ SPARK_TYPES = {
     "FLOAT": T.DoubleType(),
     "FLOAT64": T.DoubleType(),
     "NUMERIC": T.DecimalType(38, 9),
+    "DECIMAL": T.DecimalType(38, 9),
+    "BIGNUMERIC": T.DecimalType(38, 18),
+    "BIGDECIMAL": T.DecimalType(38, 18),
     "BOOLEAN": T.BooleanType(),
     "BOOL": T.BooleanType(),
     "DATE": T.DateType(),

@@ -89,11 +89,12 @@ def first_rows(source: DataFrame, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
     every split of the table. Only file names pass through the driver.
     """
     try:
-        located = source.select(F.col("_metadata.file_path").alias("file_path"))
+        path = source.metadataColumn("_metadata")["file_path"]
+        located = source.select(path.alias("file_path"))
     except AnalysisException:  # not a plain file scan
         return source.limit(n)
-    files = {row.file_path for row in located.take(n)}
-    return source.where(F.col("_metadata.file_path").isin(sorted(files))).limit(n)
+    files = {row.file_path for row in located.limit(n).distinct().collect()}
+    return source.where(path.isin(sorted(files))).limit(n)
 
 
 def ordered_sample(source: DataFrame, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
@@ -132,6 +133,21 @@ def export_frame(frame: DataFrame, path: str) -> ExportResult:
     return ExportResult(path, observation.get["rows"])
 
 
+def export_selection(
+    source: DataFrame,
+    columns: Sequence[ColumnMapping],
+    sample_rows: int | None = None,
+    select_sql: str | None = None,
+    cast_zoned_timestamps: bool = True,
+) -> DataFrame:
+    """What an export writes: a table's projection, or the user's SELECT in place of it."""
+    if select_sql:
+        frame = custom_selection(source.sparkSession, select_sql, source)
+        return frame if sample_rows is None else frame.limit(sample_rows)
+    rows = source if sample_rows is None else first_rows(source, sample_rows)
+    return export_projection(rows, columns, cast_zoned_timestamps)
+
+
 def export_table(
     source: DataFrame,
     columns: Sequence[ColumnMapping],
@@ -141,11 +157,4 @@ def export_table(
     cast_zoned_timestamps: bool = True,
 ) -> ExportResult:
     """Export one table: its projection, or the user's SELECT in place of it."""
-    if select_sql:
-        frame = custom_selection(source.sparkSession, select_sql, source)
-        frame = frame if sample_rows is None else frame.limit(sample_rows)
-    else:
-        rows = source if sample_rows is None else first_rows(source, sample_rows)
-        frame = export_projection(rows, columns, cast_zoned_timestamps)
-    return export_frame(frame, path)
-
+    return export_frame(export_selection(source, columns, sample_rows, select_sql, cast_zoned_timestamps), path)

@@ -13,45 +13,53 @@ from tableferry.sources.rules import split_rules
 def select_tables(rules: DataFrame, tables: DataFrame) -> DataFrame:
     """Tables matched by any usable rule: ``rule_pos, rule_idx`` + the table's columns.
 
-    One join serves all rules. A table matched by several rules appears once: the
-    first rule fixes its position (``rule_pos``), the last one its record
-    (``rule_idx``).
+    Rules are joined by the names they fix, so a rule for one table meets that table
+    alone. A table matched by several rules appears once: the first rule fixes its
+    position (``rule_pos``), the last one its record (``rule_idx``).
     """
     usable, _ = split_rules(rules)
-    r = usable.alias("r")
-    t = tables.alias("t")
-    matched = t.join(r, _rule_matches(), "inner")
-    return (
-        matched.groupBy(*[F.col(f"t.{name}").alias(name) for name in KEY])
-        .agg(
-            F.min("r.rule_idx").alias("rule_pos"),
-            F.max("r.rule_idx").alias("rule_idx"),
-            F.max_by("t.table_type", "r.rule_idx").alias("table_type"),
-        )
+    ruled = usable.select(
+        *[_opaque(F.upper(F.coalesce(k, F.lit("")))).alias(f"_{k}") for k in KEY],
+        "rule_idx",
+        F.col("exclude_schema_like").alias("_no_schema"),
+        F.col("exclude_table_like").alias("_no_table"),
+        F.coalesce("with_views", F.lit(False)).alias("_views"),
+    )
+    listed = tables.select(*[_opaque(F.col(k)).alias(k) for k in KEY], "table_type")
+    hits = None
+    for fixed in (KEY, KEY[:2], [KEY[0]]):
+        wanted = [(F.col(f"_{k}") != "") if k in fixed else (F.col(f"_{k}") == "") for k in KEY]
+        group = ruled.where(wanted[0] & wanted[1] & wanted[2])
+        keys = [F.col(k) == F.col(f"_{k}") for k in fixed]
+        found = listed.join(group, [*keys, _kept_by_rule(fixed)], "inner")
+        found = found.select(*KEY, "table_type", "rule_idx")
+        hits = found if hits is None else hits.unionAll(found)
+    return hits.groupBy(*KEY).agg(
+        F.min("rule_idx").alias("rule_pos"),
+        F.max("rule_idx").alias("rule_idx"),
+        F.max_by("table_type", "rule_idx").alias("table_type"),
     )
 
 
-def _rule_matches() -> Column:
-    def equals_if_set(name: str) -> Column:
-        value = F.upper(f"r.{name}")
-        return (F.coalesce(value, F.lit("")) == "") | (F.col(f"t.{name}") == value)
+def _opaque(value: Column) -> Column:
+    """The same value, but never folded: a literal name on one side would leave the join without a key."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
 
-    def not_like_any(name: str, patterns: str) -> Column:
+def _kept_by_rule(fixed: list[str]) -> Column:
+    """What a rule asks beside the names it fixes; a fixed name is read from the rule."""
+
+    def like_any(name: str, patterns: str) -> Column:
         # A backslash in a pattern is an ordinary character, not an escape.
+        own = F.col(f"_{name}" if name in fixed else name)
         hit = F.exists(
             patterns,
-            lambda p: (p != "") & F.like(F.col(name), F.replace(F.upper(p), F.lit("\\"), F.lit("\\\\"))),
+            lambda p: (p != "") & F.like(own, F.replace(F.upper(p), F.lit("\\"), F.lit("\\\\"))),
         )
-        return ~F.coalesce(hit, F.lit(False))
-
-    return (
-        (F.upper("r.database") == F.col("t.database"))
-        & equals_if_set("schema")
-        & equals_if_set("table")
-        & not_like_any("t.schema", "r.exclude_schema_like")
-        & not_like_any("t.table", "r.exclude_table_like")
-        & (F.coalesce("r.with_views", F.lit(False)) | (F.col("t.table_type") == BASE_TABLE))
-    )
+        return F.coalesce(hit, F.lit(False))
+
+    views = F.col("_views") | (F.col("table_type") == BASE_TABLE)
+    return ~like_any("schema", "_no_schema") & ~like_any("table", "_no_table") & views
 
 
 def list_columns(metadata: Metadata) -> DataFrame:

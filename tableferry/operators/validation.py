@@ -12,6 +12,8 @@ from tableferry.operators.load import table_name
 
 SUCCEEDED = "succeeded"
 FAILED = "failed"
+# Fixed value: the error of unequal counts.
+MISMATCH = "Row count mismatch: source=%d, target=%d"
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -20,7 +22,9 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
         frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(key).alias("table_key"), "rows")
         for key, frame in frames.items()
     ]
-    return reduce(DataFrame.unionAll, counts)
+    while len(counts) > 1:  # a balanced tree: a chain of unions costs the square of its length
+        counts = [reduce(DataFrame.unionAll, counts[i : i + 2]) for i in range(0, len(counts), 2)]
+    return counts[0]
 
 
 def target_row_count(spark: SparkSession, namespace: str, table: str) -> int:
@@ -32,9 +36,8 @@ def target_row_count(spark: SparkSession, namespace: str, table: str) -> int:
 
 def mismatch(source: Column, target: Column) -> Column:
     """Error text for unequal counts, else null."""
-    text = F.concat(
-        F.lit("Row count mismatch: source="), source.cast("string"), F.lit(", target="), target.cast("string")
-    )
+    before, between, after = (F.lit(x) for x in MISMATCH.split("%d"))
+    text = F.concat(before, source.cast("string"), between, target.cast("string"), after)
     return F.when(source != target, text)
 
 

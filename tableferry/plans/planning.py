@@ -27,6 +27,9 @@ SETTINGS = {
     "action": "string",
 }
 
+# What a user may declare for a table.
+ACTIONS = ("proceed", "skip", "abort")
+
 _LOCATION = ["stage_path", "stage_location", "namespace", "target_table"]
 
 
@@ -62,7 +65,8 @@ def build_plan(
     that cannot be planned keeps its row and says why in ``error``.
     """
     located = _with_errors(_located(selected, options))
-    plan = located.join(target_records(columns), KEY, "left")
+    # Only the columns of selected tables are named, typed and gathered.
+    plan = located.join(target_records(columns.join(selected.select(*KEY), KEY, "left_semi")), KEY, "left")
     no_columns = F.when(F.col("columns").isNull(), F.lit("no columns known for the table"))
     plan = _with_settings(plan, settings)
     return plan.select(
@@ -101,7 +105,21 @@ def _with_settings(plan: DataFrame, settings: DataFrame | None) -> DataFrame:
         )
         repeated = F.when(F.col("_given") > 1, F.lit("settings of the table are given more than once"))
         plan = plan.join(per_table, KEY, "left").withColumn("error", F.coalesce("error", repeated))
-    return plan.withColumns({c: F.lit(None).cast(kind) for c, kind in SETTINGS.items() if c not in given})
+    plan = plan.withColumns({c: F.lit(None).cast(kind) for c, kind in SETTINGS.items() if c not in given})
+    return plan.withColumn("error", F.coalesce("error", _unknown_action()))
+
+
+def _unknown_action() -> Column:
+    known = F.coalesce("action", F.lit(ACTIONS[0])).isin(*ACTIONS)
+    return F.when(~known, F.concat(F.lit("unknown action "), F.col("action")))
+
+
+def rejected_settings(settings: DataFrame, selected: DataFrame) -> DataFrame:
+    """Settings that no planned table takes, with ``reject_reason``: a table that was not selected, an unknown action."""
+    with_action = settings if "action" in settings.columns else settings.withColumn("action", F.lit(None).cast("string"))
+    marked = with_action.join(selected.select(*KEY, F.lit(True).alias("_planned")), KEY, "left")
+    reason = F.when(F.col("_planned").isNull(), F.lit("the table is not in the plan")).otherwise(_unknown_action())
+    return marked.withColumn("reject_reason", reason).where("reject_reason IS NOT NULL").select(*settings.columns, "reject_reason")
 
 
 def _quoted(name: Column) -> Column:
@@ -124,9 +142,11 @@ def _select_sql(options: RunOptions) -> Column:
         F.lit(" FROM "),
         F.concat_ws(".", *[_quoted(F.col(k)) for k in KEY]),
     )
-    if options.sample_rows is not None:
-        generated = F.concat(generated, F.lit(f" LIMIT {options.sample_rows}"))
-    return F.coalesce("override_sql", generated)
+    statement = F.coalesce("override_sql", generated)
+    if options.sample_rows is None:
+        return statement
+    limited = F.concat(F.lit("SELECT * FROM ("), F.col("override_sql"), F.lit(f") LIMIT {options.sample_rows}"))
+    return F.coalesce(limited, F.concat(generated, F.lit(f" LIMIT {options.sample_rows}")))
 
 
 def _with_errors(located: DataFrame) -> DataFrame:

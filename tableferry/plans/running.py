@@ -7,30 +7,35 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from itertools import islice
-from threading import current_thread
+from threading import Event, current_thread
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.paths import KEY
-from tableferry.operators.export import ColumnMapping, export_table
-from tableferry.operators.load import LoadOptions, load_table
-from tableferry.operators.validation import FAILED, SUCCEEDED, target_row_count
-from tableferry.plans.planning import RunOptions
-from tableferry.sources.metadata import VIEW
+from tableferry.operators.export import ColumnMapping, export_frame, export_selection, storable
+from tableferry.operators.load import LoadOptions, check_load, load_table
+from tableferry.operators.validation import FAILED, MISMATCH, SUCCEEDED, target_row_count
+from tableferry.plans.planning import ACTIONS, RunOptions
+from tableferry.sources.metadata import VIEW, error_text
 from tableferry.sources.tables import SourceReader
 
-PROCEED, SKIP, ABORT = "proceed", "skip", "abort"
+PROCEED, SKIP, ABORT = ACTIONS
+# Why a table was not moved.
 SKIPPED = "Skipped by user"
 ABORTED = "Aborted by user"
 INTERRUPTED = "Aborted by user (Ctrl+C)"
 
 OUTCOME_SCHEMA = (
     "database string, schema string, table string, table_key string, table_type string, error string, "
-    "source_rows long, expected_rows long, target_rows long, target string, status string"
+    "source_rows long, expected_rows long, target_rows long, target string, failed_stage string, note string, status string"
 )
+# Stages of one table, as an error names them.
+CHECK, EXPORT, LOAD, COUNT = "Check", "Export", "Load", "Count"
 OUTCOME_COLUMNS = [field.split()[0] for field in OUTCOME_SCHEMA.split(", ")]
+# Hidden folders of a manifest: Spark's readers pass over names that begin with an underscore.
+_PLAN, _PARENT = "_plan", "_parent"
 _OUTCOMES_PER_WRITE = 50
 _SECONDS_PER_WRITE = 30
 
@@ -60,36 +65,67 @@ def dispositions(
 # --- one table ------------------------------------------------------------------------
 
 
-def migrate_table(spark: SparkSession, step: Row, source: SourceReader, options: RunOptions) -> dict:
-    """Export, load and compare one table; the first failing step names the error."""
+class _Interrupted(Exception):
+    """A run was interrupted before this table was done."""
+
+
+def migrate_table(
+    spark: SparkSession, step: Row, source: SourceReader, options: RunOptions, stopped: Event | None = None
+) -> dict:
+    """Check, export, load and compare one table; the first failing step names the error.
+
+    A step with ``staged_rows`` was exported by an earlier run: its staged files are
+    loaded as they are. Once ``stopped`` is set no further stage begins.
+    """
     outcome = {name: step[name] for name in [*KEY, "table_key", "table_type"]}
     outcome |= {"target": f"{step.namespace}.{step.target_table}", "status": FAILED, "error": None}
-    stage = "Export"
+    stage = CHECK
+
+    def begin(name: str) -> str:
+        if stopped is not None and stopped.is_set():
+            raise _Interrupted
+        return name
+
     try:
-        frame = source(step.database, step.schema, step.table)
-        columns = [ColumnMapping(c.column_name, c.data_type, c.name) for c in step["columns"]]
-        exported = export_table(
-            frame, columns, step.stage_location,
-            options.sample_rows, step.override_sql, options.cast_zoned_timestamps,
-        )
-        outcome["expected_rows"] = exported.rows
-        # A view is not evaluated again to count what was just exported as a whole.
-        whole = options.sample_rows is None and not step.override_sql
-        outcome["source_rows"] = exported.rows if whole and step.table_type == VIEW else frame.count()
-        stage = "Load"
-        load_table(
-            spark, exported.path, options.target_root, step.namespace, step.target_table, load_options(step)
-        )
-        stage = "Count"
+        stage, layout, path = begin(CHECK), load_options(step), step.stage_location
+        staged = step["staged_rows"] if "staged_rows" in step else None
+        if staged is None:
+            stage = EXPORT
+            frame = source(step.database, step.schema, step.table)
+            columns = [ColumnMapping(c.column_name, c.data_type, c.name) for c in step["columns"]]
+            chosen = export_selection(
+                frame, columns, options.sample_rows, step.override_sql, options.cast_zoned_timestamps
+            )
+            stage = begin(CHECK)
+            left_out = check_load(spark, storable(chosen).schema, layout)
+            if left_out:
+                outcome["note"] = f"columns that the schema leaves out: {', '.join(left_out)}"
+            stage = begin(EXPORT)
+            exported = export_frame(chosen, path)
+            outcome["expected_rows"], path = exported.rows, exported.path
+            # A view is not evaluated again to count what was just exported as a whole.
+            whole = options.sample_rows is None and not step.override_sql
+            outcome["source_rows"] = exported.rows if whole and step.table_type == VIEW else frame.count()
+            if whole and outcome["source_rows"] != exported.rows:
+                note = f"the source counts {outcome['source_rows']} rows after an export of {exported.rows}"
+                outcome["note"] = "; ".join(filter(None, [outcome.get("note"), note]))
+        else:
+            outcome["expected_rows"], outcome["source_rows"] = staged, step["staged_source_rows"]
+        stage = begin(LOAD)
+        load_table(spark, path, options.target_root, step.namespace, step.target_table, layout)
+        stage = COUNT
         outcome["target_rows"] = target_row_count(spark, step.namespace, step.target_table)
         if outcome["expected_rows"] != outcome["target_rows"]:
-            outcome["error"] = (
-                f"Row count mismatch: source={outcome['expected_rows']}, target={outcome['target_rows']}"
-            )
+            outcome["error"] = MISMATCH % (outcome["expected_rows"], outcome["target_rows"])
+            outcome["failed_stage"] = COUNT
         else:
             outcome["status"] = SUCCEEDED
+    except _Interrupted:
+        outcome |= {"error": INTERRUPTED, "failed_stage": stage}
     except Exception as error:  # one table's failure must not end the batch
-        outcome["error"] = f"{stage} failed: {str(error).splitlines()[0] if str(error) else type(error).__name__}"
+        interrupted = stopped is not None and stopped.is_set()
+        text = INTERRUPTED if interrupted else f"{stage} failed: {error_text(error)}"
+        outcome |= {"error": text, "failed_stage": stage}
     return outcome
 
 
@@ -106,23 +142,32 @@ def load_options(step: Row) -> LoadOptions:
 
 
 def run(
-    spark: SparkSession, plan: DataFrame, source: SourceReader, options: RunOptions, run_id: str
+    spark: SparkSession,
+    plan: DataFrame,
+    source: SourceReader,
+    options: RunOptions,
+    run_id: str,
+    earlier_run_id: str | None = None,
 ) -> DataFrame:
     """Migrate the tables of a plan in order and return their outcomes.
 
     Tables run independently, ``max_parallel`` at a time, each as its own Spark
     jobs; a failure is recorded and the batch goes on. Outcomes are appended to
-    ``<manifest_root>/<run_id>`` as they arrive, so an interrupted run can resume.
-    A ``run_id`` is used once.
+    ``<manifest_root>/<run_id>`` as they arrive, so an interrupted run can resume:
+    a lost driver loses the outcomes of at most the last ``_SECONDS_PER_WRITE``.
+    After an interrupt tables that are under way end their Spark jobs and begin no
+    further stage; what finished keeps its outcome. A ``run_id`` is used once.
     """
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone != options.session_tz:
         raise ValueError(f"session time zone is {zone}, the run asks for {options.session_tz}")
     manifest = f"{options.manifest_root.rstrip('/')}/{run_id}"
     # Decided once and stored: the plan must not change while its tables move.
-    plan_path = f"{options.manifest_root.rstrip('/')}/plan-{run_id}"
+    plan_path = f"{manifest}/{_PLAN}"
     decided = dispositions(plan.withColumn("run_id", F.lit(run_id)))
     decided.write.parquet(plan_path)
+    parent = spark.createDataFrame([(earlier_run_id,)], "earlier_run_id string")
+    parent.coalesce(1).write.json(f"{manifest}/{_PARENT}")
     decided = spark.read.parquet(plan_path)
 
     reason = F.coalesce("error", "reason")
@@ -150,27 +195,34 @@ def _run_steps(
             _append(spark.createDataFrame(rows, OUTCOME_SCHEMA).coalesce(1), manifest)
             finished.clear()
 
-    tag = f"tableferry-{uuid.uuid4().hex}"
+    tag, stopped = f"tableferry-{uuid.uuid4().hex}", Event()
 
     def migrate(step: Row) -> dict:
         # One FAIR pool per worker thread keeps a huge table from starving the others.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", current_thread().name)
         spark.sparkContext.addJobTag(tag)
-        return migrate_table(spark, step, source, options)
+        return migrate_table(spark, step, source, options, stopped)
 
     with ThreadPoolExecutor(options.max_parallel, "tableferry") as pool:
         target = inheritable_thread_target(spark)(migrate)
         pending: set[Future] = {pool.submit(target, s) for s in islice(steps, options.max_parallel)}
+        done: set[Future] = set()
         try:
             while pending:
                 done, pending = wait(pending, _SECONDS_PER_WRITE, FIRST_COMPLETED)
-                finished += [future.result() for future in done]
+                while done:
+                    finished.append(done.pop().result())
                 # Small tables are written together, the outcome of a long one at once.
                 if len(finished) >= _OUTCOMES_PER_WRITE or time.monotonic() - written > _SECONDS_PER_WRITE:
                     flush()
-                pending |= {pool.submit(target, s) for s in islice(steps, len(done))}
-        except KeyboardInterrupt:
-            spark.sparkContext.cancelJobsWithTag(tag)
+                pending |= {pool.submit(target, s) for s in islice(steps, options.max_parallel - len(pending))}
+        except BaseException:
+            stopped.set()
+            waiting = done | pending
+            while not all(f.done() for f in waiting):
+                spark.sparkContext.cancelJobsWithTag(tag)  # again: a worker may have been between two jobs
+                wait(waiting, 1)
+            finished += [f.result() for f in waiting if not f.cancelled() and f.exception() is None]
             raise
         finally:
             flush()
@@ -182,6 +234,8 @@ def _as_failed(steps: DataFrame, error: Column) -> DataFrame:
         **counts,
         "error": error,
         "target": F.concat_ws(".", "namespace", "target_table"),
+        "failed_stage": F.lit(None).cast("string"),
+        "note": F.lit(None).cast("string"),
         "status": F.lit(FAILED),
     }
     return steps.select(*[made[n].alias(n) if n in made else F.col(n) for n in OUTCOME_COLUMNS])
@@ -210,6 +264,29 @@ def remaining(plan: DataFrame, outcomes: DataFrame, by: list[str] = KEY) -> Data
     return plan.join(outcomes.select(*by), by, "left_anti")
 
 
+def run_chain(spark: SparkSession, options: RunOptions, run_id: str) -> list[str]:
+    """A run and the runs that it resumed, latest first."""
+    chain: list[str] = []
+    while run_id is not None and run_id not in chain:
+        chain.append(run_id)
+        parent = spark.read.schema("earlier_run_id string").json(_hidden(options, run_id, _PARENT)).first()
+        run_id = parent and parent.earlier_run_id
+    return chain
+
+
+def _hidden(options: RunOptions, run_id: str, name: str) -> str:
+    return f"{options.manifest_root.rstrip('/')}/{run_id}/{name}"
+
+
+def chain_outcomes(spark: SparkSession, options: RunOptions, run_id: str) -> DataFrame:
+    """Outcomes of a run and those it resumed, with ``age`` (0: the latest run)."""
+    found = None
+    for age, name in enumerate(run_chain(spark, options, run_id)):
+        own = read_outcomes(spark, f"{options.manifest_root.rstrip('/')}/{name}").withColumn("age", F.lit(age))
+        found = own if found is None else found.unionAll(own)
+    return found
+
+
 def resume(
     spark: SparkSession,
     plan: DataFrame,
@@ -217,7 +294,19 @@ def resume(
     options: RunOptions,
     run_id: str,
     earlier_run_id: str,
+    reload: bool = False,
 ) -> DataFrame:
-    """Run the tables that an earlier run did not finish successfully."""
-    earlier = read_outcomes(spark, f"{options.manifest_root.rstrip('/')}/{earlier_run_id}", SUCCEEDED)
-    return run(spark, remaining(plan, earlier), source, options, run_id)
+    """Run the tables that an earlier run, and the runs which that one resumed, did not finish.
+
+    With ``reload`` a table whose last outcome failed at the load or the count is
+    loaded from the files that its export staged; nothing of the source is read.
+    """
+    earlier = chain_outcomes(spark, options, earlier_run_id)
+    left = remaining(plan, earlier.where(F.col("status") == SUCCEEDED))
+    if reload:
+        latest = earlier.groupBy(*KEY).agg(F.min_by(F.struct("failed_stage", "expected_rows", "source_rows"), "age").alias("last"))
+        staged = latest.where(F.col("last.failed_stage").isin(LOAD, COUNT)).select(
+            *KEY, F.col("last.expected_rows").alias("staged_rows"), F.col("last.source_rows").alias("staged_source_rows")
+        )
+        left = left.join(staged, KEY, "left")
+    return run(spark, left, source, options, run_id, earlier_run_id)

@@ -25,6 +25,11 @@ ERRORS_SCHEMA = "database string, schema string, table string, error string"
 TableKey = tuple[str, str, str]
 
 
+def error_text(error: Exception) -> str:
+    """The whole message of an error, or its kind if it has none."""
+    return str(error) or type(error).__name__
+
+
 @dataclass(frozen=True)
 class Metadata:
     """``tables`` and ``columns`` of the source, plus tables that could not be read."""
@@ -68,7 +73,7 @@ def schema_metadata(
         try:
             return key, table_type, read_schema(key), None
         except Exception as error:  # one broken table must not hide the others
-            return key, table_type, None, str(error).splitlines()[0]
+            return key, table_type, None, error_text(error)
 
     with ThreadPoolExecutor(parallelism) as pool:
         scanned = list(pool.map(scan, entries))
@@ -100,25 +105,57 @@ def parquet_metadata(
     return schema_metadata(spark, entries, lambda key: spark.read.parquet(paths[key]).schema)
 
 
-def catalog_metadata(spark: SparkSession, schemas: Iterable[str] | None = None) -> Metadata:
-    """Metadata of the session's current catalog (catalog name = database).
+def catalog_metadata(
+    spark: SparkSession,
+    schemas: Iterable[str] | None = None,
+    rules: DataFrame | None = None,
+    parallelism: int = 8,
+) -> Metadata:
+    """Metadata of the session's catalogs (catalog name = database).
 
-    Names are reported in upper case, the form selection rules compare with.
+    Names are reported in upper case, the form selection rules compare with. With
+    ``rules`` the catalogs that usable rules name are listed, and only tables that a
+    rule selects are opened; without, all tables of the current catalog. ``schemas``
+    restricts the listing.
     """
-    catalog = spark.catalog.currentCatalog()
-    schemas = list(schemas) if schemas is not None else [d.name for d in spark.catalog.listDatabases()]
-    names, entries, unlisted = {}, [], []
-    for schema in schemas:
-        try:
-            listed = spark.catalog.listTables(schema)
-        except Exception as error:  # one broken schema must not hide the others
-            unlisted.append((catalog.upper(), schema.upper(), None, str(error).splitlines()[0]))
-            continue
-        for table in listed:
-            if table.isTemporary:
+    from tableferry.operators.selection import select_tables
+    from tableferry.sources.rules import split_rules
+
+    current = spark.catalog.currentCatalog()
+    catalogs = [current]
+    if rules is not None:
+        usable, _ = split_rules(rules)
+        wanted = {r[0] for r in usable.select(F.upper("database")).distinct().collect()}
+        known = {current, *(c.name for c in spark.catalog.listCatalogs())}
+        catalogs = sorted(c for c in known if c.upper() in wanted)
+    names, kinds, unlisted = {}, {}, []
+    for catalog in catalogs:
+        for schema in _schemas(spark, catalog, current, schemas):
+            try:
+                listed = spark.catalog.listTables(f"{_quoted(catalog)}.{_quoted(schema)}")
+            except Exception as error:  # one broken schema must not hide the others
+                unlisted.append((catalog.upper(), schema.upper(), None, error_text(error)))
                 continue
-            key = (catalog.upper(), schema.upper(), table.name.upper())
-            names[key] = f"`{schema}`.`{table.name}`"
-            entries.append((key, VIEW if table.tableType == "VIEW" else BASE_TABLE))
-    found = schema_metadata(spark, entries, lambda key: spark.table(names[key]).schema)
+            for table in listed:
+                if not table.isTemporary:
+                    key = (catalog.upper(), schema.upper(), table.name.upper())
+                    names[key] = f"{_quoted(catalog)}.{_quoted(schema)}.{_quoted(table.name)}"
+                    kinds[key] = VIEW if table.tableType == "VIEW" else BASE_TABLE
+    if rules is not None:
+        tables = spark.createDataFrame([(*key, kind) for key, kind in kinds.items()], TABLES_SCHEMA)
+        hits = select_tables(rules, tables).select("database", "schema", "table").toLocalIterator()
+        kinds = {tuple(r): kinds[tuple(r)] for r in hits}
+    found = schema_metadata(spark, kinds.items(), lambda key: spark.table(names[key]).schema, parallelism)
     return replace(found, errors=found.errors.union(spark.createDataFrame(unlisted, ERRORS_SCHEMA)))
+
+
+def _schemas(spark: SparkSession, catalog: str, current: str, schemas: Iterable[str] | None) -> list[str]:
+    if schemas is not None:
+        return list(schemas)
+    if catalog == current:
+        return [d.name for d in spark.catalog.listDatabases()]
+    return [r[0] for r in spark.sql(f"SHOW NAMESPACES IN {_quoted(catalog)}").collect()]
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"

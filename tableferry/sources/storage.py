@@ -30,9 +30,33 @@ def delete_directory(spark: SparkSession, path: str) -> None:
 
 
 def reads_from(frame: DataFrame, path: str) -> bool:
-    """Whether any input file of a frame lies under ``path``."""
+    """Whether any input of a frame lies under ``path`` or holds it.
+
+    The root paths of its scans are compared; files are listed only for scans that do
+    not name their roots.
+    """
     directory = qualified(frame.sparkSession, path) + "/"
-    return any(_plain(file).startswith(directory) for file in frame.inputFiles())
+    roots = _scan_roots(frame)
+    found = [_plain(x) for x in (frame.inputFiles() if roots is None else roots)]
+    return any(f"{x}/".startswith(directory) or directory.startswith(f"{x}/") for x in found)
+
+
+def _scan_roots(frame: DataFrame) -> list[str] | None:
+    """Root paths of the file scans of a frame, or None where a scan does not tell."""
+    leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+    roots: list[str] = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() != "HadoopFsRelation":
+                return None
+            paths = relation.location().rootPaths()
+            roots += [paths.apply(j).toUri().toString().rstrip("/") for j in range(paths.size())]
+        elif kind not in ("LocalRelation", "Range", "OneRowRelation", "LogicalRDD"):
+            return None
+    return roots
 
 
 def _plain(uri: str) -> str:

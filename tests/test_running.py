@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import threading
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tableferry.operators.selection import select_tables
 from tableferry.operators.validation import reconcile, row_counts
 from tableferry.plans import running
-from tableferry.plans.planning import SETTINGS, RunOptions, build_plan, write_plan
+from tableferry.plans.planning import SETTINGS, RunOptions, build_plan, rejected_settings, write_plan
 from tableferry.plans.running import dispositions, migrate_table, read_outcomes, remaining, resume, run, status_totals
 from tableferry.sources.metadata import COLUMNS_SCHEMA, TABLES_SCHEMA, parquet_metadata
 from tableferry.sources.rules import make_rules, rules_from_manifest
@@ -56,7 +57,7 @@ def test_one_failure_does_not_end_the_batch(spark, options, max_parallel):
     plan = plan_for(spark, options, {"table": "NATION", "cluster_fields": ["nope"]})
     found = statuses(run(spark, plan, parquet_source(spark, paths), options, "r"))
     assert found["CUSTOMER"][1].startswith("Export failed: ")
-    assert found["NATION"] == ("failed", "Load failed: cluster fields not in the table: ['nope']")
+    assert found["NATION"] == ("failed", "Check failed: cluster fields not in the table: ['nope']")
     assert {name: found[name][0] for name in ("ORDERS", "PART", "REGION")} == dict.fromkeys(["ORDERS", "PART", "REGION"], "succeeded")
 
 
@@ -113,6 +114,93 @@ def test_interrupt_keeps_finished_outcomes_and_resume_does_the_rest(spark, optio
     assert resumed == dict.fromkeys(["ORDERS", "PART", "REGION"], ("succeeded", None))
 
 
+def test_a_wrong_layout_writes_nothing(spark, options, tmp_path):
+    wrong = [{"table": "PART", "cluster_fields": ["nope"]}, {"table": "NATION", "custom_schema": "no json"}, {"table": "ORDERS", "partition_field": "o_custkey"}]
+    plan = plan_for(spark, options, *wrong).where("table IN ('PART', 'NATION', 'ORDERS')")
+    found = statuses(run(spark, plan, parquet_source(spark, PATHS), options, "r"))
+    assert all(status == "failed" and error.startswith("Check failed: ") for status, error in found.values())
+    assert not (tmp_path / "stage").exists()
+
+
+def test_left_out_columns_are_noted(spark, options):
+    plan = plan_for(spark, options, {"table": "PART", "custom_schema": '[{"name": "p_partkey", "type": "INTEGER"}]'}).where("table = 'PART'")
+    row = run(spark, plan, parquet_source(spark, PATHS), options, "r").first()
+    assert row.status == "succeeded" and row.note.startswith("columns that the schema leaves out: p_name, p_brand")
+
+
+def test_an_unknown_action_and_stray_settings_are_reported(spark, options):
+    given = [{"table": "PART", "action": "Abort"}, {"table": "NOWHERE", "action": "skip"}, {"table": "ORDERS", "action": "skip"}]
+    errors = {r.table: r.error for r in plan_for(spark, options, *given).collect()}
+    assert errors == {**dict.fromkeys(NAMES), "PART": "unknown action Abort"}
+    settings = spark.createDataFrame([("WH", "PUBLIC", g["table"], g["action"]) for g in given], "database string, schema string, table string, action string")
+    rejected = rejected_settings(settings, plan_for(spark, options))
+    assert {r.table: r.reject_reason for r in rejected.collect()} == {"PART": "unknown action Abort", "NOWHERE": "the table is not in the plan"}
+
+
+def test_no_stage_begins_after_an_interrupt(spark, options, monkeypatch):
+    options = RunOptions(**{**options.__dict__, "max_parallel": 2})
+    reader, exported = parquet_source(spark, PATHS), threading.Event()
+    real = running.export_frame
+
+    def export(frame, path):
+        result = real(frame, path)
+        if "customer" in path:
+            exported.set()
+            time.sleep(4)  # between two stages, without a job to cancel
+        return result
+
+    def source(database, schema, table):
+        if table == "NATION":
+            exported.wait(60)
+            raise KeyboardInterrupt
+        return reader(database, schema, table)
+
+    monkeypatch.setattr(running, "export_frame", export)
+    found = statuses(run(spark, plan_for(spark, options), source, options, "r"))
+    assert set(found.values()) == {("failed", "Aborted by user (Ctrl+C)")}
+    assert not spark.catalog.tableExists(f"{options.namespace_prefix}wh_public.customer")
+
+
+def test_a_chain_of_runs_moves_each_table_once(spark, options):
+    plan, reader, moved = plan_for(spark, options), parquet_source(spark, PATHS), []
+
+    def without(*missing):
+        def source(database, schema, table):
+            if table in missing:
+                raise RuntimeError("away\nfor now")
+            moved.append(table)
+            return reader(database, schema, table)
+
+        return source
+
+    first = run(spark, plan, without("PART", "ORDERS"), options, "1")
+    assert first.where("table = 'PART'").first().error == "Export failed: away\nfor now"
+    resume(spark, plan, without("ORDERS"), options, "2", "1")
+    resume(spark, plan, without(), options, "3", "2")
+    assert sorted(moved) == sorted(NAMES)
+    assert running.run_chain(spark, options, "3") == ["3", "2", "1"]
+
+
+def test_a_failed_load_is_repeated_from_the_staged_files(spark, options, monkeypatch):
+    plan, reader = plan_for(spark, options).where("table IN ('PART', 'REGION')"), parquet_source(spark, PATHS)
+    real = running.load_table
+
+    def broken(spark, path, root, namespace, table, layout):
+        if table == "part":
+            raise RuntimeError("no room")
+        return real(spark, path, root, namespace, table, layout)
+
+    monkeypatch.setattr(running, "load_table", broken)
+    assert statuses(run(spark, plan, reader, options, "1"))["PART"] == ("failed", "Load failed: no room")
+    monkeypatch.setattr(running, "load_table", real)
+
+    def gone(*key):
+        raise AssertionError("the source is read again")
+
+    row = resume(spark, plan, gone, options, "2", "1", reload=True).collect()
+    assert [(r.table, r.status, r.source_rows, r.target_rows) for r in row] == [("PART", "succeeded", 200, 200)]
+
+
 def test_interrupt_cancels_the_jobs_of_other_tables(spark, options):
     options = RunOptions(**{**options.__dict__, "max_parallel": 2})
     reader = parquet_source(spark, PATHS)

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import json
 
-from tableferry.operators.selection import select_tables, table_counts, table_records
-from tableferry.sources.metadata import TABLES_SCHEMA, catalog_metadata, parquet_metadata
-from tableferry.sources.rules import make_rules, read_rules, split_rules
+from pyspark.sql import functions as F
+
+from tableferry.operators.selection import in_listing_order, select_tables, table_counts, table_records
+from tableferry.sources.metadata import TABLES_SCHEMA, catalog_metadata, parquet_metadata, schema_metadata
+from tableferry.sources.rules import make_rules, read_rules, rules_from_manifest, split_rules
 
 from conftest import SF_DIR
 
@@ -98,6 +100,44 @@ def test_catalog_metadata(spark, namespace, tmp_path):
     assert [(c.column_name, c.data_type) for c in record["columns"]] == [("id", "BIGINT"), ("at", "TIMESTAMP_LTZ")]
 
 
+def test_rules_open_only_what_they_select(spark, namespace, tmp_path, monkeypatch):
+    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{tmp_path}/db'")
+    for name in ("a", "b"):
+        spark.range(3).write.option("path", f"{tmp_path}/{name}").saveAsTable(f"{namespace}.{name}")
+    opened = []
+    read = type(spark).table
+    monkeypatch.setattr(type(spark), "table", lambda self, name: opened.append(name) or read(self, name))
+    rules = make_rules(spark, [{"database": "spark_catalog", "schema": namespace, "exclude_table_like": ["A"]}])
+    found = catalog_metadata(spark, rules=rules)
+    assert [(r.schema, r.table) for r in found.tables.collect()] == [(namespace.upper(), "B")]
+    assert [n for n in opened if namespace in n] == [f"`spark_catalog`.`{namespace}`.`b`"]
+
+
+def test_an_error_without_a_message_does_not_hide_others(spark):
+    def read(key):
+        if key[2] == "BAD":
+            raise RuntimeError
+        return spark.range(1).schema
+
+    found = schema_metadata(spark, [(("D", "S", "BAD"), "BASE TABLE"), (("D", "S", "OK"), "BASE TABLE")], read)
+    assert [r.error for r in found.errors.collect()] == ["RuntimeError"] and [r.table for r in found.tables.collect()] == ["OK"]
+
+
+def test_exact_rules_join_on_all_names(spark):
+    tables = spark.range(1000).select(F.lit("D").alias("database"), F.lit("S").alias("schema"), F.concat(F.lit("T"), "id").alias("table"), F.lit("BASE TABLE").alias("table_type"))
+    manifest = tables.where("table < 'T5'")
+    selected = select_tables(rules_from_manifest(manifest), tables)
+    plan = selected._jdf.queryExecution().optimizedPlan().toString() + selected._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Join Cross" not in plan
+    assert selected.count() == manifest.count()
+
+
+def test_columns_are_listed_in_order(spark):
+    rows = [("D", "B", "T", 1, "X", "INT"), ("D", "A", "U", 2, "Y", "INT"), ("D", "A", "U", 1, "Z", "INT"), ("D", "A", "T", 1, "W", "INT")]
+    listed = in_listing_order(spark.createDataFrame(rows, "database string, schema string, table string, ordinal int, column_name string, data_type string"))
+    assert [r.column_name for r in listed.collect()] == ["W", "Z", "Y", "X"]
+
+
 def test_counts_end_with_the_total(spark):
     found = [tuple(r) for r in table_counts(spark.createDataFrame(TABLES, TABLES_SCHEMA)).collect()]
     assert found == [("DEV.PUBLIC", 6), ("PROD.ANALYTICS", 2), ("PROD.RAW", 1), ("Total", 9)]
