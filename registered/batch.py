@@ -12,6 +12,7 @@ from registered.warehouse import COLUMNS_SQL, FIELDS_SQL
 from tableferry.operators.selection import select_tables
 from tableferry.operators.validation import reconcile, row_counts
 from tableferry.plans import planning, running
+from tableferry.plans.inference import effective_columns, infer_schema, override_columns
 from tableferry.plans.planning import RunOptions, build_plan
 from tableferry.sources.metadata import parquet_metadata
 from tableferry.sources.rules import make_rules, rules_from_manifest
@@ -304,3 +305,43 @@ def plan_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = row_counts({f"WH.PUBLIC.{t.upper()}": table(spark, sf_dir, t) for t in TABLES})
     plan = planning.with_source_rows(_plan(spark, sf_dir, TABLES, options), counts)
     return plan.select("table_key", "namespace", "target_table", "source_rows")
+
+
+@query(
+    "infer_override_schema",
+    """SELECT name, type, ordinal, n AS source_rows
+       FROM (VALUES ('customer_id', 'INTEGER', 1), ('order_date', 'STRING', 2), ('user_email', 'NUMERIC', 3)) AS f (name, type, ordinal)
+       CROSS JOIN (SELECT count(*) AS n FROM customer)""",
+)
+def infer_override_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target fields of a user's SELECT, planned from its analyzed output; the row count is the source's."""
+    override = "SELECT c_custkey AS `customer.id`, c_name AS `order date`, CAST(c_acctbal AS DECIMAL(12, 2)) AS `user@email` FROM {source}"
+    settings = _settings(spark, [_setting("CUSTOMER", override_sql=override)])
+    source = parquet_source(spark, table_paths(sf_dir))
+    columns = parquet_metadata(spark, table_paths(sf_dir)).columns
+    fields = infer_schema(effective_columns(columns, override_columns(settings, source))).where("table = 'CUSTOMER'")
+    counted = fields.crossJoin(source("WH", "PUBLIC", "CUSTOMER").agg(F.count(F.lit(1)).alias("source_rows")))
+    return counted.select("name", "type", "ordinal", "source_rows")
+
+
+@query(
+    "selected_from_manifest",
+    """SELECT n_name AS "schema", c_name AS "table", 'BASE TABLE' AS table_type
+       FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0""",
+)
+def selected_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog with a table for each customer, and a manifest that names those in debt one by one."""
+    named = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    tables = named.select(
+        F.lit("WH").alias("database"),
+        F.upper("n_name").alias("schema"),
+        F.upper("c_name").alias("table"),
+        F.lit("BASE TABLE").alias("table_type"),
+        F.struct("n_name", "c_name").alias("spelled"),
+        "c_acctbal",
+    )
+    rules = rules_from_manifest(tables.where("c_acctbal < 0"))
+    found = select_tables(rules, tables.drop("spelled", "c_acctbal"))
+    return found.join(tables.select("schema", "table", "spelled"), ["schema", "table"]).select(
+        F.col("spelled.n_name").alias("schema"), F.col("spelled.c_name").alias("table"), "table_type"
+    )

@@ -280,3 +280,41 @@ def load_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_table(spark, exported(parts), options.target_root, *target, LoadOptions(cluster_fields=("p_brand",)))
     delete_directory(spark, orders)
     return read_table(spark, *target).withColumn("rows_before", F.lit(before))
+
+
+@query("load_failure_keeps_old", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def load_failure_keeps_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fails in the middle of its rows leaves the table that an earlier load made."""
+    options = run_options(spark)
+    target = (f"{options.namespace_prefix}wh_public", TABLE)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    load_table(spark, exported(orders), options.target_root, *target)
+    holes = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey")))
+    required = LoadOptions(custom_schema=[{"name": "o_orderkey", "type": "INTEGER", "mode": "REQUIRED"}])
+    try:
+        load_table(spark, exported(holes), options.target_root, *target, required)
+    except Exception:
+        return read_table(spark, *target)
+    raise AssertionError("the load did not fail")
+
+
+@query(
+    "load_rows",
+    """SELECT layout, count(*) AS source_rows, count(*) AS loaded_rows
+       FROM lineitem CROSS JOIN (VALUES ('plain'), ('partitioned'), ('clustered'), ('both')) AS l (layout) GROUP BY layout""",
+)
+def load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row count that a load reports, for every kind of layout."""
+    options = run_options(spark)
+    lines = table(spark, sf_dir, "lineitem")
+    staged = exported(lines)
+    month = {"partition_field": "l_shipdate", "partition_unit": "MONTH"}
+    cluster = {"cluster_fields": ("l_suppkey",)}
+    layouts = {"plain": {}, "partitioned": month, "clustered": cluster, "both": {**month, **cluster}}
+    namespace = f"{options.namespace_prefix}wh_public"
+    rows = [
+        (name, load_table(spark, staged, options.target_root, namespace, name, LoadOptions(**layout)).rows)
+        for name, layout in layouts.items()
+    ]
+    loads = spark.createDataFrame(rows, "layout string, loaded_rows long")
+    return loads.crossJoin(lines.agg(F.count(F.lit(1)).alias("source_rows"))).select("layout", "source_rows", "loaded_rows")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import uuid
 import warnings
 from collections.abc import Sequence
@@ -63,9 +64,8 @@ def parse_schema(custom_schema: str | Sequence[dict[str, Any]]) -> list[tuple[st
     for field in fields:
         if not isinstance(field, dict) or not field.get("name") or not field.get("type"):
             raise ValueError(f"schema field needs 'name' and 'type': {field}")
-        type_name, mode = field["type"].upper(), (field.get("mode") or "NULLABLE").upper()
-        if type_name not in SPARK_TYPES:
-            raise ValueError(f"unknown type {field['type']} of field {field['name']}")
+        type_name, mode = field["type"].upper().replace(" ", ""), (field.get("mode") or "NULLABLE").upper()
+        field_type(field)
         if mode not in MODES:
             raise ValueError(f"unknown mode {field['mode']} of field {field['name']}")
         parsed.append((field["name"], type_name, mode))
@@ -74,6 +74,29 @@ def parse_schema(custom_schema: str | Sequence[dict[str, Any]]) -> list[tuple[st
     return parsed
 
 
+def field_type(field: dict[str, Any]) -> T.DataType:
+    """The Spark type of a schema field without its mode.
+
+    NUMERIC and its kin may give precision and scale, text and bytes a length (which
+    nothing enforces); a RECORD has ``fields`` of its own.
+    """
+    match = re.fullmatch(r"(\w+)(?:\((\d+)(?:,(\d+))?\))?", field["type"].upper().replace(" ", ""))
+    name, first, second = match.groups() if match else (None, None, None)
+    if name in ("RECORD", "STRUCT"):
+        inner = field.get("fields") or []
+        types = [field_type(f) for f, _ in zip(inner, parse_schema(inner), strict=True)]
+        repeated = [(f.get("mode") or "").upper() == "REPEATED" for f in inner]
+        return T.StructType([T.StructField(f["name"], T.ArrayType(t) if r else t) for f, t, r in zip(inner, types, repeated)])
+    kind = SPARK_TYPES.get(name)
+    if kind is None or first is not None and not isinstance(kind, (T.DecimalType, T.StringType, T.BinaryType)):
+        raise ValueError(f"unknown type {field['type']} of field {field['name']}")
+    if first is not None and isinstance(kind, T.DecimalType):
+        if not 0 <= int(second or 0) <= int(first) <= 38:
+            raise ValueError(f"a decimal holds at most 38 digits: {field['type']} of field {field['name']}")
+        return T.DecimalType(int(first), int(second or 0))
+    return kind
+
+
 def enforce_schema(
     frame: DataFrame,
     custom_schema: str | Sequence[dict[str, Any]],
@@ -86,11 +109,13 @@ def enforce_schema(
     are kept behind the fields of the schema.
     """
     fields = parse_schema(custom_schema)
+    given = json.loads(custom_schema) if isinstance(custom_schema, str) else custom_schema
+    types = {f["name"]: field_type(f) for f in given}
     present = {f.name.lower(): f for f in frame.schema.fields}
     parsed_json, target = {}, []
     for name, type_name, mode in fields:
         found = present.get(name.lower())
-        data_type = SPARK_TYPES[type_name]
+        data_type = types[name]
         if mode == "REQUIRED" and found is None:
             raise ValueError(f"required field {name} is not in the data")
         if mode == "REPEATED":

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.names import dedup_names, normalize_name
 from tableferry.functions.paths import KEY
-from tableferry.functions.type_map import DEFAULT_LOGICAL, TEMPORAL_TYPES, logical_type
+from tableferry.functions.type_map import DEFAULT_LOGICAL, TEMPORAL_TYPES, logical_type, source_type_name
 from tableferry.operators.selection import table_records
+from tableferry.sources.metadata import COLUMNS_SCHEMA
+from tableferry.sources.tables import SourceReader, run_sql
 
 
 def target_records(columns: DataFrame) -> DataFrame:
@@ -35,6 +37,29 @@ def target_records(columns: DataFrame) -> DataFrame:
     return records.select(*KEY, fields.alias("columns"))
 
 
+def override_columns(settings: DataFrame, source: SourceReader) -> DataFrame:
+    """Metadata rows of the output of every ``override_sql``, from its analysis alone; no data is read.
+
+    A SELECT that cannot be analyzed has no rows here; its export will say why.
+    """
+    spark = settings.sparkSession
+    rows = []
+    for step in settings.where("override_sql IS NOT NULL").select(*KEY, "override_sql").toLocalIterator():
+        key = (step.database, step.schema, step.table)
+        try:
+            schema = run_sql(spark, step.override_sql, source=source(*key)).schema
+        except Exception:  # the table keeps its row in the plan
+            continue
+        rows += [(*key, i, f.name, source_type_name(f.dataType)) for i, f in enumerate(schema.fields, 1)]
+    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+
+
+def effective_columns(columns: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Metadata rows with those of ``overrides`` in place of a table's own."""
+    replaced = overrides.select(*KEY).distinct()
+    return columns.join(replaced, KEY, "left_anti").unionByName(overrides)
+
+
 def infer_schema(columns: DataFrame) -> DataFrame:
     """``KEY, ordinal, source_name, name, type, mode`` of every target column."""
     return target_records(columns).select(*KEY, F.explode("columns").alias("f")).select(

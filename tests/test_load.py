@@ -63,6 +63,9 @@ def test_schema_template():
         [{"type": "STRING"}],
         ["id"],
         [{"name": "id", "type": "NOPE"}],
+        [{"name": "id", "type": "NUMERIC(40,2)"}],
+        [{"name": "id", "type": "INTEGER(3)"}],
+        [{"name": "r", "type": "RECORD", "fields": [{"name": "x"}]}],
         [{"name": "id", "type": "STRING", "mode": "MAYBE"}],
         [{"name": "id", "type": "STRING"}, {"name": "ID", "type": "STRING"}],
     ],
@@ -86,6 +89,18 @@ def test_enforce_types(spark):
     assert found.count() == 1
 
 
+def test_decimals_and_records(spark):
+    inner = [{"name": "x", "type": "numeric(10, 2)"}, {"name": "y", "type": "STRING(20)", "mode": "REPEATED"}]
+    fields = {"a": "NUMERIC(10,2)", "b": "DECIMAL", "c": "BIGNUMERIC", "d": "BIGNUMERIC(5)"}
+    schema = [{"name": n, "type": t} for n, t in fields.items()] + [{"name": "r", "type": "RECORD", "fields": inner}]
+    source = spark.sql("SELECT 1 AS a, 2 AS b, 3 AS c, 4 AS d, named_struct('y', array('p'), 'x', 5) AS r")
+    found = enforce_schema(source, schema)
+    assert [f.simpleString() for f in found.schema.fields] == [
+        "a:decimal(10,2)", "b:decimal(38,9)", "c:decimal(38,18)", "d:decimal(5,0)", "r:struct<x:decimal(10,2),y:array<string>>",
+    ]
+    assert found.first().r.y == ["p"]
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_values_that_do_not_fit_fail(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
