@@ -27,8 +27,8 @@ SETTINGS = {
     "action": "string",
 }
 
-# What a user may declare for a table.
-ACTIONS = ("proceed", "skip", "abort")
+# What a user may declare for a table. ``export`` stages it and leaves the load to a later run.
+ACTIONS = ("proceed", "skip", "abort", "export")
 
 _LOCATION = ["stage_path", "stage_location", "namespace", "target_table"]
 

@@ -21,7 +21,7 @@ from tableferry.plans.planning import ACTIONS, RunOptions
 from tableferry.sources.metadata import VIEW, error_text
 from tableferry.sources.tables import SourceReader
 
-PROCEED, SKIP, ABORT = ACTIONS
+PROCEED, SKIP, ABORT, EXPORT_ONLY = ACTIONS
 # Why a table was not moved.
 SKIPPED = "Skipped by user"
 ABORTED = "Aborted by user"
@@ -75,7 +75,7 @@ def migrate_table(
     """Check, export, load and compare one table; the first failing step names the error.
 
     A step with ``staged_rows`` was exported by an earlier run: its staged files are
-    loaded as they are. Once ``stopped`` is set no further stage begins.
+    loaded as they are. One that is only to be exported ends there, skipped. Once ``stopped`` is set no further stage begins.
     """
     outcome = {name: step[name] for name in [*KEY, "table_key", "table_type"]}
     outcome |= {"target": f"{step.namespace}.{step.target_table}", "status": FAILED, "error": None}
@@ -109,6 +109,8 @@ def migrate_table(
             if whole and outcome["source_rows"] != exported.rows:
                 note = f"the source counts {outcome['source_rows']} rows after an export of {exported.rows}"
                 outcome["note"] = "; ".join(filter(None, [outcome.get("note"), note]))
+            if step.action == EXPORT_ONLY:
+                return outcome | {"error": SKIPPED, "failed_stage": LOAD}
         else:
             outcome["expected_rows"], outcome["source_rows"] = staged, step["staged_source_rows"]
         stage = begin(LOAD)
@@ -269,15 +271,12 @@ def run_chain(spark: SparkSession, options: RunOptions, run_id: str) -> list[str
     chain: list[str] = []
     while run_id is not None and run_id not in chain:
         chain.append(run_id)
-        parent = spark.read.schema("earlier_run_id string").json(_hidden(options, run_id, _PARENT)).first()
+        path = f"{options.manifest_root.rstrip('/')}/{run_id}/{_PARENT}"
+        parent = spark.read.schema("earlier_run_id string").json(path).first()
         run_id = parent and parent.earlier_run_id
     return chain
 
 
-def _hidden(options: RunOptions, run_id: str, name: str) -> str:
-    return f"{options.manifest_root.rstrip('/')}/{run_id}/{name}"
-
-
 def chain_outcomes(spark: SparkSession, options: RunOptions, run_id: str) -> DataFrame:
     """Outcomes of a run and those it resumed, with ``age`` (0: the latest run)."""
     found = None

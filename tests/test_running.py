@@ -201,6 +201,15 @@ def test_a_failed_load_is_repeated_from_the_staged_files(spark, options, monkeyp
     assert [(r.table, r.status, r.source_rows, r.target_rows) for r in row] == [("PART", "succeeded", 200, 200)]
 
 
+def test_an_export_alone_is_loaded_by_a_later_run(spark, options):
+    plan, reader = plan_for(spark, options, {"table": "PART", "action": "export"}).where("table = 'PART'"), parquet_source(spark, PATHS)
+    row = run(spark, plan, reader, options, "1").first()
+    assert (row.status, row.error, row.expected_rows, row.failed_stage) == ("failed", "Skipped by user", 200, "Load")
+    assert not spark.catalog.tableExists(f"{options.namespace_prefix}wh_public.part")
+    again = resume(spark, plan, lambda *key: None, options, "2", "1", reload=True).first()
+    assert (again.status, again.target_rows) == ("succeeded", 200)
+
+
 def test_interrupt_cancels_the_jobs_of_other_tables(spark, options):
     options = RunOptions(**{**options.__dict__, "max_parallel": 2})
     reader = parquet_source(spark, PATHS)
