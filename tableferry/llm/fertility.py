@@ -1,7 +1,7 @@
 """Quality rules: tokeniser fertility of whole texts against bands of their language.
 
-A public vocabulary with byte fallback measures characters per token, the share of tokens that are single bytes, and
-the entropy of the tokens. For each language the median and the median absolute deviation over all documents that
+A public vocabulary with byte fallback measures tokens per word (the fertility), characters per token, the share of
+tokens that are single bytes, and the entropy of the tokens. For each language the median and the median absolute deviation over all documents that
 pass the base rules give the bands; a document outside one is rejected. Short texts scatter more and have wider bands.
 """
 
@@ -26,7 +26,7 @@ REPEAT_SHARE = 50
 WIDTH = 6.0
 SHORT = 100
 #: Robust standard deviations that a band has at least, so that a language of like texts keeps its scatter.
-FLOOR = {"chars_per_token": 0.04, "entropy": 0.05, "byte_share": 0.02}
+FLOOR = {"tokens_per_word": 0.05, "chars_per_token": 0.04, "entropy": 0.05, "byte_share": 0.02}
 #: Ids of the vocabulary's 256 byte tokens, and those of white space among them.
 BYTE_IDS = (3, 258)
 SPACE_IDS = (12, 13, 14, 15, 16)
@@ -104,11 +104,13 @@ def measures(docs: DataFrame, path: str | None = None, carry: bool = False) -> D
         schema = schema.add("whole", docs.schema)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_SHARE * F.col("n_words"))
     per_token = F.col("word_chars") / F.greatest(F.col("n_tokens"), F.lit(1))
-    return rows.mapInArrow(of, schema).withColumn("base_failed", failed).withColumn("chars_per_token", per_token)
+    per_word = F.col("n_tokens") / F.greatest(F.col("n_words"), F.lit(1))
+    measured = rows.mapInArrow(of, schema).withColumn("base_failed", failed)
+    return measured.withColumn("chars_per_token", per_token).withColumn("tokens_per_word", per_word)
 
 
 _NAMES = [x.split()[0] for x in _MEASURED.split(", ")]
-_BANDED = ("chars_per_token", "entropy", "byte_share")
+_BANDED = ("tokens_per_word", "chars_per_token", "entropy", "byte_share")
 
 
 def bands(measured: DataFrame) -> DataFrame:
@@ -137,7 +139,7 @@ def judge(docs: DataFrame, width: float = WIDTH, path: str | None = None, carry:
     rows = measured.join(F.broadcast(found) if _few(measured) else found, "lang", "left")
     wide = width * (1 + F.sqrt(SHORT / F.greatest(F.col("n_tokens"), F.lit(1))))
     inside = F.lit(True)
-    for m, sides in (("chars_per_token", (-1, 1)), ("entropy", (-1,)), ("byte_share", (1,))):
+    for m, sides in (("tokens_per_word", (1,)), ("chars_per_token", (-1, 1)), ("entropy", (-1,)), ("byte_share", (1,))):
         for side in sides:
             inside &= side * (F.col(m) - F.col(f"{m}_mid")) <= wide * F.col(f"{m}_dev")
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop(*[f"{m}_{x}" for m in _BANDED for x in ("mid", "dev")])
