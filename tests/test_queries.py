@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 import oracle
 
 from conftest import SF_DIR
+from registered import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +14,7 @@ def connection():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(spark, connection, name):
     found = oracle.spark_rows(contract.queries()[name](spark, SF_DIR))
     assert found == oracle.oracle_rows(connection, contract.oracle_sql()[name])
