@@ -62,6 +62,16 @@ def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
     return run
 
 
+def bounded_sample(frame: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` rows, and at most twice as many, chosen by the hash of ``key``; all rows if there are no more.
+
+    A filter, so that what reaches the last task does not grow with the number of tasks, as with an ordered limit.
+    """
+    steps = 1 << 30
+    share = min(steps, -(-size * steps // max(1, frame.count())))
+    return frame.filter(F.pmod(F.xxhash64(key), F.lit(steps)) < share).limit(2 * size)
+
+
 def join_counted(left: DataFrame, right: DataFrame, key: str, rows: str, total: int) -> DataFrame:
     """Inner join on ``key`` where ``right`` has one row for each key and counts its rows on the left in ``rows``.
 

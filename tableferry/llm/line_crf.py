@@ -225,15 +225,15 @@ def score(field: Field, texts: list[str | None]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Field:
     """A field learned from rows of ``docs`` where ``learn`` holds and ``labels`` (doc_id, quality) has one label.
 
-    At most ``sample`` documents are used, those of the smallest hash; of each at most ``SAMPLE_LINES`` lines count,
+    About ``sample`` documents are used, at most twice as many, chosen by hash; of each at most ``SAMPLE_LINES`` lines count,
     taken around a place that the hash fixes. Without labelled rows every line is as likely good as bad.
     """
     one = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("high"))
     known = one.filter("quality = high").select("doc_id", "quality")
-    chosen = docs.filter(learn).select("doc_id").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = common.stored(chosen, "chosen")
+    labelled = common.stored(docs.filter(learn).select("doc_id").join(known, "doc_id").distinct(), "labelled")
+    chosen = common.stored(common.bounded_sample(labelled, "doc_id", sample), "chosen")
     # The sample is bounded, so its ids can be broadcast, and no text moves but theirs.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").select("text", F.col("quality").cast("int"), F.xxhash64("doc_id").alias("h"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int"), F.xxhash64("doc_id").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +249,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPL
                 out.append((features[a:b].tobytes(), length[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, pa.binary()) for c in zip(*out))], names=["quality", "features", "length"])
 
+    # Sorted, as sums of floating-point numbers depend on the order.
     got = [r for r in rows.mapInArrow(run, "quality int, features binary, length binary").toLocalIterator() if len(r["length"])]
+    got.sort(key=lambda r: (bytes(r["length"]), r["quality"], bytes(r["features"])))
     if not got:
         return Field(np.zeros(WIDTH), np.zeros((2, 2)))
     features = np.concatenate([np.frombuffer(r["features"], np.float32).reshape(-1, WIDTH) for r in got])

@@ -149,9 +149,8 @@ def linked(prints: np.ndarray, radius: int = RADIUS, seed: int = 0) -> tuple[np.
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges ``a, b`` between distinct prints that connect all that are within the radius of each other."""
-    spark = prints.sparkSession
     total = prints.count()
-    rows = prints.orderBy(F.xxhash64("print")).limit(SAMPLE).toArrow().column("print").to_numpy()
+    rows = np.sort(common.bounded_sample(prints, "print", SAMPLE).toArrow().column("print").to_numpy())
     tree = fit_tree(rows.view(np.uint64), SHARD / max(total, 1), radius)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
