@@ -87,18 +87,19 @@ def measures(docs: DataFrame, path: str | None = None, carry: bool = False) -> D
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.piece_bpe(path).encode
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            text = batch.column(2).field("text") if carry else batch.column(2)
+            texts = text.to_pylist()
             if not texts:
                 continue
             base = list(zip(*map(counts, texts)))
-            token = list(zip(*map(token_measures, encode(batch.column(2)))))
+            token = list(zip(*map(token_measures, encode(text))))
             kinds = [pa.int64()] * 6 + [pa.float64()] * 2
             columns = [pa.array(x, t) for x, t in zip([*base, *token], kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns, *batch.columns[3:]], names=[*_NAMES, *["whole"][: carry]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns, *batch.columns[2:][:carry]], names=[*_NAMES, *["whole"][: carry]])
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")] if carry else []
-    rows = docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), "text", *whole)
+    text = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole") if carry else F.col("text")
+    rows = docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), text)
     schema = T.StructType.fromDDL(_MEASURED)
     if carry:
         schema = schema.add("whole", docs.schema)

@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts that one Python worker keeps; a full cache is emptied.
-CACHE = 800_000
+#: Parts that one Python worker keeps. They stand in two halves: when the younger is full it becomes the older, and
+#: what is asked for again moves to the younger.
+CACHE = 500_000
 _CHUNK = 200
-_ROWS = 4_000
+_ROWS = 2_000
 
 
 def _packed(ids: Iterable[int]) -> bytes:
@@ -39,6 +40,7 @@ class Vocabulary:
         """
         self._whole, self._many, self._apart, self._chunk = whole, many, inner, chunk
         self._parts: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text of an Arrow string array; a null text has none."""
@@ -48,11 +50,18 @@ class Vocabulary:
         return out
 
     def _known(self, parts: list[str]) -> list[bytes | None]:
-        if len(self._parts) > CACHE:
-            self._parts.clear()
+        if len(self._parts) > CACHE // 2:
+            self._parts, self._older = {}, self._parts
         found = list(map(self._parts.get, parts))
-        order = [p for p, ids in zip(parts, found) if ids is None and _regular(p)]
         new: dict[str, bytes] = {}
+        order = []
+        for part, ids in zip(parts, found):
+            if ids is None:
+                ids = self._older.get(part)
+                if ids is not None:
+                    new[part] = ids
+                elif _regular(part):
+                    order.append(part)
         for start in range(0, len(order), self._chunk):
             chunk = order[start : start + self._chunk]
             new.update(zip(chunk, self._many(chunk)))
@@ -84,6 +93,7 @@ class Vocabulary:
         return out
 
 
+#: The vocabulary that a worker uses; another one takes its place, with its cache.
 _OPEN: dict[str, Vocabulary] = {}
 
 
@@ -93,6 +103,7 @@ def byte_bpe(path: str | None = None) -> Vocabulary:
 
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     if path not in _OPEN:
+        _OPEN.clear()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -121,6 +132,7 @@ def piece_bpe(path: str | None = None) -> Vocabulary:
 
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     if path not in _OPEN:
+        _OPEN.clear()
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from llm.conftest import ODD, prose, sorted_rows
+from llm.conftest import ODD, prose
 from tableferry.llm import fertility, language_model, line_crf, packing, pieces, vocabulary
 from tableferry.llm.common import remainder
 
