@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from llm.conftest import ODD, prose, sorted_rows
+from tableferry.llm import near_copies, simhash
+
+
+def changed(text, seed, words):
+    draw, out = random.Random(seed), text.split(" ")
+    for at in draw.sample(range(len(out)), words):
+        out[at] = f"new{draw.randrange(10**6)}"
+    return " ".join(out)
+
+
+ROWS = [*ODD, (30, prose(1).upper()), (31, "a b"), (32, "A  b"), (33, "b a")]
+ROWS += [(100 + i, changed(prose(50, 400), i, i % 12)) for i in range(40)]  # some are linked through others alone
+ROWS += [(200 + 3 * i + k, changed(prose(60 + i, 300), k, 5 * k)) for i in range(8) for k in range(3)]
+
+
+def expected(rows):
+    """By brute force over sets of word tuples: (doc_id, component_id) of each row."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    parent = list(range(len(rows)))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return sorted(((doc_id, least.get(root(i))) for i, (doc_id, _) in enumerate(rows)), key=repr)
+
+
+@pytest.mark.parametrize("block", [3, near_copies.BLOCK])
+def test_components_of_similar_texts(monkeypatch, docs, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    assert sorted_rows(near_copies.near_copies(docs(ROWS)), "doc_id", "component_id") == expected(ROWS)
+
+
+def test_stage_drops_copies_beyond_the_radius_of_op2(spark, docs):
+    first, second = prose(3, 400), changed(prose(3, 400), 1, 6)
+    assert (simhash.fingerprint(first) ^ simhash.fingerprint(second)).bit_count() > simhash.RADIUS
+    kept = corpus_pipeline.near_duplicates(spark, docs([(1, first), (2, second), (3, prose(4, 400))]), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert kept.columns == docs([]).columns
+
+
+def test_empty_table(docs):
+    assert near_copies.near_copies(docs([])).count() == 0
