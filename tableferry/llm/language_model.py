@@ -7,8 +7,8 @@ and the smoothed count for the others. Each class of other words keeps one unit
 start of training the output biases are the counts, so that the untrained model is the smoothed unigram model.
 
 The recurrent unit is trained in numpy by backpropagation truncated to windows, with the state carried from one window
-to the next: every round, each core trains a copy on its part of a share of the documents, and the copies are averaged. A text is
-scored as a whole, with its state carried to its end. Texts run side by side in lanes.
+to the next: the rounds divide all training documents, each core trains a copy on its part of a round, and the copies are
+averaged. A text is scored as a whole, with its state carried to its end. Texts run side by side in lanes.
 
 Words with at least ``COMMON`` of all training tokens, at most ``1 / COMMON`` of them, are broadcast with their counts;
 the counts of all others are joined by word.
@@ -45,8 +45,7 @@ class Settings:
     window: int = 32  #: tokens after which backpropagation is cut
     lanes: int = 128
     train_lanes: int = 16
-    rounds: int = 3
-    share: int = 24  #: each round trains on one in so many training documents, others each time
+    rounds: int = 3  #: each trains on its part of the training documents; together they use every document once
     rate: float = 0.1
 
 
@@ -347,7 +346,8 @@ def train(docs: DataFrame, base: dict, settings: Settings) -> dict:
             for batch in batches:
                 if batch.num_rows:
                     key = batch.column(1)[0].as_py() >> 33 & 63  # the upper bits of a row number are its partition
-                    trainer.fit(Coded(batch.column(0), lexicon).texts)
+                    for at in range(0, batch.num_rows, 1_000):
+                        trainer.fit(Coded(batch.column(0).slice(at, 1_000), lexicon).texts)
             if trainer.tokens:
                 flat = trainer.model.flat()
                 cuts = range(0, len(flat), block)
@@ -356,8 +356,7 @@ def train(docs: DataFrame, base: dict, settings: Settings) -> dict:
                 columns = [pa.array(range(n), pa.int32()), pa.array([key] * n, pa.int32()), pa.array([float(trainer.tokens)] * n), pa.array(values)]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "tokens", "values"])
 
-        turned = F.pmod(F.xxhash64("row"), F.lit(settings.share))
-        mine = docs.filter(turned == turn % settings.share).select("text", "row")
+        mine = docs.filter(F.pmod(F.xxhash64("row"), F.lit(settings.rounds)) == turn).select("text", "row")
         copies = common.stored(mine.coalesce(context.defaultParallelism).mapInArrow(fit, "block int, part int, tokens double, values binary"), "copies")
         found = sorted((r["block"], r["values"]) for r in _average(copies).collect())  # one row for each block of the model
         if found:
