@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import archives, exact_dedup, fertility, host_reputation, language_model, line_crf, packing, pieces, simhash, site_templates
+from tableferry.llm import archives, exact_dedup, fertility, host_reputation, language_model, line_crf, packing, personal_data, pieces, simhash, site_templates
 from tableferry.llm.common import remainder, table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_templates.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_personal_data"] = personal_data.SQL
