@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from llm.conftest import ODD, prose, sorted_rows
+from tableferry.llm import alignment, common
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    """Both sides' tokens of a text as (id, bytes), by the libraries alone."""
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letters = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def of(text):
+        a = [(i, bytes(letters[c] for c in model.id_to_token(i))) for i in model.encode(" " + text, add_special_tokens=False).ids]
+        b = []
+        for i in pieces.encode(text):
+            piece = pieces.id_to_piece(i)
+            b.append((i, bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        return (a, b) if text and b"".join(x for _, x in a) == whole == b"".join(x for _, x in b) else ([], [])
+
+    return of
+
+
+def groups_of(a, b):
+    out, i, j, at, bt = [], 0, 0, 0, 0
+    while i < len(a):
+        mine, theirs = [], []
+        while not mine or at != bt:
+            if at <= bt and not (mine and at == bt):
+                mine.append(a[i][0])
+                at, i = at + len(a[i][1]), i + 1
+            else:
+                theirs.append(b[j][0])
+                bt, j = bt + len(b[j][1]), j + 1
+        out.append((mine, theirs))
+    return out
+
+
+def by_brute_force(rows, tokens):
+    docs, holders = [], Counter()
+    for i, text in rows:
+        a, b = tokens(text or "")
+        groups = groups_of(a, b)
+        linked = Counter((x, y) for mine, theirs in groups for x in mine for y in theirs)
+        holders.update(linked.keys())
+        docs.append((i, a, b, groups, linked))
+    most = defaultdict(int)
+    for (x, _), n in holders.items():
+        most[x] = max(most[x], n)
+    out = []
+    for i, a, b, groups, linked in docs:
+        text = ";".join(",".join(map(str, mine)) + "|" + ",".join(map(str, theirs)) for mine, theirs in groups)
+        best = sum(n for p, n in linked.items() if holders[p] == most[p[0]])
+        total = sum(n * holders[p] for p, n in linked.items())
+        digest = hashlib.sha256(text.encode()).hexdigest() if groups else ""
+        out.append((i, len(a), len(b), len(groups), sum(linked.values()), best, total, digest))
+    return sorted(out, key=repr)
+
+
+MIXED = [
+    *[r for r in ODD if len(r[1] or "") < 200_000],
+    (20, "x" * 3_000),
+    (21, "日本語のテキスト 中文 한국어 \U0001f468‍\U0001f469‍\U0001f467 naïve café"),
+    (22, "<|endoftext|> <s> </s> <unk> <0x41> plain"),
+    (23, "▁ is no blank"),
+    (24, " wide blanks\ttabs\r\nlines\n\n\nend "),
+    (25, " "),
+    (26, "0123456789 3.14159 1,000,000"),
+    (27, "def f(x):\n    return x  # eight        blanks"),
+    *[(100 + i, prose(i)) for i in range(20)],
+]
+
+
+@pytest.mark.parametrize("settings", [{}, {"size": 500}, {"size": 1}])
+def test_alignment_equals_brute_force(docs, tokens, settings):
+    assert sorted_rows(alignment.align(docs(MIXED), **settings), *COLUMNS) == by_brute_force(MIXED, tokens)
+
+
+def test_parts_and_folds_change_nothing(docs, tokens, monkeypatch):
+    rows = [(1, prose(1)), (2, "x" * 700), (3, prose(1))]
+    a, b, labels = alignment.sides(None, None)
+    import pyarrow as pa
+
+    def block():
+        return alignment._align(pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), a, b, labels, 0).to_pylist()
+
+    plain = block()
+    monkeypatch.setattr(alignment, "LINKS", 3)
+    assert block() == plain
+    monkeypatch.setattr(alignment, "FOLD", 1)
+    assert block() == plain
+
+
+def test_a_long_group_is_folded(docs, tokens):
+    text = "x" * 100_001
+    found = alignment.align(docs([(1, text)])).first()
+    assert found.n_links >= found.n_groups and found.n_links == found.n_best == found.count_sum
+
+
+def test_alignment_of_odd_tables(docs):
+    assert alignment.align(docs([])).count() == 0
+    assert sorted_rows(alignment.align(docs([(1, None), (1, None), (None, "")])), *COLUMNS) == sorted(
+        [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 1, None)], key=repr
+    )
+
+
+def test_alignment_of_documents(spark, tokens):
+    rows = [(r.doc_id, r.text) for r in common.table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    from tableferry.llm.queries import QUERIES
+
+    assert sorted_rows(QUERIES["op13_alignment"](spark, "/root/testdata/sf0.001"), *COLUMNS) == by_brute_force(rows, tokens)
