@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import alignment, archives, exact_dedup, fertility, host_reputation, language_model, line_crf, packing, personal_data, pieces, simhash, site_templates
+from tableferry.llm import alignment, archives, exact_dedup, fertility, host_reputation, language_model, line_crf, packing, personal_data, pieces, simhash, site_templates, source_audit
 from tableferry.llm.common import remainder, table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,14 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_personal_data"] = personal_data.SQL
 
 
+@query
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_audit"] = source_audit.SQL
+
+
 @query
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))
