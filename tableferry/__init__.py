@@ -10,6 +10,7 @@ from tableferry.operators.load import (
     read_partitioned,
     read_table,
 )
+from tableferry.operators.replacement import recover
 from tableferry.operators.selection import select_tables, table_counts, table_records
 from tableferry.operators.validation import reconcile, row_counts, target_row_count
 from tableferry.plans.inference import infer_schema, partition_eligible, schema_json
@@ -24,7 +25,7 @@ __all__ = [
     "column_mappings", "create_external_table", "dedup_names", "dispositions", "export_table",
     "infer_schema", "information_schema", "load_table", "logical_type", "make_rules", "normalize_name",
     "ordered_sample", "parquet_metadata", "parquet_source", "partition_eligible", "read_outcomes",
-    "read_partitioned", "read_rules", "read_table", "reconcile", "remaining", "resume", "row_counts",
+    "read_partitioned", "read_rules", "read_table", "reconcile", "recover", "remaining", "resume", "row_counts",
     "rules_from_manifest", "run", "run_sql", "schema_json", "select_tables", "split_rules",
     "table_counts", "table_records", "target_row_count", "write_plan",
 ]

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tableferry.functions.type_map import SPARK_TYPES, TEMPORAL_TYPES, logical_name
 from tableferry.operators.export import quoted
+from tableferry.operators.replacement import Swap, existing, literal, recorded, recover, rename, table_location, table_name
 from tableferry.sources.storage import delete_directory, directory_bytes, qualified
 
 # Partition units, field modes and the largest number of cluster fields.
@@ -246,10 +247,6 @@ def shuffle_tasks(spark: SparkSession, staged_bytes: int) -> int:
 # --- target tables --------------------------------------------------------------------
 
 
-def table_name(namespace: str, table: str) -> str:
-    return f"{quoted(namespace)}.{quoted(table)}"
-
-
 def with_position(staged: DataFrame) -> DataFrame:
     """Add ``POSITION``: the file and place of each row, also where a column is named ``_metadata``."""
     place = staged.metadataColumn("_metadata")
@@ -269,7 +266,7 @@ def check_load(spark: SparkSession, schema: T.StructType, options: LoadOptions)
 
 
 def create_namespace(spark: SparkSession, namespace: str, root: str) -> None:
-    location = _literal(f"{root.rstrip('/')}/{namespace}")
+    location = literal(f"{root.rstrip('/')}/{namespace}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(namespace)} LOCATION {location}")
 
 
@@ -284,9 +281,11 @@ def load_table(
     """Replace ``namespace.table`` with the rows staged under ``staged_path``.
 
     The rows go to a fresh directory first and the catalog entry is swapped after
-    that, so a failed load leaves the old table as it was.
+    that, so a failed load leaves the old table as it was, and one that lost its driver
+    leaves it to :func:`recover`, which begins each load.
     """
     create_namespace(spark, namespace, target_root)
+    recover(spark, namespace, table)
     staged = spark.read.parquet(staged_path)
     carry = []
     if options.cluster_fields or options.partition_field:
@@ -298,63 +297,65 @@ def load_table(
 
     laid_out = lay_out(frame, options, directory_bytes(spark, staged_path))
     part = [generated_column(options.partition_unit)] if options.partition_field else []
-    location = f"{target_root.rstrip('/')}/{namespace}/{table}/v-{uuid.uuid4().hex}"
+    versions = f"{target_root.rstrip('/')}/{namespace}/{table}"
+    location = f"{versions}/v-{uuid.uuid4().hex}"
+    previous = table_location(spark, namespace, table)
+    before_that = _property(spark, namespace, table, _PREVIOUS) if previous else None
+    # Readers of the version to be replaced may go on; of those before it only directories of earlier loads go.
+    gone = before_that and qualified(spark, before_that).startswith(f"{qualified(spark, versions)}/v-")
+    swap = Swap(namespace, table, location, before_that if gone else None)
     observation = Observation()
     # Counted in the stage that writes, where a rerun task is counted once.
     counted = laid_out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    try:
-        writer = counted.write.partitionBy(*part) if part else counted.write
-        writer.parquet(location)
-        _swap(spark, laid_out.schema, location, namespace, table, options, part)
-    except Exception:
-        delete_directory(spark, location)
-        raise
+    with recorded(spark, swap):
+        try:
+            writer = counted.write.partitionBy(*part) if part else counted.write
+            writer.parquet(location)
+            _swap(spark, laid_out.schema, swap, options, part, previous)
+        except Exception:
+            delete_directory(spark, location)
+            raise
     return LoadResult(f"{namespace}.{table}", observation.get["rows"])
 
 
 def _swap(
-    spark: SparkSession,
-    schema: T.StructType,
-    location: str,
-    namespace: str,
-    table: str,
-    options: LoadOptions,
-    part: list[str],
+    spark: SparkSession, schema: T.StructType, swap: Swap, options: LoadOptions, part: list[str], previous: str | None
 ) -> None:
-    """Point the catalog entry at ``location``. The version it replaces stays until the next load."""
-    incoming = table_name(namespace, f"{table}__{uuid.uuid4().hex}")
+    """Point the catalog entry at the new files. The version it replaces stays until the next load."""
     columns = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
-    previous = table_location(spark, namespace, table)
-    before_that = _property(spark, namespace, table, _PREVIOUS) if previous else None
     properties = {_CLUSTER_FIELDS: json.dumps(list(options.cluster_fields))}
     if previous:
         properties[_PREVIOUS] = previous
     if part:
         properties |= {_PARTITION_FIELD: options.partition_field, _PARTITION_UNIT: options.partition_unit}
-    settings = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+    settings = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
     partitioned = f"PARTITIONED BY ({quoted(part[0])})" if part else ""
     # The entry is complete under another name before the old one goes.
-    spark.sql(
-        f"CREATE TABLE {incoming} ({columns}) USING PARQUET {partitioned} "
-        f"LOCATION {_literal(location)} TBLPROPERTIES ({settings})"
+    create = (
+        f"CREATE TABLE {swap.incoming} ({columns}) USING PARQUET {partitioned} "
+        f"LOCATION {literal(swap.files)} TBLPROPERTIES ({settings})"
     )
+    _replace(spark, swap, create, f"MSCK REPAIR TABLE {swap.incoming}" if part else None)
+
+
+def _replace(spark: SparkSession, swap: Swap, create: str, complete: str | None = None) -> None:
+    """Make the new entry, let it take the table's name, and delete what nothing reads any more."""
     try:
-        if part:
-            spark.sql(f"MSCK REPAIR TABLE {incoming}")
-        _put_in_place(spark, incoming, namespace, table)
+        spark.sql(create)
+        if complete:
+            spark.sql(complete)
+        _put_in_place(spark, swap.incoming, swap.namespace, swap.table, swap.backup)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+        spark.sql(f"DROP TABLE IF EXISTS {swap.incoming}")
         raise
-    # Readers of the version just replaced may go on; of those before it only directories of earlier loads go.
-    versions = qualified(spark, location.rsplit("/", 1)[0])
-    if before_that and qualified(spark, before_that).startswith(f"{versions}/v-"):
-        delete_directory(spark, before_that)
+    if swap.obsolete:
+        delete_directory(spark, swap.obsolete)
 
 
-def _put_in_place(spark: SparkSession, incoming: str, namespace: str, table: str) -> None:
+def _put_in_place(spark: SparkSession, incoming: str, namespace: str, table: str, backup: str | None = None) -> None:
     """Give ``incoming`` the name of a table. On failure the old entry has its name again."""
     target = table_name(namespace, table)
-    backup = table_name(namespace, f"{table}__before_{uuid.uuid4().hex}")
+    backup = backup or table_name(namespace, f"{table}__before_{uuid.uuid4().hex}")
     replaced = spark.catalog.tableExists(target)
     if replaced:
         _rename(spark, target, backup)
@@ -367,25 +368,21 @@ def _put_in_place(spark: SparkSession, incoming: str, namespace: str, table: str
     if replaced:
         try:
             spark.sql(f"DROP TABLE IF EXISTS {backup}")
-        except Exception as error:  # the new table is in place; the old rows stay under the other name
+        except Exception as error:  # the new table is in place; the old rows stay under the other name until the next load
             warnings.warn(f"the replaced table stays as {backup}: {error}", stacklevel=2)
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+_rename = rename
 
 
 def create_external_table(spark: SparkSession, staged_path: str, target_root: str, namespace: str, table: str) -> str:
     """``<table>_external`` over the staged files in place; replaces an earlier one."""
     create_namespace(spark, namespace, target_root)
     name = f"{table}_external".lower()
-    incoming = table_name(namespace, f"{name}__{uuid.uuid4().hex}")
-    spark.sql(f"CREATE TABLE {incoming} USING PARQUET LOCATION {_literal(staged_path.rstrip('/'))}")
-    try:
-        _put_in_place(spark, incoming, namespace, name)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-        raise
+    recover(spark, namespace, name)
+    swap = Swap(namespace, name)
+    with recorded(spark, swap):
+        _replace(spark, swap, f"CREATE TABLE {swap.incoming} USING PARQUET LOCATION {literal(staged_path.rstrip('/'))}")
     return f"{namespace}.{name}"
 
 
@@ -394,26 +391,19 @@ def _property(spark: SparkSession, namespace: str, table: str, key: str) -> str
     return rows[0].value if rows else None
 
 
-def table_location(spark: SparkSession, namespace: str, table: str) -> str | None:
-    if not spark.catalog.tableExists(table_name(namespace, table)):
-        return None
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(namespace, table)}")
-    # The last one: a column of the table may have this name, too.
-    rows = described.where("col_name = 'Location'").collect()
-    return rows[-1].data_type if rows else None
-
-
 # --- reading targets ------------------------------------------------------------------
 
 
 def read_table(spark: SparkSession, namespace: str, table: str) -> DataFrame:
     """A target table without its generated partition column."""
+    existing(spark, namespace, table)
     return _without_generated(spark.table(table_name(namespace, table)))
 
 
 def read_partitioned(spark: SparkSession, namespace: str, table: str, low: Any = None, high: Any = None) -> DataFrame:
     """Rows with ``low <= partition field < high``, reading only their partitions."""
     target = table_name(namespace, table)
+    existing(spark, namespace, table)
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
     if _PARTITION_FIELD not in properties:
         raise ValueError(f"{namespace}.{table} is not partitioned")
@@ -437,7 +427,3 @@ def read_partitioned(spark: SparkSession, namespace: str, table: str, low: Any =
 
 def _without_generated(frame: DataFrame) -> DataFrame:
     return frame.drop(*[c for c in frame.columns if c.startswith(GENERATED_PREFIX)])
-
-
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.operators.load import table_name
+from tableferry.operators.replacement import existing, table_name
 
 SUCCEEDED = "succeeded"
 FAILED = "failed"
@@ -29,7 +29,7 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def target_row_count(spark: SparkSession, namespace: str, table: str) -> int:
     """Rows of a target table; 0 when it does not exist."""
-    if not spark.catalog.tableExists(table_name(namespace, table)):
+    if not existing(spark, namespace, table):
         return 0
     return spark.table(table_name(namespace, table)).count()
 

@@ -29,6 +29,41 @@ def delete_directory(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def delete_file(spark: SparkSession, path: str) -> None:
+    fs, jpath = _resolve(spark, path)
+    fs.delete(jpath, False)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is either whole or not there: it gets its name when it is complete."""
+    fs, jpath = _resolve(spark, path)
+    _, draft = _resolve(spark, f"{path}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    fs.rename(draft, jpath)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _resolve(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The files under a directory at any depth; none where there is no such directory."""
+    fs, jpath = _resolve(spark, path)
+    if not fs.exists(jpath):
+        return []
+    found, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        found.append(files.next().getPath().toString())
+    return found
+
+
 def reads_from(frame: DataFrame, path: str) -> bool:
     """Whether any input of a frame lies under ``path`` or holds it.
 
