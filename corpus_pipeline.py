@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import exact_dedup, fertility, line_crf, near_copies, packing
+from tableferry.llm import exact_dedup, fertility, line_crf, packing, simhash
 from tableferry.llm.common import remainder, table, with_package
 from tableferry.sources.storage import scratch_directory
 
@@ -31,9 +31,9 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts that share four fifths of their five-word shingles."""
+    """One document of each component of fingerprints over three-word shingles that differ in at most two bits."""
     with_package(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("best-fit packing", best_fit_packing),
 ]
 
-#: The fitted classifier, the shingles and the tokenizer have no form in SQL.
+#: The fitted classifier, the fingerprints and the tokenizer have no form in SQL.
 ORACLE_SQL = None
 
 
