@@ -32,7 +32,7 @@ def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op12_source_audit"}))  # has rows for groups, not documents
 def test_queries_cover_their_table(spark, name):
     table = "pages" if name.startswith(("op6", "op9", "op10")) else "documents"
     key = "page_id" if table == "pages" else "doc_id"
@@ -47,7 +47,7 @@ def test_queries_agree_with_sql(spark, name):
 
 
 def test_entry_has_every_query():
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in contract.queries() if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in contract.queries() if k.startswith("op")}
     assert "pipeline" in contract.queries()
 
 
