@@ -13,53 +13,54 @@ from tableferry.sources.rules import split_rules
 def select_tables(rules: DataFrame, tables: DataFrame) -> DataFrame:
     """Tables matched by any usable rule: ``rule_pos, rule_idx`` + the table's columns.
 
-    Rules are joined by the names they fix, so a rule for one table meets that table
-    alone. A table matched by several rules appears once: the first rule fixes its
-    position (``rule_pos``), the last one its record (``rule_idx``).
+    Rules are indexed by the names they fix, and a table looks itself up by all three names, by two and by the
+    database alone, in one join; its metadata are worked out once. Rules that fix the same names and exclude the same
+    are one. A table matched by several rules appears once: the first rule fixes its position (``rule_pos``), the
+    last one its record (``rule_idx``).
     """
-    usable, _ = split_rules(rules)
-    ruled = usable.select(
-        *[_opaque(F.upper(F.coalesce(k, F.lit("")))).alias(f"_{k}") for k in KEY],
-        "rule_idx",
-        F.col("exclude_schema_like").alias("_no_schema"),
-        F.col("exclude_table_like").alias("_no_table"),
-        F.coalesce("with_views", F.lit(False)).alias("_views"),
-    )
-    listed = tables.select(*[_opaque(F.col(k)).alias(k) for k in KEY], "table_type")
-    hits = None
-    for fixed in (KEY, KEY[:2], [KEY[0]]):
-        wanted = [(F.col(f"_{k}") != "") if k in fixed else (F.col(f"_{k}") == "") for k in KEY]
-        group = ruled.where(wanted[0] & wanted[1] & wanted[2])
-        keys = [F.col(k) == F.col(f"_{k}") for k in fixed]
-        found = listed.join(group, [*keys, _kept_by_rule(fixed)], "inner")
-        found = found.select(*KEY, "table_type", "rule_idx")
-        hits = found if hits is None else hits.unionAll(found)
+    own, names = [F.col(k) for k in KEY], [f"_{k}" for k in KEY]
+    levels = [F.struct(*[(c if i < fixed else F.lit("")).alias(n) for i, (c, n) in enumerate(zip(own, names))]) for fixed in (3, 2, 1)]
+    listed = tables.select(*KEY, "table_type", F.inline(F.array(*levels)))
+    met = listed.join(rule_index(rules), names)
+    kept = F.filter("_rules", _kept_by)
+    hits = met.select(*KEY, "table_type", kept.alias("_kept")).where(F.size("_kept") > 0)
+    hits = hits.select(*KEY, "table_type", F.array_min("_kept.first").alias("first"), F.array_max("_kept.last").alias("last"))
     return hits.groupBy(*KEY).agg(
-        F.min("rule_idx").alias("rule_pos"),
-        F.max("rule_idx").alias("rule_idx"),
-        F.max_by("table_type", "rule_idx").alias("table_type"),
+        F.min("first").alias("rule_pos"),
+        F.max("last").alias("rule_idx"),
+        F.max_by("table_type", "last").alias("table_type"),
     )
 
 
-def _opaque(value: Column) -> Column:
-    """The same value, but never folded: a literal name on one side would leave the join without a key."""
-    return F.when(F.monotonically_increasing_id() >= 0, value)
+def rule_index(rules: DataFrame) -> DataFrame:
+    """The usable rules by the names they fix (empty where any will do): what they ask, and their first and last index."""
+    usable, _ = split_rules(rules)
+
+    def patterns(name: str) -> Column:
+        # A backslash in a pattern is an ordinary character, not an escape.
+        upper = F.transform(F.coalesce(name, F.array().cast("array<string>")), lambda p: F.replace(F.upper(p), F.lit("\\"), F.lit("\\\\")))
+        return F.array_sort(F.array_distinct(F.filter(upper, lambda p: p.isNotNull() & (p != ""))))
+
+    names = [F.upper(F.coalesce(k, F.lit(""))).alias(f"_{k}") for k in KEY]
+    asked = {
+        "no_schema": patterns("exclude_schema_like"),
+        "no_table": patterns("exclude_table_like"),
+        "views": F.coalesce("with_views", F.lit(False)),
+    }
+    keyed = usable.select(*names, "rule_idx", *[value.alias(name) for name, value in asked.items()])
+    keys = [f"_{k}" for k in KEY]
+    folded = keyed.groupBy(*keys, *asked).agg(F.min("rule_idx").alias("first"), F.max("rule_idx").alias("last"))
+    return folded.groupBy(*keys).agg(F.collect_list(F.struct(*asked, "first", "last")).alias("_rules"))
+
 
+def _kept_by(rule: Column) -> Column:
+    """What a rule asks beside the names it fixes."""
 
-def _kept_by_rule(fixed: list[str]) -> Column:
-    """What a rule asks beside the names it fixes; a fixed name is read from the rule."""
+    def like_any(name: str, patterns: Column) -> Column:
+        return F.coalesce(F.exists(patterns, lambda p: F.like(F.col(name), p)), F.lit(False))
 
-    def like_any(name: str, patterns: str) -> Column:
-        # A backslash in a pattern is an ordinary character, not an escape.
-        own = F.col(f"_{name}" if name in fixed else name)
-        hit = F.exists(
-            patterns,
-            lambda p: (p != "") & F.like(own, F.replace(F.upper(p), F.lit("\\"), F.lit("\\\\"))),
-        )
-        return F.coalesce(hit, F.lit(False))
-
-    views = F.col("_views") | (F.col("table_type") == BASE_TABLE)
-    return ~like_any("schema", "_no_schema") & ~like_any("table", "_no_table") & views
+    views = rule["views"] | (F.col("table_type") == BASE_TABLE)
+    return ~like_any("schema", rule["no_schema"]) & ~like_any("table", rule["no_table"]) & views
 
 
 def list_columns(metadata: Metadata) -> DataFrame:

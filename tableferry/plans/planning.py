@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableferry.functions.paths import (
@@ -66,8 +66,10 @@ def build_plan(
     """
     located = _with_errors(_located(selected, options))
     # Only the columns of selected tables are named, typed and gathered.
-    plan = located.join(target_records(columns.join(selected.select(*KEY), KEY, "left_semi")), KEY, "left")
-    no_columns = F.when(F.col("columns").isNull(), F.lit("no columns known for the table"))
+    records = target_records(columns.join(selected.select(*KEY), KEY, "left_semi"))
+    # Marked apart from the columns, so that who asks for errors alone names and types none.
+    plan = located.join(records.withColumn("_known", F.lit(True)), KEY, "left")
+    no_columns = F.when(F.col("_known").isNull(), F.lit("no columns known for the table"))
     plan = _with_settings(plan, settings)
     return plan.select(
         F.struct("rule_pos", *KEY).alias("seq"),
@@ -154,13 +156,12 @@ def _with_errors(located: DataFrame) -> DataFrame:
 
     Tables that share a staging path differ in case only and so share their target.
     """
-    target = ["namespace", "target_table"]
-    shared = located.groupBy(*target).agg(F.count(F.lit(1)).alias("_sharing")).where("_sharing > 1")
+    sharing = F.count(F.lit(1)).over(Window.partitionBy("namespace", "target_table"))
     unusable = F.exists(F.array(*KEY), lambda p: p.isin("", ".", "..") | p.contains("/"))
     error = F.when(unusable, F.lit("a name of the table cannot be used in a path")).when(
-        F.col("_sharing").isNotNull(), F.lit("another table has the same target")
+        F.col("_sharing") > 1, F.lit("another table has the same target")
     )
-    return located.join(shared, target, "left").select(*located.columns, error.alias("error"))
+    return located.withColumn("_sharing", sharing).select(*located.columns, error.alias("error"))
 
 
 def with_source_rows(plan: DataFrame, counts: DataFrame) -> DataFrame:

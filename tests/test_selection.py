@@ -141,3 +141,26 @@ def test_columns_are_listed_in_order(spark):
 def test_counts_end_with_the_total(spark):
     found = [tuple(r) for r in table_counts(spark.createDataFrame(TABLES, TABLES_SCHEMA)).collect()]
     assert found == [("DEV.PUBLIC", 6), ("PROD.ANALYTICS", 2), ("PROD.RAW", 1), ("Total", 9)]
+
+
+def test_tables_are_worked_out_once(spark):
+    tables = spark.range(100).selectExpr("'D' database", "'S' || id % 3 AS schema", "'T' || id AS `table`", "'BASE TABLE' table_type")
+    rules = make_rules(spark, [{"database": "d"}, {"database": "d", "schema": "s1"}, {"database": "d", "schema": "s2", "table": "t2"}])
+    found = select_tables(rules, tables)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Range (0, 100") == 1
+    assert {(r.rule_pos, r.rule_idx) for r in found.collect()} == {(0, 0), (0, 1), (0, 2)}
+
+
+def test_many_rules_meet_many_tables(spark):
+    tables = spark.range(50_000).selectExpr(
+        "'D' || id % 4 AS database", "'S' || id % 40 AS schema", "'T' || id AS `table`", "'BASE TABLE' AS table_type"
+    )
+    every = spark.range(16_000).selectExpr(
+        "int(id) rule_idx", "'d' || id % 4 AS database", "IF(id % 4 = 0, NULL, 's' || id % 40) AS schema", "IF(id % 2 = 0, NULL, 't' || id) AS table",
+        "CAST(NULL AS array<string>) exclude_schema_like", "IF(id % 3 = 0, array('%7'), NULL) exclude_table_like", "false with_views",
+    )
+    found = select_tables(every, tables)
+    # Rules 0 and 12 fix database D0 alone; the first excludes tables that end in 7.
+    d0 = found.where("database = 'D0'")
+    assert d0.count() == 12_500 and d0.where("`table` LIKE '%7' AND rule_pos = 0").count() == 0
+    assert found.where("database = 'D1' AND schema = 'S1' AND `table` = 'T1'").first().rule_pos == 1
