@@ -16,6 +16,7 @@ from tableferry.functions.paths import (
     staging_path,
 )
 from tableferry.functions.type_map import ZONED_TIMESTAMPS
+from tableferry.operators.chunks import CHUNK_BYTES
 from tableferry.plans.inference import target_records
 
 SETTINGS = {
@@ -35,7 +36,11 @@ _LOCATION = ["stage_path", "stage_location", "namespace", "target_table"]
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Settings of one migration run. Roots are folders shared by all executors."""
+    """Settings of one migration run. Roots are folders shared by all executors.
+
+    A table with more than ``chunk_bytes`` of source files is exported in chunks, of which a resumed run keeps those that
+    are done. ``count_sources``: count the whole source of a sample or a SELECT even if that takes a scan of its own.
+    """
 
     stage_root: str
     target_root: str
@@ -45,6 +50,8 @@ class RunOptions:
     cast_zoned_timestamps: bool = True
     session_tz: str = "UTC"
     max_parallel: int = 1
+    chunk_bytes: int = CHUNK_BYTES
+    count_sources: bool = True
 
     def __post_init__(self) -> None:
         for name in ("stage_root", "target_root", "manifest_root"):

@@ -10,15 +10,17 @@ from itertools import islice
 from threading import Event, current_thread
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.paths import KEY
+from tableferry.operators.chunks import export_chunks
 from tableferry.operators.export import ColumnMapping, export_frame, export_selection, storable
 from tableferry.operators.load import LoadOptions, check_load, load_table
 from tableferry.operators.validation import FAILED, MISMATCH, SUCCEEDED, target_row_count
 from tableferry.plans.planning import ACTIONS, RunOptions
-from tableferry.sources.metadata import VIEW, error_text
+from tableferry.sources.metadata import error_text
+from tableferry.sources.storage import counted_by_footers
 from tableferry.sources.tables import SourceReader
 
 PROCEED, SKIP, ABORT, EXPORT_ONLY = ACTIONS
@@ -93,27 +95,33 @@ def migrate_table(
             stage = EXPORT
             frame = source(step.database, step.schema, step.table)
             columns = [ColumnMapping(c.column_name, c.data_type, c.name) for c in step["columns"]]
-            chosen = export_selection(
-                frame, columns, options.sample_rows, step.override_sql, options.cast_zoned_timestamps
-            )
+            whole = options.sample_rows is None and not step.override_sql
+            # The rows of a whole source are counted where they are read, beneath the projection.
+            read = Observation()
+            rows = frame.observe(read, F.count(F.lit(1)).alias("rows")) if whole else frame
+            chosen = export_selection(rows, columns, options.sample_rows, step.override_sql, options.cast_zoned_timestamps)
             stage = begin(CHECK)
             left_out = check_load(spark, storable(chosen).schema, layout)
             if left_out:
                 outcome["note"] = f"columns that the schema leaves out: {', '.join(left_out)}"
-            stage = begin(EXPORT)
-            exported = export_frame(chosen, path)
-            outcome["expected_rows"], path = exported.rows, exported.path
-            # A view is not evaluated again to count what was just exported as a whole.
-            whole = options.sample_rows is None and not step.override_sql
-            outcome["source_rows"] = exported.rows if whole and step.table_type == VIEW else frame.count()
-            if whole and outcome["source_rows"] != exported.rows:
-                note = f"the source counts {outcome['source_rows']} rows after an export of {exported.rows}"
-                outcome["note"] = "; ".join(filter(None, [outcome.get("note"), note]))
+            stage, exported = begin(EXPORT), None
+            if whole:
+                again = "continued" in step and bool(step["continued"])
+                exported = export_chunks(frame, columns, path, options.cast_zoned_timestamps, options.chunk_bytes, again)
+            in_chunks = exported is not None
+            exported = exported or export_frame(chosen, path)
+            # All is staged: from here on an interrupt leaves a table to be loaded.
+            outcome["expected_rows"], path, stage = exported.rows, exported.path, LOAD
+            if whole:
+                outcome["source_rows"] = exported.rows if in_chunks else read.get["rows"]
+            elif options.count_sources or counted_by_footers(frame):
+                outcome["source_rows"] = frame.count()
             if step.action == EXPORT_ONLY:
                 return outcome | {"error": SKIPPED, "failed_stage": LOAD}
         else:
             outcome["expected_rows"], outcome["source_rows"] = staged, step["staged_source_rows"]
-        stage = begin(LOAD)
+        stage = LOAD
+        begin(LOAD)
         load_table(spark, path, options.target_root, step.namespace, step.target_table, layout)
         stage = COUNT
         outcome["target_rows"] = target_row_count(spark, step.namespace, step.target_table)
@@ -297,11 +305,12 @@ def resume(
 ) -> DataFrame:
     """Run the tables that an earlier run, and the runs which that one resumed, did not finish.
 
+    An export in chunks goes on behind those that are done.
     With ``reload`` a table whose last outcome failed at the load or the count is
     loaded from the files that its export staged; nothing of the source is read.
     """
     earlier = chain_outcomes(spark, options, earlier_run_id)
-    left = remaining(plan, earlier.where(F.col("status") == SUCCEEDED))
+    left = remaining(plan, earlier.where(F.col("status") == SUCCEEDED)).withColumn("continued", F.lit(True))
     if reload:
         latest = earlier.groupBy(*KEY).agg(F.min_by(F.struct("failed_stage", "expected_rows", "source_rows"), "age").alias("last"))
         staged = latest.where(F.col("last.failed_stage").isin(LOAD, COUNT)).select(

@@ -76,6 +76,36 @@ def reads_from(frame: DataFrame, path: str) -> bool:
     return any(f"{x}/".startswith(directory) or directory.startswith(f"{x}/") for x in found)
 
 
+def _file_relation(frame: DataFrame):
+    """The file relation of a frame that is a scan and nothing more, else None."""
+    plan = frame._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() == "SubqueryAlias":
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    relation = plan.relation()
+    return relation if relation.getClass().getSimpleName() == "HadoopFsRelation" else None
+
+
+def counted_by_footers(frame: DataFrame) -> bool:
+    """Whether the rows of a frame can be counted without reading any."""
+    relation = _file_relation(frame)
+    return relation is not None and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
+
+
+def scan_files(frame: DataFrame) -> list[tuple[str, int, int]] | None:
+    """Files of a plain file scan as (name in ``_metadata.file_path``, bytes, time of change), by name.
+
+    None for any other frame, and where Spark itself does not hold the list.
+    """
+    relation = _file_relation(frame)
+    if relation is None or relation.location().getClass().getSimpleName() != "InMemoryFileIndex":
+        return None
+    found = relation.location().allFiles()
+    files = [found.apply(i) for i in range(found.size())]
+    return sorted((_plain(f.getPath().toUri().toString()), f.getLen(), f.getModificationTime()) for f in files)
+
+
 def _scan_roots(frame: DataFrame) -> list[str] | None:
     """Root paths of the file scans of a frame, or None where a scan does not tell."""
     leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
