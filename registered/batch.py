@@ -9,6 +9,7 @@ from registered import warehouse
 from registered.metadata import ROW_COUNTS_SQL
 from registered.registry import TABLES, query, run_options, table, table_paths
 from registered.warehouse import COLUMNS_SQL, FIELDS_SQL
+from tableferry.functions.paths import KEY
 from tableferry.operators.selection import select_tables
 from tableferry.operators.validation import reconcile, row_counts
 from tableferry.plans import planning, running
@@ -324,6 +325,64 @@ def infer_override_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("name", "type", "ordinal", "source_rows")
 
 
+_USER_SCHEMA = '[{"name": "Id", "type": "integer", "mode": "REQUIRED"}, {"name": "seen_at", "type": "timestamp"}, {"name": "price", "type": "numeric(12, 2)"}]'
+
+
+@query(
+    "plan_effective_schema",
+    f"""WITH {FIELDS_SQL}, numbered AS (
+          SELECT *, CAST(regexp_extract("table", '[0-9]+') AS INTEGER) AS num,
+                 lower(replace("database" || '_' || "schema", '-', '_')) AS namespace, lower("table") AS target FROM tabs
+        ), shared AS (SELECT *, count(*) OVER (PARTITION BY namespace, target) > 1 AS is_shared FROM numbered),
+        effective AS (
+          SELECT "database", "schema", "table", ordinal, name, type, 'NULLABLE' AS mode, 'inferred' AS origin
+          FROM fields JOIN shared USING ("database", "schema", "table") WHERE num % 4 IN (0, 3)
+          UNION ALL
+          SELECT "database", "schema", "table", f.ordinal, f.name, f.type, f.mode, 'schema' FROM shared CROSS JOIN
+            (VALUES (1, 'Id', 'INTEGER', 'REQUIRED'), (2, 'seen_at', 'TIMESTAMP', 'NULLABLE'), (3, 'price', 'NUMERIC(12,2)', 'NULLABLE'))
+            AS f (ordinal, name, type, mode) WHERE num % 4 = 1
+          UNION ALL
+          SELECT "database", "schema", "table", f.ordinal, f.name, f.type, 'NULLABLE', 'select' FROM shared CROSS JOIN
+            (VALUES (1, 'customer_id', 'INTEGER'), (2, 'last_day', 'DATE')) AS f (ordinal, name, type) WHERE num % 4 = 2
+        ), wanted AS (
+          SELECT *, CASE num % 4 WHEN 1 THEN 'SEEN_AT' WHEN 2 THEN CASE WHEN num % 8 = 2 THEN 'customer_id' ELSE 'last_day' END
+                                 WHEN 3 THEN 'view' END AS field FROM shared
+        ), temporal AS (
+          SELECT w."database", w."schema", w."table", bool_or(lower(name) = lower(field) AND type IN ('DATE', 'DATETIME', 'TIMESTAMP')) AS fits
+          FROM wanted w JOIN effective USING ("database", "schema", "table") GROUP BY ALL
+        )
+        SELECT e."database" || '.' || e."schema" || '.' || e."table" AS table_key, origin, CAST(ordinal AS INTEGER) AS ordinal, name, type, mode,
+               CASE WHEN is_shared THEN 'another table has the same target'
+                    WHEN field IS NOT NULL AND NOT fits THEN 'Check failed: cannot partition by ' || field || ': needs a temporal column'
+               END AS error
+        FROM effective e JOIN wanted USING ("database", "schema", "table") JOIN temporal USING ("database", "schema", "table")""",
+)
+def plan_effective_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schemas of a whole warehouse's plan: given by the user, by a SELECT's output, or inferred."""
+    found = warehouse.metadata(spark, sf_dir)
+    numbered = found.tables.withColumn("num", F.regexp_extract("table", "[0-9]+", 0).cast("int"))
+    kind, text = F.col("num") % 4, F.lit(None).cast("string")
+    by_select = F.when(F.col("num") % 8 == 2, "customer_id").otherwise("last_day")
+    settings = numbered.where(kind > 0).select(
+        *KEY,
+        F.when(kind == 1, _USER_SCHEMA).alias("custom_schema"),
+        F.when(kind == 2, "SELECT ... FROM {source}").otherwise(text).alias("override_sql"),
+        F.when(kind == 1, "SEEN_AT").when(kind == 2, by_select).otherwise("view").alias("partition_field"),
+    )
+    outputs = (
+        "inline(array(named_struct('ordinal', 1, 'column_name', 'customer.id', 'data_type', 'BIGINT'), "
+        "named_struct('ordinal', 2, 'column_name', 'last day', 'data_type', 'DATE')))"
+    )
+    selected = numbered.where(kind == 2).select(*KEY, F.expr(outputs))
+    rules = make_rules(spark, [{"database": f"DB{i}", "with_views": True} for i in range(3)])
+    options = RunOptions("s3://stage/", "s3://target", "s3://manifest")
+    plan = build_plan(select_tables(rules, found.tables), found.columns, options, settings, selected)
+    fields = plan.select("table_key", "schema_origin", "error", F.posexplode("target_schema").alias("at", "f"))
+    return fields.select(
+        "table_key", F.col("schema_origin").alias("origin"), (F.col("at") + 1).alias("ordinal"), "f.name", "f.type", "f.mode", "error"
+    )
+
+
 @query(
     "selected_from_manifest",
     """SELECT n_name AS "schema", c_name AS "table", 'BASE TABLE' AS table_type

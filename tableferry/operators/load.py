@@ -24,6 +24,7 @@ from tableferry.sources.storage import delete_directory, directory_bytes, qualif
 # Partition units, field modes and the largest number of cluster fields.
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 MODES = ("NULLABLE", "REQUIRED", "REPEATED")
+RECORD_TYPES = ("RECORD", "STRUCT")
 MAX_CLUSTER_FIELDS = 4
 
 GENERATED_PREFIX = "__p_"
@@ -83,7 +84,7 @@ def field_type(field: dict[str, Any]) -> T.DataType:
     """
     match = re.fullmatch(r"(\w+)(?:\((\d+)(?:,(\d+))?\))?", field["type"].upper().replace(" ", ""))
     name, first, second = match.groups() if match else (None, None, None)
-    if name in ("RECORD", "STRUCT"):
+    if name in RECORD_TYPES:
         inner = field.get("fields") or []
         types = [field_type(f) for f, _ in zip(inner, parse_schema(inner), strict=True)]
         repeated = [(f.get("mode") or "").upper() == "REPEATED" for f in inner]

@@ -17,7 +17,7 @@ from tableferry.functions.paths import (
 )
 from tableferry.functions.type_map import ZONED_TIMESTAMPS
 from tableferry.operators.chunks import CHUNK_BYTES
-from tableferry.plans.inference import target_records
+from tableferry.plans.inference import USER_SCHEMA, layout_problem, target_records, with_target_schema
 
 SETTINGS = {
     "override_sql": "string",
@@ -64,12 +64,16 @@ def build_plan(
     columns: DataFrame,
     options: RunOptions,
     settings: DataFrame | None = None,
+    outputs: DataFrame | None = None,
 ) -> DataFrame:
     """Everything a run needs to know per table, computed from metadata only.
 
     ``settings`` holds per-table choices: KEY and any of ``SETTINGS`` (a SELECT in
-    place of the projection, load options, a proceed/skip/abort action). A table
-    that cannot be planned keeps its row and says why in ``error``.
+    place of the projection, load options, a proceed/skip/abort action); ``outputs``
+    are the columns of those SELECTs (``analyze_overrides``). ``target_schema`` is what
+    the table will have: the user's schema, else the SELECT's output, else the inferred
+    one; ``schema_origin`` says which. A table that cannot be planned, also because its
+    schema or layout cannot be, keeps its row and says why in ``error``.
     """
     located = _with_errors(_located(selected, options))
     # Only the columns of selected tables are named, typed and gathered.
@@ -77,7 +81,10 @@ def build_plan(
     # Marked apart from the columns, so that who asks for errors alone names and types none.
     plan = located.join(records.withColumn("_known", F.lit(True)), KEY, "left")
     no_columns = F.when(F.col("_known").isNull(), F.lit("no columns known for the table"))
-    plan = _with_settings(plan, settings)
+    plan = with_target_schema(_with_settings(plan, settings), outputs)
+    # The same words as those of the check before an export.
+    of_user = F.when(F.col("schema_origin") == USER_SCHEMA, F.col("schema_error"))
+    checked = F.concat(F.lit("Check failed: "), F.coalesce(of_user, layout_problem()))
     return plan.select(
         F.struct("rule_pos", *KEY).alias("seq"),
         *KEY,
@@ -87,7 +94,9 @@ def build_plan(
         _select_sql(options).alias("select_sql"),
         *_LOCATION,
         *SETTINGS,
-        F.coalesce(no_columns, "error").alias("error"),
+        "schema_origin",
+        "target_schema",
+        F.coalesce(no_columns, F.col("error"), checked, F.col("schema_error")).alias("error"),
     )
 
 
