@@ -12,14 +12,14 @@ from dataclasses import dataclass, replace
 from datetime import date
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.type_map import SPARK_TYPES, TEMPORAL_TYPES, logical_name
 from tableferry.operators.export import quoted
 from tableferry.operators.replacement import Swap, existing, literal, recorded, recover, rename, table_location, table_name
-from tableferry.sources.storage import delete_directory, directory_bytes, qualified
+from tableferry.sources.storage import delete_directory, directory_bytes, qualified, scratch_directory
 
 # Partition units, field modes and the largest number of cluster fields.
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
@@ -31,6 +31,8 @@ GENERATED_PREFIX = "__p_"
 MIB = 1024 * 1024
 BYTES_PER_TASK = 256 * MIB
 POSITION = GENERATED_PREFIX + "position"
+#: Partitions whose places are broadcast (some 40 MB); of more they are joined by shuffle.
+MOST_PLACED = 1_000_000
 
 _PARTITION_FIELD = "tableferry.partition_field"
 _PARTITION_UNIT = "tableferry.partition_unit"
@@ -199,9 +201,10 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     """Distribute rows for the write.
 
     Without options the scan is written as it is, without a shuffle. Partitioning
-    alone deals rows by partition; one that holds more bytes than a task should is
+    alone deals rows by partition; one that holds more rows than a task should is
     cut into slices first, found by one count of the partition column, so that a hot
-    partition is split whatever its rows look like and whether or not AQE is on.
+    partition is split whatever its rows look like and whether or not AQE is on, and
+    slices are placed so that all tasks get about as many rows.
     Clustering sorts globally by (partition, cluster fields). In both cases the row's
     position in the staged files (column ``POSITION``) tells equal rows apart, so that
     whole copies spread over many tasks, and the split is the same when a task runs again.
@@ -215,7 +218,7 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
         part = [name]
     tasks = shuffle_tasks(frame.sparkSession, staged_bytes)
     if not options.cluster_fields:
-        return _deal_partitions(frame, part[0], tasks, staged_bytes).drop(POSITION) if part else frame
+        return _deal_partitions(frame, part[0], tasks).drop(POSITION) if part else frame
     keys = [F.col(quoted(c)) for c in [*part, *options.cluster_fields]]
     return (
         frame.repartitionByRange(tasks, *keys, F.col(POSITION))
@@ -224,20 +227,28 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     )
 
 
-def _deal_partitions(frame: DataFrame, part: str, tasks: int, staged_bytes: int) -> DataFrame:
-    """Rows dealt by partition, one of more than ``BYTES_PER_TASK`` in slices by the row's position.
+def _deal_partitions(frame: DataFrame, part: str, tasks: int) -> DataFrame:
+    """Rows dealt to tasks in the order of partitions, each task with about as many; found by one count of the partitions.
 
-    At most ``staged_bytes / BYTES_PER_TASK`` partitions need slices, so their table is
-    small enough to broadcast at any size of the input.
+    A partition begins where the one before it ends. One of more than half a task's rows is cut into slices of at most
+    that many, by the row's position, so no task holds more than one and a half of its share.
     """
-    share = max(1, staged_bytes) / BYTES_PER_TASK
     counts = frame.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
-    total = max(1, frame.count())
-    slices = F.ceil(F.col("_rows") * F.lit(share / total)).alias("_slices")
-    hot = counts.select(F.col(part).alias("_hot"), slices).where("_slices > 1")
-    sliced = frame.join(F.broadcast(hot), F.col(part).eqNullSafe(F.col("_hot")), "left")
-    own = F.pmod(F.xxhash64(POSITION), F.coalesce("_slices", F.lit(1)))
-    return sliced.repartition(tasks, F.col(part), own).drop("_hot", "_slices")
+    # One row for each partition of the table; the windows run over these alone.
+    before = F.sum("_rows").over(Window.orderBy(part)) - F.col("_rows")
+    share = F.ceil(F.sum("_rows").over(Window.partitionBy()) / tasks)
+    slices = F.ceil(F.col("_rows") * 2 / F.col("_share")).cast("int")
+    path = scratch_directory(frame.sparkSession)
+    placed = counts.select(F.col(part).alias("_part"), "_rows", before.alias("_before"), share.alias("_share"))
+    placed.withColumn("_slices", slices).write.parquet(path)
+    placed = frame.sparkSession.read.parquet(path)
+    if placed.count() <= MOST_PLACED:
+        placed = F.broadcast(placed)
+    found = frame.join(placed, F.col(part).eqNullSafe(F.col("_part")), "left")
+    own = F.pmod(F.xxhash64(POSITION), F.col("_slices"))
+    start = F.col("_before") + own * F.col("_rows") / F.col("_slices")
+    task = F.least(F.floor(start / F.col("_share")), F.lit(tasks - 1)).cast("int")
+    return found.repartitionById(tasks, task).drop("_part", "_rows", "_before", "_share", "_slices")
 
 
 def shuffle_tasks(spark: SparkSession, staged_bytes: int) -> int:

@@ -345,3 +345,22 @@ def test_external_table_reads_in_place_and_is_replaced(spark, staged, namespace,
     assert spark.table(target).count() == 7
     spark.sql(f"DROP TABLE {table_name(namespace, 't_external')}")
     assert spark.read.parquet(f"{tmp_path}/b").count() == 7
+
+
+@pytest.mark.parametrize("shape", ["hot", "many", "nulls", "one"])
+def test_slices_are_placed_evenly(spark, shape):
+    day = {
+        "hot": "IF(id % 3 = 0, date'2024-01-05', date'2024-01-01' + int(id % 400))",
+        "many": "date'1990-01-01' + int(id % 9000)",
+        "nulls": "IF(id % 2 = 0, NULL, date'2024-01-01' + int(id % 7))",
+        "one": "date'2024-01-01'",
+    }[shape]
+    rows = spark.range(40_000).selectExpr(f"{day} AS day", "id", f"struct('f' AS file_name, id AS row_index) AS {POSITION}")
+    frame = lay_out(rows, LoadOptions(partition_field="day"), 16 * BYTES_PER_TASK)
+    assert sorted(frame.columns) == ["__p_day", "day", "id"]
+    dealt = frame.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_distinct("__p_day").alias("days"))
+    found = dealt.collect()
+    assert len(found) == 16 and sum(r.n for r in found) == 40_000
+    assert max(r.n for r in found) <= 1.5 * 40_000 / 16 + 50
+    if shape == "many":  # a task has neighbouring partitions, and few are in two tasks
+        assert sum(r.days for r in found) <= 9000 + 16
