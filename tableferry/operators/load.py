@@ -31,6 +31,8 @@ GENERATED_PREFIX = "__p_"
 MIB = 1024 * 1024
 BYTES_PER_TASK = 256 * MIB
 POSITION = GENERATED_PREFIX + "position"
+#: Bytes of text and binary fields of a row that Spark samples to choose the ranges of a clustered load.
+RANGE_BYTES = 24
 #: Partitions whose places are broadcast (some 40 MB); of more they are joined by shuffle.
 MOST_PLACED = 1_000_000
 
@@ -205,9 +207,9 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     cut into slices first, found by one count of the partition column, so that a hot
     partition is split whatever its rows look like and whether or not AQE is on, and
     slices are placed so that all tasks get about as many rows.
-    Clustering sorts globally by (partition, cluster fields). In both cases the row's
-    position in the staged files (column ``POSITION``) tells equal rows apart, so that
-    whole copies spread over many tasks, and the split is the same when a task runs again.
+    Clustering deals ranges of (partition, cluster fields) and sorts each. In both cases
+    the row's position in the staged files (column ``POSITION``) tells equal rows apart, so
+    that whole copies spread over many tasks, and the split is the same when a task runs again.
     """
     part = []
     if options.partition_field is not None:
@@ -220,11 +222,28 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     if not options.cluster_fields:
         return _deal_partitions(frame, part[0], tasks).drop(POSITION) if part else frame
     keys = [F.col(quoted(c)) for c in [*part, *options.cluster_fields]]
-    return (
-        frame.repartitionByRange(tasks, *keys, F.col(POSITION))
-        .sortWithinPartitions(*keys)
-        .drop(POSITION)
-    )
+    bounds = range_keys(frame.schema, [*part, *options.cluster_fields])
+    return frame.repartitionByRange(tasks, *bounds, F.xxhash64(POSITION)).sortWithinPartitions(*keys).drop(POSITION)
+
+
+def range_keys(schema: T.StructType, fields: Sequence[str]) -> list[Column]:
+    """What stands for a row's fields when ranges are chosen: of fixed width, and in the order of the fields.
+
+    Spark brings a sample of these to the driver, so a text or binary field is cut: the fields share ``RANGE_BYTES``.
+    Rows that differ beyond it may lie in neighbouring tasks in either order. A nested field is told by its hash,
+    which keeps equal values together.
+    """
+    kinds = {c: schema[c].dataType for c in fields}
+    long_ones = [c for c, kind in kinds.items() if isinstance(kind, (T.StringType, T.BinaryType))]
+    width = RANGE_BYTES // max(1, len(long_ones))
+
+    def key(name: str) -> Column:
+        value, kind = F.col(quoted(name)), kinds[name]
+        if name in long_ones:
+            return F.substring(value.cast("binary"), 1, width)
+        return F.xxhash64(value) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)) else value
+
+    return [key(c) for c in fields]
 
 
 def _deal_partitions(frame: DataFrame, part: str, tasks: int) -> DataFrame:

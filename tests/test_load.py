@@ -364,3 +364,22 @@ def test_slices_are_placed_evenly(spark, shape):
     assert max(r.n for r in found) <= 1.5 * 40_000 / 16 + 50
     if shape == "many":  # a task has neighbouring partitions, and few are in two tasks
         assert sum(r.days for r in found) <= 9000 + 16
+
+
+def test_ranges_are_chosen_by_short_keys(spark, staged, namespace, tmp_path):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    kinds = texts.schema
+    lengths = texts.select(*[F.max(F.length(k)).alias(str(i)) for i, k in enumerate(load.range_keys(kinds, ["text"]))]).first()
+    assert tuple(lengths) == (load.RANGE_BYTES,)
+    two = texts.select(*[F.max(F.length(k)).alias(str(i)) for i, k in enumerate(load.range_keys(kinds, ["lang", "text"]))]).first()
+    assert two["1"] == load.RANGE_BYTES // 2 and two["0"] == 2
+    nested = spark.sql("SELECT array('x') AS a, 1 AS n, named_struct('q', 1) AS s")
+    assert [f.dataType.simpleString() for f in nested.select(*load.range_keys(nested.schema, ["a", "n", "s"])).schema] == ["bigint", "int", "bigint"]
+
+    laid_out = lay_out(load.with_position(spark.read.parquet(staged(texts.repartition(4)))), LoadOptions(cluster_fields=("text",)), 0)
+    exchange = next(line for line in plan_of(laid_out).splitlines() if "rangepartitioning(" in line)
+    assert "substring(cast(text" in exchange and "xxhash64(" in exchange
+    load_table(spark, f"{tmp_path}/stage", str(tmp_path), namespace, "t", LoadOptions(cluster_fields=("text",)))
+    ranges = read_table(spark, namespace, "t").groupBy(F.input_file_name()).agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    found = sorted((r.low[:6], r.high[:6]) for r in ranges.collect())
+    assert len(found) > 1 and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
