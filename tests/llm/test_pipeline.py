@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from conftest import SF_DIR
+from llm.conftest import ODD, prose
 from tableferry.llm import common, exact_dedup, queries
 
 
@@ -57,3 +58,24 @@ def test_entry_without_the_subpackage(monkeypatch):
     monkeypatch.delitem(sys.modules, "__spark_entry__")
     again = importlib.import_module("__spark_entry__")
     assert again.queries() and not any(k.startswith("op") or k == "pipeline" for k in again.queries())
+
+
+def pipeline_over(spark, tmp_path, frame, labels):
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path))
+
+
+def test_pipeline_over_an_empty_table(spark, docs, tmp_path):
+    assert pipeline_over(spark, tmp_path, docs([]), []).count() == 0
+
+
+def test_pipeline_over_odd_rows(spark, docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows and ids, columns with names that stages use; copies leave, the others stay."""
+    rows = [*ODD, *[(100 + i, prose(100 + i)) for i in range(60)], (300, prose(100) + " \n"), (301, prose(101))]
+    labels = [(100 + i, 1, 0) for i in range(60)] + [(2, 0, 0), (3, 0, 0), (10, 0, 0)]
+    found = pipeline_over(spark, tmp_path, docs(rows), labels)
+    kept = {r.doc_id for r in found.collect()}
+    assert kept <= {i for i, _ in rows} and len(kept & set(range(100, 160))) > 30
+    assert 2 not in kept and 10 not in kept  # too few words
+    assert not {100, 300} <= kept and not {101, 301} <= kept
