@@ -21,6 +21,8 @@ RULES = (
 )
 #: A page of fewer visible words is a bad outcome.
 LEAST_WORDS = 50
+#: Elements whose content is no visible text of a page.
+UNSEEN = ("script", "style", "head", "nav", "footer")
 #: Standard normal quantile of the bound (one-sided 97.5 %), the share of bad pages from which a host is blocked, and
 #: the least and the greatest weight of a prior in pages.
 QUANTILE = 1.96
@@ -48,12 +50,57 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(F.substring_index(host, ":", 1), ".", -1)
 
 
+def _words(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
+def visible_words(frame: DataFrame, html: Column) -> DataFrame:
+    """``frame`` with ``words``: those of a page outside its tags, comments, and elements that show no text of its own.
+
+    One pass over the pieces between ``<`` signs, so its time grows with the length of a page whatever is left open: an
+    element or a comment is passed over only if it is closed further on.
+    """
+
+    def piece(text: Column, at: Column) -> Column:
+        tag = F.regexp_extract(text, rf"(?i)^(/?(?:{'|'.join(UNSEEN)}))(?=[^a-z0-9_]|$)", 1)
+        behind = F.when(F.contains(text, F.lit(">")) & (at > 0), F.substring_index(text, ">", -1)).otherwise(text)
+        first = F.when(F.contains(text, F.lit(">")) & (at > 0), F.substr(text, F.instr(text, F.lit(">")) + 1)).otherwise(text)
+        return F.struct(
+            at.alias("at"),
+            F.when(at > 0, F.lower(tag)).otherwise("").alias("tag"),
+            (F.startswith(text, F.lit("!--")) & (at > 0)).alias("comment"),
+            F.contains(text, F.lit("-->")).alias("ends"),
+            _words(F.when(F.contains(text, F.lit("-->")), behind).otherwise(first)).alias("words"),
+        )
+
+    def last(found: Column) -> Column:
+        """The greatest place at which something is true, or 0."""
+        return F.coalesce(F.array_max(F.transform(F.filter("_pieces", lambda p: found_in(p, found)), lambda p: p["at"])), F.lit(0))
+
+    def found_in(p: Column, name: Column) -> Column:
+        return F.when(name == "!", p["ends"]).otherwise(p["tag"] == F.concat(F.lit("/"), name))
+
+    def step(state: Column, p: Column) -> Column:
+        inside = state["within"] != ""
+        closes = inside & F.when(state["within"] == "!", p["ends"]).otherwise(p["tag"] == F.concat(F.lit("/"), state["within"]))
+        starts = F.when(p["comment"] & ~p["ends"], "!").when(p["tag"].isin(*UNSEEN), p["tag"]).otherwise("")
+        shut = F.coalesce(F.try_element_at(F.col("_last"), starts), F.lit(-1)) > p["at"]
+        within = F.when(inside & ~closes, state["within"]).when(~inside & shut, starts).otherwise("")
+        return F.struct(within.alias("within"), (state["words"] + F.when(within == "", p["words"]).otherwise(0)).alias("words"))
+
+    pieces = F.transform(F.split(html, "<"), piece)
+    marked = frame.withColumn("_pieces", pieces)
+    places = [x for name in (*UNSEEN, "!") for x in (F.lit(name), last(F.lit(name)))]
+    marked = marked.withColumn("_last", F.create_map(*places))
+    start = F.struct(F.lit("").alias("within"), F.lit(0).alias("words"))
+    return marked.withColumn("words", F.aggregate("_pieces", start, step, lambda s: s["words"])).drop("_pieces", "_last")
+
+
 def outcomes(pages: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``host, bad`` (0 or 1) for each page: bad if its visible text has too few words. Null html counts as empty."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    visible = F.regexp_replace(html, r"(?is)<(script|style|head|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    words = F.size(F.filter(F.split(visible, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    return pages.select(host_of(F.col("url")).alias("host"), (words < least_words).cast("long").alias("bad"))
+    counted = visible_words(pages.select(host_of(F.col("url")).alias("host"), html.alias("html")), F.col("html"))
+    return counted.select("host", (F.col("words") < least_words).cast("long").alias("bad"))
 
 
 def _prior(level: DataFrame, parents: list[str], rate: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as markup
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +48,8 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
     "head": frozenset(["body"]),
 }
+#: The other way round: the open elements that a tag closes.
+CLOSES = {tag: [k for k, closing in CLOSED_BY.items() if tag in closing] for tag in frozenset().union(*CLOSED_BY.values())}
 #: Words in a class, id or role that name something beside the article, and those that hold only outside it.
 NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
@@ -59,6 +62,9 @@ _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
+#: What is dropped to the end of a page that has no more ``>``.
+_UNENDED = re.compile(r"<[!?].*\Z", re.S)
+_RAW_END = {tag: re.compile(f"</{tag}[\\s/>]", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
@@ -102,45 +108,67 @@ class Element:
 
 
 def parse(text: str) -> Element:
-    """The tree of a page; tolerant of elements that are left open, closed twice or misnested."""
+    """The tree of a page; tolerant of elements that are left open, closed twice or misnested.
+
+    Time grows in proportion to the text: open elements are counted by tag, the places of those that others may close
+    and of the blocks that shield them are kept, and behind the last ``>`` no tag is looked for.
+    """
     root = Element("#root", "", False)
-    stack, at = [root], 0
+    stack, at, last = [root], 0, text.rfind(">")
+    opened: Counter[str] = Counter()
+    closable: dict[str, list[int]] = {k: [] for k in CLOSED_BY}  # places in the stack
+    shields: list[int] = [0]
+    containers = 0
+
+    def close(depth: int) -> None:
+        nonlocal containers
+        for element in reversed(stack[depth:]):
+            opened[element.tag] -= 1
+            containers -= element.tag in CONTAINERS
+            if element.tag in CLOSED_BY:
+                closable[element.tag].pop()
+            elif element.tag in BLOCKS:
+                shields.pop()
+        del stack[depth:]
+
     while True:
-        m = _TAG.search(text, at)
+        m = _TAG.search(text, at, last + 1) or _UNENDED.search(text, max(at, last + 1))
         if m is None:
             stack[-1].items.append(text[at:])
             return root
         if m.start() > at:
             stack[-1].items.append(text[at : m.start()])
         at = m.end()
-        name = m[2] or m[5]
+        name = m[2] or m[5] if m.re is _TAG else None
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith(("-->", "--!>")):
+                at = len(text)
             continue
         tag = name.lower()
         if m[1] or m[4]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened[tag] > 0:
+                close(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
             continue
-        for depth in range(len(stack) - 1, 0, -1):
-            closing = CLOSED_BY.get(stack[depth].tag)
-            if closing and tag in closing:
-                del stack[depth:]
-                break
-            if stack[depth].tag in BLOCKS and stack[depth].tag not in CLOSED_BY:
-                break
+        near = max((closable[k][-1] for k in CLOSES.get(tag, ()) if closable[k]), default=0)
+        if near > shields[-1]:
+            close(near)
         attributes = m[3] or m[6] or ""
-        element = Element(tag, attributes, any(x.tag in CONTAINERS for x in stack))
+        element = Element(tag, attributes, containers > 0)
         stack[-1].items.append(element)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         if tag in RAW:
-            end = re.compile(f"</{tag}[\\s/>]", re.I).search(text, at)
+            end = _RAW_END[tag].search(text, at)
             element.items.append(text[at : end.start()] if end else text[at:])
             at = (text.find(">", end.start()) + 1 or len(text)) if end else len(text)
             continue
         stack.append(element)
+        opened[tag] += 1
+        containers += tag in CONTAINERS
+        if tag in CLOSED_BY:
+            closable[tag].append(len(stack) - 1)
+        elif tag in BLOCKS:
+            shields.append(len(stack) - 1)
 
 
 def _walk(root: Element) -> list[Element]:

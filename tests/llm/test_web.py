@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import base64
 import hashlib
 from collections import defaultdict
@@ -150,3 +151,37 @@ def test_templates_are_found_by_counting(pages):
     assert got[201][0] == "Welcome to the site\nLink 1\nOther\nStory 1\nShared by all"
     assert got[300] == ("", 0)
     assert site_templates.main_text(pages([])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "</b>" * 100_000, "<b>" * 100_000, "<li><p>" * 50_000, '<a b="' * 100_000, "a>" + "<b" * 100_000, "<article>" * 50_000 + "x"],
+    ids=["unmatched", "nested", "list", "quotes", "unended", "articles"],
+)
+def test_long_misshapen_pages_are_parsed_in_one_pass(page):
+    started = time.monotonic()
+    site_templates.extract(page, frozenset([1]))
+    assert time.monotonic() - started < 20  # some minutes if each tag looked at all that are open
+
+
+def test_visible_words(spark):
+    cases = {
+        "one <b>two</b> three": 3,
+        "<head><title>no</title></head><body>a b<nav>c d</nav> e</body>": 3,
+        "a <script>if (a < b) x</script > b": 2,
+        "a <nav> b c": 3,  # left open: its text is seen
+        "a <!-- b <i>c</i> --> d": 2,
+        "a <!-- b": 3,
+        "a<header>b</header>": 2,
+        "<FOOTER class=x>a</footer>b": 1,
+        "": 0,
+        " a > b ": 3,
+    }
+    frame = spark.createDataFrame([(html, n) for html, n in cases.items()], "html string, n int")
+    found = host_reputation.visible_words(frame, frame["html"]).collect()
+    assert {r.html: r.words for r in found} == cases
+
+
+def test_visible_words_of_long_open_markup(spark):
+    frame = spark.createDataFrame([("<nav> a " * 100_000,), ("<!-- a " * 50_000,), ("<script" * 100_000,)], "html string")
+    assert [r.words for r in host_reputation.visible_words(frame, frame["html"]).collect()][0] == 100_000
