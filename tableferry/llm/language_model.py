@@ -7,8 +7,7 @@ and the smoothed count for the others. Each class of other words keeps one unit
 start of training the output biases are the counts, so that the untrained model is the smoothed unigram model.
 
 The recurrent unit is trained in numpy by backpropagation truncated to windows, with the state carried from one window
-to the next: the rounds divide all training documents, each core trains a copy on its part of a round, and the copies are
-averaged. A text is scored as a whole, with its state carried to its end. Texts run side by side in lanes.
+to the next: the rounds divide all training documents, copies of the model train on parts of a round, and are averaged. A text is scored as a whole, with its state carried to its end. Texts run side by side in lanes.
 
 Words with at least ``COMMON`` of all training tokens, at most ``1 / COMMON`` of them, are broadcast with their counts;
 the counts of all others are joined by word.
@@ -43,10 +42,12 @@ class Settings:
     endings: int = 63  #: classes of other words: this many frequent endings, and the rest
     hidden: int = 24
     window: int = 32  #: tokens after which backpropagation is cut
-    lanes: int = 128
-    train_lanes: int = 16
+    lanes: int = 64
+    train_lanes: int = 64
     rounds: int = 3  #: each trains on its part of the training documents; together they use every document once
     rate: float = 0.1
+    task: int = 4_000_000  #: training tokens of a copy, by which the copies of a round are counted
+    group: int = 5 << 20  #: bytes of text that run side by side
 
 
 # --- counts --------------------------------------------------------------------------------------------------------
@@ -131,31 +132,59 @@ class Model:
         return self
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
-
-
 def forward(model: Model, state: np.ndarray, ids: np.ndarray, fresh: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States before each token of a window, and the state after it. ``ids`` and ``fresh`` (a text begins) are time x lanes."""
-    h = state.shape[1]
-    gates, recur = model.p["table"][ids], model.p["recur"]
-    before = np.empty((*ids.shape, h), np.float32)
-    for t in range(len(ids)):
-        state = state * ~fresh[t, :, None]
-        before[t] = state
-        own = state @ recur
-        zr = _sigmoid(gates[t, :, : 2 * h] + own[:, : 2 * h])
-        z, r = zr[:, :h], zr[:, h:]
-        new = np.tanh(gates[t, :, 2 * h :] + r * own[:, 2 * h :])
-        if trace is not None:
-            trace.append((z, r, new, own[:, 2 * h :]))
-        state = new + z * (state - new)
-    return before, state
+    """States before each token of a window, and the state after it. ``ids`` and ``fresh`` (a text begins) are time x lanes.
+
+    Gates lie one behind another (gate x hidden x lanes), so that each step works on whole stretches of memory. With
+    ``trace`` the gates of all steps are added to it: both sigmoids, the candidate, and its recurrent part.
+    """
+    steps, (lanes, h) = len(ids), state.shape
+    # A sigmoid is half of one and the hyperbolic tangent of half its argument: the half is taken once, in the weights.
+    half = np.repeat(np.array([0.5, 1], np.float32), [2 * h, h])
+    gates = np.ascontiguousarray((model.p["table"] * half)[ids].transpose(0, 2, 1))
+    recur = np.ascontiguousarray((model.p["recur"] * half).T)
+    before = np.empty((steps, h, lanes), np.float32)
+    sigmoids, candidates, inner = (np.empty((steps, n, lanes), np.float32) for n in (2 * h, h, h))
+    own = np.empty((3 * h, lanes), np.float32)
+    state = np.ascontiguousarray(state.T)
+    kept, begins = ~fresh, fresh.any(axis=1)
+    for t in range(steps):
+        past, zr, new = before[t], sigmoids[t], candidates[t]
+        np.multiply(state, kept[t], out=past) if begins[t] else np.copyto(past, state)
+        np.matmul(recur, past, out=own)
+        np.add(gates[t, : 2 * h], own[: 2 * h], out=zr)
+        np.tanh(zr, out=zr)
+        zr += 1
+        zr *= 0.5
+        inner[t] = own[2 * h :]
+        np.multiply(zr[h:], inner[t], out=new)
+        new += gates[t, 2 * h :]
+        np.tanh(new, out=new)
+        state = past - new
+        state *= zr[:h]
+        state += new
+    if trace is not None:
+        trace.extend([before, sigmoids[:, :h], sigmoids[:, h:], candidates, inner])
+    return before.transpose(0, 2, 1), np.ascontiguousarray(state.T)
+
+
+def _bounded(weights: np.ndarray, bias: np.ndarray, axis: int) -> bool:
+    """Whether no sum of a bias and weights times states, which lie between -1 and 1, can be too large for ``exp``."""
+    return bool(bias.size) and float(np.abs(weights).sum(axis=axis).max() + np.abs(bias).max()) < 60
+
+
+def _picked(x: np.ndarray, target: np.ndarray, slope: bool, bounded: bool) -> np.ndarray:
+    """Logarithm of the target's share in each column's softmax. ``x`` is used up; with ``slope`` it becomes the gradient."""
+    columns = np.arange(x.shape[1])
+    if not bounded:
+        x -= x.max(axis=0)
+    chosen = x[target, columns]
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    if slope:
+        x *= -1 / total
+        x[target, columns] += 1
+    return chosen - np.log(total)
 
 
 def outputs(model: Model, lexicon: Lexicon, states: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -163,35 +192,43 @@ def outputs(model: Model, lexicon: Lexicon, states: np.ndarray, ids: np.ndarray,
 
     With ``grads`` the gradients are added to it, and the gradient of the states comes back too.
     """
+    slope = grads is not None
     target = lexicon.class_of[ids]
-    logs = _log_softmax(states @ model.p["class_w"] + model.p["class_b"])
-    rows = np.arange(len(ids))
-    result = logs[rows, target].astype(np.float64)
-    back = None
-    if grads is not None:
-        d = -np.exp(logs)
-        d[rows, target] += 1
-        grads["class_w"] += states.T @ d
-        grads["class_b"] += d.sum(axis=0)
-        back = d @ model.p["class_w"].T
+    weights, bias = model.p["class_w"], model.p["class_b"]
+    # Tokens stand in the order of their classes; sums over classes run over whole rows.
     order = np.argsort(target, kind="stable")
-    cuts = np.searchsorted(target[order], np.arange(lexicon.classes + 1))
+    target, ids = target[order], ids[order]
+    states = np.ascontiguousarray(states[order].T)
+    x = weights.T @ states
+    x += bias[:, None]
+    result = _picked(x, target, slope, _bounded(weights, bias, 0)).astype(np.float64)
+    back = None
+    if slope:
+        grads["class_w"] += states @ x.T
+        grads["class_b"] += x.sum(axis=1)
+        back = weights @ x
+    cuts = np.searchsorted(target, np.arange(lexicon.classes + 1)).tolist()
+    bounds = lexicon.bounds.tolist()
+    bounded = _bounded(model.p["word_w"], model.p["word_b"], 1)
     for c in range(lexicon.classes):
-        low, high = lexicon.bounds[c], lexicon.bounds[c + 1]
-        at = order[cuts[c] : cuts[c + 1]]
-        if not len(at) or high - low == 1:
+        low, high, a, b = bounds[c], bounds[c + 1], cuts[c], cuts[c + 1]
+        if a == b or high - low == 1:
             continue
-        weights, own = model.p["word_w"][low:high], states[at]
-        logs = _log_softmax(own @ weights.T + model.p["word_b"][low:high])
-        column = ids[at] - low
-        result[at] += logs[np.arange(len(at)), column]
-        if grads is not None:
-            d = -np.exp(logs)
-            d[np.arange(len(at)), column] += 1
-            grads["word_w"][low:high] += d.T @ own
-            grads["word_b"][low:high] += d.sum(axis=0)
-            back[at] += d @ weights
-    return result, back
+        weights, own = model.p["word_w"][low:high], states[:, a:b]
+        x = weights @ own
+        x += model.p["word_b"][low:high, None]
+        result[a:b] += _picked(x, ids[a:b] - low, slope, bounded)
+        if slope:
+            grads["word_w"][low:high] += x @ own.T
+            grads["word_b"][low:high] += x.sum(axis=1)
+            back[:, a:b] += weights.T @ x
+    logs = np.empty(len(ids))
+    logs[order] = result
+    if slope:
+        slopes = np.empty((len(ids), back.shape[0]), np.float32)
+        slopes[order] = back.T
+        back = slopes
+    return logs, back
 
 
 def lanes_of(texts: list[np.ndarray], lanes: int) -> list[list[int]]:
@@ -206,25 +243,22 @@ def lanes_of(texts: list[np.ndarray], lanes: int) -> list[list[int]]:
 
 def windows(texts: list[np.ndarray], count: int, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Windows of all lanes: ids, where texts begin, each token's text (-1: a lane is at its end), and the lanes."""
-    lanes = lanes_of(texts, count)
-    flat = [np.concatenate([texts[i] for i in lane]) if lane else np.zeros(0, np.int64) for lane in lanes]
-    owner = [np.repeat(lane, [len(texts[i]) for i in lane]) for lane in lanes]
-    begin = [np.cumsum([0] + [len(texts[i]) for i in lane])[:-1] for lane in lanes]
-    length = max(map(len, flat))
-    active = np.arange(len(lanes))
-    for start in range(0, length, settings.window):
-        stop = min(length, start + settings.window)
-        active = np.array([i for i in active if len(flat[i]) > start])
-        ids = np.zeros((stop - start, len(active)), np.int64)
-        who = np.full(ids.shape, -1, np.int64)
-        fresh = np.zeros(ids.shape, bool)
-        for column, lane in enumerate(active):
-            part = flat[lane][start:stop]
-            ids[: len(part), column] = part
-            who[: len(part), column] = owner[lane][start:stop]
-            at = begin[lane]
-            fresh[at[(at >= start) & (at < stop)] - start, column] = True
-        yield ids, fresh, who, active
+    lanes = sorted(lanes_of(texts, count), key=lambda lane: -sum(len(texts[i]) for i in lane))
+    order = [i for lane in lanes for i in lane]
+    lengths = np.array([len(texts[i]) for i in order], np.int64)
+    flat = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, np.int32)
+    owner = np.repeat(np.array(order, np.int32), lengths)
+    begins = np.zeros(len(flat), bool)
+    begins[np.cumsum(lengths)[lengths > 0] - lengths[lengths > 0]] = True
+    size = np.array([sum(len(texts[i]) for i in lane) for lane in lanes], np.int64)
+    first = np.cumsum(size) - size
+    for start in range(0, int(size.max(initial=0)), settings.window):
+        stop = min(int(size[0]), start + settings.window)
+        active = np.arange(int((size > start).sum()))  # the longest lanes come first
+        at = np.arange(start, stop)[:, None]
+        live = at < size[active]
+        place = np.where(live, first[active] + at, 0)
+        yield np.where(live, flat[place], 0), live & begins[place], np.where(live, owner[place], -1), active
 
 
 def score(model: Model, lexicon: Lexicon, texts: list[np.ndarray], settings: Settings) -> np.ndarray:
@@ -258,24 +292,38 @@ class Trainer:
         trace: list = []
         before, after = forward(self.model, state, ids, fresh, trace)
         _, back = outputs(self.model, self.lexicon, before[live], ids[live], grads)
-        towards = np.zeros_like(before)
+        towards = np.zeros(before.shape, np.float32)
         towards[live] = back
-        gates = np.empty((*ids.shape, 3 * h), np.float32)
-        carried = np.zeros_like(state)
+        towards = np.ascontiguousarray(towards.transpose(0, 2, 1))
+        past, z, r, new, own = trace
+        # What does not depend on later steps, for all steps at once.
+        to_new = (1 - z) * (1 - new * new)
+        to_z = (past - new) * z * (1 - z)
+        to_r = own * r * (1 - r)
+        slopes = np.empty((len(ids), 3 * h, len(state)), np.float32)  # of the gates' arguments
+        inner = np.empty((len(ids), 3 * h, len(state)), np.float32)  # of their recurrent parts
+        carried, kept, begins = np.zeros((h, len(state)), np.float32), ~fresh, fresh.any(axis=1)
+        recur = np.ascontiguousarray(p["recur"])
         for t in reversed(range(len(ids))):
-            z, r, new, own = trace[t]
-            past = before[t]
-            dn = carried * (1 - z) * (1 - new * new)
-            dz = carried * (past - new) * z * (1 - z)
-            dr = dn * own * r * (1 - r)
-            gates[t] = np.concatenate([dz, dr, dn], axis=1)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["recur"] += past.T @ inner
-            carried = (carried * z + inner @ p["recur"].T + towards[t]) * ~fresh[t, :, None]
+            dz, dr, dn = slopes[t, :h], slopes[t, h : 2 * h], slopes[t, 2 * h :]
+            np.multiply(carried, to_z[t], out=dz)
+            np.multiply(carried, to_new[t], out=dn)
+            np.multiply(dn, to_r[t], out=dr)
+            inner[t, : 2 * h] = slopes[t, : 2 * h]
+            np.multiply(dn, r[t], out=inner[t, 2 * h :])
+            carried *= z[t]
+            carried += recur @ inner[t]
+            grads["recur"] += past[t] @ inner[t].T
+            carried += towards[t]
+            if begins[t]:
+                carried *= kept[t]
+        gates = slopes.transpose(0, 2, 1)
         rows, place = np.unique(ids[live], return_inverse=True)
         table = np.zeros((len(rows), 3 * h), np.float32)
         order = np.argsort(place, kind="stable")
-        table[:] = np.add.reduceat(gates[live][order], np.searchsorted(place[order], np.arange(len(rows))), axis=0)
+        step, lane = np.nonzero(live)
+        sorted_gates = gates[step[order], lane[order]]
+        table[:] = np.add.reduceat(sorted_gates, np.searchsorted(place[order], np.arange(len(rows))), axis=0)
         for k, g in grads.items():
             g /= n
             self.squares[k] += g * g
@@ -310,9 +358,22 @@ class Coded:
         coded = flat.dictionary_encode()
         self.words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.index, self.offsets = coded.indices.to_numpy(), offsets
-        codes = np.fromiter(map(lexicon.code, self.words), np.int64, len(self.words))[self.index] if self.words else np.zeros(0, np.int64)
+        codes = np.fromiter(map(lexicon.code, self.words), np.int32, len(self.words))[self.index] if self.words else np.zeros(0, np.int32)
         end = lexicon.code(END)
-        self.texts = [np.append(codes[a:b], end) for a, b in zip(offsets[:-1], offsets[1:])]
+        ended = np.insert(codes, offsets[1:], end)  # each text is followed by its end
+        bounds = offsets + np.arange(len(offsets))
+        self.texts = [ended[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def grouped(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut at about ``size`` bytes of text: many texts side by side fill the lanes, and memory stays bounded."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def _average(parts: DataFrame) -> DataFrame:
@@ -332,10 +393,14 @@ def _average(parts: DataFrame) -> DataFrame:
     return some.groupBy("block").applyInArrow(mean, schema)
 
 
-def train(docs: DataFrame, base: dict, settings: Settings) -> dict:
-    """``base`` (lexicon for the broadcast) with the trained parameters in ``flat``."""
+def train(docs: DataFrame, base: dict, settings: Settings, tokens: int) -> dict:
+    """``base`` (lexicon for the broadcast) with the trained parameters in ``flat``.
+
+    A round has as many copies as its share of the ``tokens`` asks for, however many cores there are, so a lost
+    executor repeats no more than a copy's texts.
+    """
     context = docs.sparkSession.sparkContext
-    block = 16_384
+    block, copies_of_round = 16_384, max(1, -(-tokens // (settings.rounds * settings.task)))
     for turn in range(settings.rounds):
         shared = context.broadcast(base)
 
@@ -343,11 +408,9 @@ def train(docs: DataFrame, base: dict, settings: Settings) -> dict:
             lexicon, start = _opened(shared, settings)
             trainer = Trainer(Model(lexicon, settings).load(start.flat()), lexicon, settings)
             key = 0
-            for batch in batches:
-                if batch.num_rows:
-                    key = batch.column(1)[0].as_py() >> 33 & 63  # the upper bits of a row number are its partition
-                    for at in range(0, batch.num_rows, 1_000):
-                        trainer.fit(Coded(batch.column(0).slice(at, 1_000), lexicon).texts)
+            for part in grouped(batches, 0, settings.group):
+                key = part.column(1)[0].as_py() >> 33 & 63  # the upper bits of a row number are its partition
+                trainer.fit(Coded(part.column(0), lexicon).texts)
             if trainer.tokens:
                 flat = trainer.model.flat()
                 cuts = range(0, len(flat), block)
@@ -357,7 +420,7 @@ def train(docs: DataFrame, base: dict, settings: Settings) -> dict:
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "tokens", "values"])
 
         mine = docs.filter(F.pmod(F.xxhash64("row"), F.lit(settings.rounds)) == turn).select("text", "row")
-        copies = common.stored(mine.coalesce(context.defaultParallelism).mapInArrow(fit, "block int, part int, tokens double, values binary"), "copies")
+        copies = common.stored(mine.coalesce(copies_of_round).mapInArrow(fit, "block int, part int, tokens double, values binary"), "copies")
         found = sorted((r["block"], r["values"]) for r in _average(copies).collect())  # one row for each block of the model
         if found:
             base = {**base, "flat": np.frombuffer(b"".join(v for _, v in found), np.float32), "name": f"{base['name']}+{turn}"}
@@ -390,44 +453,42 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
     every = others.agg(F.sum("mass").alias("m")).first()["m"] or 0
     masses = np.array([r["mass"] for r in top] + [every - sum(r["mass"] for r in top)], np.float64) + 1
     base = {"name": str(id(counts)) + counts.inputFiles()[0] if n else "none", "words": " ".join(words), "counts": numbers, "endings": [r["ending"] for r in top], "masses": masses, "flat": None}
-    base = train(training, base, settings)
+    base = train(training, base, settings, n)
     shared = context.broadcast(base)
     unit = math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, model = _opened(shared, settings)
         class_log = np.concatenate([np.zeros(lexicon.own), np.log10(lexicon.masses)])
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4_000):
-                part = batch.slice(start, 4_000)
-                coded = Coded(part.column(3), lexicon)
-                logs = score(model, lexicon, coded.texts, settings) / math.log(10)
-                # What each word of the batch adds to the base score and, for other words, to the model's.
-                known = np.array([lexicon.counts.get(w, -1) for w in coded.words], np.int64)
-                base_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - unit
-                codes = np.fromiter(map(lexicon.code, coded.words), np.int64, len(coded.words))
-                own = codes < lexicon.own
-                more = np.where(own, 0.0, np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - class_log[codes]) if len(codes) else np.zeros(0)
-                end = lexicon.counts.get(END, -1)
-                end_code = lexicon.code(END)
-                end_log = math.log10(end + 1) if end >= 0 else 0.0
-                sums = lambda values: np.append(0, np.cumsum(values[coded.index]))
-                a, b = coded.offsets[:-1], coded.offsets[1:]
-                base_sum, more_sum, known_sum = sums(base_log), sums(more), sums((known >= 0).astype(np.int64))
-                rare, listed = known < 0, []
-                odd = rare[coded.index] if len(coded.words) else np.zeros(0, bool)
-                for i, j in zip(a.tolist(), b.tolist()):
-                    found, times = np.unique(coded.index[i:j][odd[i:j]], return_counts=True)
-                    listed.append([{"word": coded.words[w], "times": int(k)} for w, k in zip(found.tolist(), times.tolist())])
-                columns = [
-                    *part.columns[:3],
-                    pa.array(b - a + 1, pa.int64()),
-                    pa.array(known_sum[b] - known_sum[a] + (end > 0), pa.int64()),
-                    pa.array(base_sum[b] - base_sum[a] + end_log - unit),
-                    pa.array(logs + more_sum[b] - more_sum[a] + (0.0 if end_code < lexicon.own else end_log - class_log[end_code])),
-                    pa.array(listed, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=_SCORED_NAMES)
+        for part in grouped(batches, 3, settings.group):
+            coded = Coded(part.column(3), lexicon)
+            logs = score(model, lexicon, coded.texts, settings) / math.log(10)
+            # What each word of the batch adds to the base score and, for other words, to the model's.
+            known = np.array([lexicon.counts.get(w, -1) for w in coded.words], np.int64)
+            base_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - unit
+            codes = np.fromiter(map(lexicon.code, coded.words), np.int64, len(coded.words))
+            own = codes < lexicon.own
+            more = np.where(own, 0.0, np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - class_log[codes]) if len(codes) else np.zeros(0)
+            end = lexicon.counts.get(END, -1)
+            end_code = lexicon.code(END)
+            end_log = math.log10(end + 1) if end >= 0 else 0.0
+            sums = lambda values: np.append(0, np.cumsum(values[coded.index]))
+            a, b = coded.offsets[:-1], coded.offsets[1:]
+            base_sum, more_sum, known_sum = sums(base_log), sums(more), sums((known >= 0).astype(np.int64))
+            rare, listed = known < 0, []
+            odd = rare[coded.index] if len(coded.words) else np.zeros(0, bool)
+            for i, j in zip(a.tolist(), b.tolist()):
+                found, times = np.unique(coded.index[i:j][odd[i:j]], return_counts=True)
+                listed.append([{"word": coded.words[w], "times": int(k)} for w, k in zip(found.tolist(), times.tolist())])
+            columns = [
+                *part.columns[:3],
+                pa.array(b - a + 1, pa.int64()),
+                pa.array(known_sum[b] - known_sum[a] + (end > 0), pa.int64()),
+                pa.array(base_sum[b] - base_sum[a] + end_log - unit),
+                pa.array(logs + more_sum[b] - more_sum[a] + (0.0 if end_code < lexicon.own else end_log - class_log[end_code])),
+                pa.array(listed, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=_SCORED_NAMES)
 
     scored = common.stored(rows.mapInArrow(run, _SCORED), "scored")
     rare = counts.filter((F.col("n") < COMMON * n) & (F.col("word") != END))
