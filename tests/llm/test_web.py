@@ -185,3 +185,12 @@ def test_visible_words(spark):
 def test_visible_words_of_long_open_markup(spark):
     frame = spark.createDataFrame([("<nav> a " * 100_000,), ("<!-- a " * 50_000,), ("<script" * 100_000,)], "html string")
     assert [r.words for r in host_reputation.visible_words(frame, frame["html"]).collect()][0] == 100_000
+
+
+def test_outcomes_of_long_pages_in_files(spark, tmp_path):
+    """Read from files, where Spark may merge the steps of a projection."""
+    rows = [(1, "http://a.b/", "<nav> a " * 40_000), (2, "http://a.b/", "<p>x</p> " * 40_000), (3, "http://a.b/", "few")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    started = time.monotonic()
+    found = host_reputation.outcomes(spark.read.parquet(f"{tmp_path}/pages")).collect()
+    assert sorted(r.bad for r in found) == [0, 0, 1] and time.monotonic() - started < 60
