@@ -51,7 +51,7 @@ def suffix_of(host: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
 def visible_words(frame: DataFrame, html: Column) -> DataFrame:
@@ -84,15 +84,17 @@ def visible_words(frame: DataFrame, html: Column) -> DataFrame:
         inside = state["within"] != ""
         closes = inside & F.when(state["within"] == "!", p["ends"]).otherwise(p["tag"] == F.concat(F.lit("/"), state["within"]))
         starts = F.when(p["comment"] & ~p["ends"], "!").when(p["tag"].isin(*UNSEEN), p["tag"]).otherwise("")
-        shut = F.coalesce(F.try_element_at(F.col("_last"), starts), F.lit(-1)) > p["at"]
+        shut = F.coalesce(F.try_element_at(state["last"], starts), F.lit(-1)) > p["at"]
         within = F.when(inside & ~closes, state["within"]).when(~inside & shut, starts).otherwise("")
-        return F.struct(within.alias("within"), (state["words"] + F.when(within == "", p["words"]).otherwise(0)).alias("words"))
+        words = state["words"] + F.when(within == "", p["words"]).otherwise(0)
+        return F.struct(within.alias("within"), words.alias("words"), state["last"].alias("last"))
 
     pieces = F.transform(F.split(html, "<"), piece)
     marked = frame.withColumn("_pieces", pieces)
     places = [x for name in (*UNSEEN, "!") for x in (F.lit(name), last(F.lit(name)))]
     marked = marked.withColumn("_last", F.create_map(*places))
-    start = F.struct(F.lit("").alias("within"), F.lit(0).alias("words"))
+    # The places travel in the state: a column named within the steps would be worked out again in each of them.
+    start = F.struct(F.lit("").alias("within"), F.lit(0).alias("words"), F.col("_last").alias("last"))
     return marked.withColumn("words", F.aggregate("_pieces", start, step, lambda s: s["words"])).drop("_pieces", "_last")
 
 
