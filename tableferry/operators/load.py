@@ -30,6 +30,10 @@ MAX_CLUSTER_FIELDS = 4
 GENERATED_PREFIX = "__p_"
 MIB = 1024 * 1024
 BYTES_PER_TASK = 256 * MIB
+#: Bytes of rows, as a sort holds them, that a task should get; Parquet holds repeated values in far fewer bytes.
+ROW_BYTES_PER_TASK = 512 * MIB
+#: What a text, binary or nested field is taken to need in a row beside the 8 bytes of every field.
+LONG_FIELD = 24
 POSITION = GENERATED_PREFIX + "position"
 #: Bytes of text and binary fields of a row that Spark samples to choose the ranges of a clustered load.
 RANGE_BYTES = 24
@@ -199,7 +203,7 @@ def partition_key(value: Column, data_type: T.DataType, unit: str) -> Column:
     return F.concat(*parts)
 
 
-def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFrame:
+def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int, rows: int = 0) -> DataFrame:
     """Distribute rows for the write.
 
     Without options the scan is written as it is, without a shuffle. Partitioning
@@ -210,6 +214,8 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
     Clustering deals ranges of (partition, cluster fields) and sorts each. In both cases
     the row's position in the staged files (column ``POSITION``) tells equal rows apart, so
     that whole copies spread over many tasks, and the split is the same when a task runs again.
+    What is shuffled beside the rows is one number. There are tasks enough that none has to sort more than
+    ``ROW_BYTES_PER_TASK`` of the ``rows``.
     """
     part = []
     if options.partition_field is not None:
@@ -218,9 +224,13 @@ def lay_out(frame: DataFrame, options: LoadOptions, staged_bytes: int) -> DataFr
         key = partition_key(F.col(quoted(field)), frame.schema[field].dataType, options.partition_unit)
         frame = frame.withColumn(name, key)
         part = [name]
-    tasks = shuffle_tasks(frame.sparkSession, staged_bytes)
+    tasks = max(shuffle_tasks(frame.sparkSession, staged_bytes), math.ceil(rows * row_bytes(frame.schema) / ROW_BYTES_PER_TASK))
+    if part or options.cluster_fields:
+        # One number of a row that is near its neighbours', so that it takes little room in a shuffle.
+        place = F.xxhash64(F.col(POSITION)["file_name"]).bitwiseXOR(F.col(POSITION)["row_index"])
+        frame = frame.withColumn(POSITION, place)
     if not options.cluster_fields:
-        return _deal_partitions(frame, part[0], tasks).drop(POSITION) if part else frame
+        return _deal_partitions(frame, part[0], tasks) if part else frame
     keys = [F.col(quoted(c)) for c in [*part, *options.cluster_fields]]
     bounds = range_keys(frame.schema, [*part, *options.cluster_fields])
     return frame.repartitionByRange(tasks, *bounds, F.xxhash64(POSITION)).sortWithinPartitions(*keys).drop(POSITION)
@@ -267,7 +277,9 @@ def _deal_partitions(frame: DataFrame, part: str, tasks: int) -> DataFrame:
     own = F.pmod(F.xxhash64(POSITION), F.col("_slices"))
     start = F.col("_before") + own * F.col("_rows") / F.col("_slices")
     task = F.least(F.floor(start / F.col("_share")), F.lit(tasks - 1)).cast("int")
-    return found.repartitionById(tasks, task).drop("_part", "_rows", "_before", "_share", "_slices")
+    # Placed before the shuffle, which carries all columns that its expressions read.
+    dealt = found.withColumn("_task", task).drop("_part", "_rows", "_before", "_share", "_slices", POSITION)
+    return dealt.repartitionById(tasks, "_task").drop("_task")
 
 
 def shuffle_tasks(spark: SparkSession, staged_bytes: int) -> int:
@@ -275,6 +287,12 @@ def shuffle_tasks(spark: SparkSession, staged_bytes: int) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(staged_bytes / BYTES_PER_TASK))
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """About how many bytes a row of the schema takes while it is shuffled and sorted."""
+    long_ones = (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType, T.VariantType)
+    return 8 + sum(8 + LONG_FIELD * isinstance(f.dataType, long_ones) for f in schema.fields if f.name != POSITION)
+
+
 # --- target tables --------------------------------------------------------------------
 
 
@@ -318,15 +336,16 @@ def load_table(
     create_namespace(spark, namespace, target_root)
     recover(spark, namespace, table)
     staged = spark.read.parquet(staged_path)
-    carry = []
+    carry, rows = [], 0
     if options.cluster_fields or options.partition_field:
+        rows = staged.count()  # of the footers
         staged, carry = with_position(staged), [POSITION]
     frame = staged
     if options.custom_schema is not None:
         frame = enforce_schema(staged, options.custom_schema, carry)
     options = check_options(frame.drop(POSITION).schema, options)
 
-    laid_out = lay_out(frame, options, directory_bytes(spark, staged_path))
+    laid_out = lay_out(frame, options, directory_bytes(spark, staged_path), rows)
     part = [generated_column(options.partition_unit)] if options.partition_field else []
     versions = f"{target_root.rstrip('/')}/{namespace}/{table}"
     location = f"{versions}/v-{uuid.uuid4().hex}"

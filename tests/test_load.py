@@ -204,6 +204,38 @@ def test_tasks_grow_with_the_staged_bytes(spark):
     assert [load.shuffle_tasks(spark, s) for s in sizes] == [8, 8, 100, 10**6]
 
 
+def shuffled_columns(frame) -> list[str]:
+    """The columns that the shuffle below the frame carries."""
+    node = frame._jdf.queryExecution().sparkPlan()
+    while node.nodeName() != "Exchange":
+        node = node.children().head()
+    return [name.rsplit("#", 1)[0] for name in node.output().mkString("\n").split("\n")]
+
+
+@pytest.mark.parametrize("clusters", [(), ("l_suppkey",)])
+def test_a_shuffle_carries_one_number_beside_the_rows(spark, lineitem, staged, clusters):
+    rows = load.with_position(spark.read.parquet(staged(lineitem)))
+    frame = lay_out(rows, LoadOptions(partition_field="l_shipdate", partition_unit="MONTH", cluster_fields=clusters), 0)
+    extra = [c for c in shuffled_columns(frame) if c not in lineitem.columns]
+    assert sorted(extra) == sorted(["__p_month", POSITION if clusters else "_task"])
+
+
+@pytest.mark.parametrize("options", [{"partition_field": "l_shipdate"}, {"cluster_fields": ("l_suppkey",)}])
+def test_tasks_grow_with_the_rows_that_a_task_sorts(spark, lineitem, staged, namespace, tmp_path, monkeypatch, options):
+    monkeypatch.setattr(load, "ROW_BYTES_PER_TASK", 64_000)  # the 6000 rows take some MB but few bytes as Parquet
+    seen, lay = [], load.lay_out
+
+    def laid_out(*args):
+        seen.append(lay(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(load, "lay_out", laid_out)
+    assert load_table(spark, staged(lineitem), str(tmp_path), namespace, "t", LoadOptions(**options)).rows == 6000
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 8 and sum(sizes) == 6000
+    assert read_table(spark, namespace, "t").exceptAll(lineitem).isEmpty()
+
+
 # --- tables ---------------------------------------------------------------------------
 
 
