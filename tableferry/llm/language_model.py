@@ -33,6 +33,8 @@ COMMON = 1e-6
 END = ""
 #: Sum of squares that each parameter's step size starts from.
 START = 1e-5
+#: Training takes neighbouring classes together up to so many words; scoring puts out so many tokens at once.
+TOGETHER, CHUNK = 48, 8192
 
 
 @dataclass(frozen=True)
@@ -97,11 +99,38 @@ class Lexicon:
         self.bounds = np.unique(np.concatenate([[0], np.minimum(cut, own), [own]]).astype(np.int64))
         self.classes = len(self.bounds) - 1
         self.class_of = np.concatenate([np.repeat(np.arange(self.classes), np.diff(self.bounds)), self.classes + np.arange(len(masses))])
+        self.class_of = self.class_of.astype(np.uint16)  # short numbers are sorted by their digits
+        self.words_, self.endings_ = pa.array(common_words[:own], pa.large_string()), pa.array(endings, pa.large_string())
+        self.alone, self.together = self._groups(0), self._groups(TOGETHER)
+
+    def _groups(self, most: int) -> list[tuple[int, int, np.ndarray | None]]:
+        """First and last class (exclusive) of groups of at most ``most`` words, or of one class; without classes of one word.
+
+        Of more classes than one also what is added to the words of each class: nothing to its own, minus infinity to others.
+        """
+        groups: list[list[int]] = []
+        for c in range(self.classes):
+            if self.bounds[c + 1] - self.bounds[c] == 1:
+                continue
+            if groups and groups[-1][1] == c and self.bounds[c + 1] - self.bounds[groups[-1][0]] <= most:
+                groups[-1][1] = c + 1
+            else:
+                groups.append([c, c + 1])
+        found = []
+        for first, last in groups:
+            own = np.repeat(np.arange(first, last), np.diff(self.bounds[first : last + 1]))[:, None] == np.arange(first, last)
+            found.append((first, last, np.where(own, 0, -np.inf).astype(np.float32) if last - first > 1 else None))
+        return found
 
     def code(self, word: str) -> int:
         found = self.number.get(word)
         return self.own + self.ending.get(word[-2:], len(self.ending)) if found is None else found
 
+    def codes(self, words: pa.Array) -> np.ndarray:
+        number = pc.index_in(words, value_set=self.words_)
+        ending = pc.fill_null(pc.index_in(pc.utf8_slice_codeunits(words, -2), value_set=self.endings_), len(self.ending))
+        return pc.coalesce(number, pc.add(ending, pa.scalar(self.own, pa.int32()))).to_numpy(zero_copy_only=False).astype(np.int32)
+
 
 class Model:
     """Parameters by name; ``table`` holds each input's contribution to the three gates."""
@@ -132,40 +161,57 @@ class Model:
         return self
 
 
-def forward(model: Model, state: np.ndarray, ids: np.ndarray, fresh: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+def halved(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of the gates as :func:`forward` takes them.
+
+    A sigmoid is half of one and the hyperbolic tangent of half its argument: the half is taken once, in the weights. The
+    recurrent part of the candidate is halved as well, as it is multiplied by twice the sigmoid.
+    """
+    h = len(model.p["recur"])
+    half = np.repeat(np.array([0.5, 1], np.float32), [2 * h, h])
+    return model.p["table"] * half, np.ascontiguousarray((model.p["recur"] * np.float32(0.5)).T)
+
+
+def forward(
+    model: Model, state: np.ndarray, ids: np.ndarray, fresh: np.ndarray, trace: list | None = None, weights: tuple | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """States before each token of a window, and the state after it. ``ids`` and ``fresh`` (a text begins) are time x lanes.
 
     Gates lie one behind another (gate x hidden x lanes), so that each step works on whole stretches of memory. With
     ``trace`` the gates of all steps are added to it: both sigmoids, the candidate, and its recurrent part.
     """
     steps, (lanes, h) = len(ids), state.shape
-    # A sigmoid is half of one and the hyperbolic tangent of half its argument: the half is taken once, in the weights.
-    half = np.repeat(np.array([0.5, 1], np.float32), [2 * h, h])
-    gates = np.ascontiguousarray((model.p["table"] * half)[ids].transpose(0, 2, 1))
-    recur = np.ascontiguousarray((model.p["recur"] * half).T)
-    before = np.empty((steps, h, lanes), np.float32)
-    sigmoids, candidates, inner = (np.empty((steps, n, lanes), np.float32) for n in (2 * h, h, h))
-    own = np.empty((3 * h, lanes), np.float32)
-    state = np.ascontiguousarray(state.T)
-    kept, begins = ~fresh, fresh.any(axis=1)
-    for t in range(steps):
-        past, zr, new = before[t], sigmoids[t], candidates[t]
-        np.multiply(state, kept[t], out=past) if begins[t] else np.copyto(past, state)
+    table, recur = weights or halved(model)
+    gates = np.ascontiguousarray(table.take(ids, axis=0).transpose(0, 2, 1))
+    states = np.empty((steps + 1, h, lanes), np.float32)
+    owns, candidates = np.empty((steps, 3 * h, lanes), np.float32), np.empty((steps, h, lanes), np.float32)
+    states[0] = state.T
+    kept, begins = ~fresh, fresh.any(axis=1).tolist()
+    views = zip(states, states[1:], owns, owns[:, : 2 * h], owns[:, :h], owns[:, h : 2 * h], owns[:, 2 * h :], gates[:, : 2 * h], gates[:, 2 * h :], candidates)
+    one, half = np.float32(1), np.float32(0.5)
+    for t, (past, after, own, zr, z, r, inner, gate, gate_n, new) in enumerate(views):
+        if begins[t]:
+            past *= kept[t]
         np.matmul(recur, past, out=own)
-        np.add(gates[t, : 2 * h], own[: 2 * h], out=zr)
+        np.add(zr, gate, out=zr)
         np.tanh(zr, out=zr)
-        zr += 1
-        zr *= 0.5
-        inner[t] = own[2 * h :]
-        np.multiply(zr[h:], inner[t], out=new)
-        new += gates[t, 2 * h :]
+        np.add(zr, one, out=zr)
+        np.multiply(r, inner, out=new)
+        np.add(new, gate_n, out=new)
         np.tanh(new, out=new)
-        state = past - new
-        state *= zr[:h]
-        state += new
+        np.multiply(z, half, out=z)
+        np.subtract(past, new, out=after)
+        np.multiply(after, z, out=after)
+        np.add(after, new, out=after)
     if trace is not None:
-        trace.extend([before, sigmoids[:, :h], sigmoids[:, h:], candidates, inner])
-    return before.transpose(0, 2, 1), np.ascontiguousarray(state.T)
+        trace.extend([states[:-1], owns[:, :h], owns[:, h : 2 * h] * half, candidates, owns[:, 2 * h :] * np.float32(2)])
+    return states[:-1].transpose(0, 2, 1), np.ascontiguousarray(states[-1].T)
+
+
+def columns(before: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """States before the live tokens of a window, hidden x tokens."""
+    flat = before.transpose(2, 0, 1).reshape(before.shape[2], -1)
+    return flat if live.all() else flat.take(np.flatnonzero(live), axis=1)
 
 
 def _bounded(weights: np.ndarray, bias: np.ndarray, axis: int) -> bool:
@@ -193,41 +239,47 @@ def outputs(model: Model, lexicon: Lexicon, states: np.ndarray, ids: np.ndarray,
     With ``grads`` the gradients are added to it, and the gradient of the states comes back too.
     """
     slope = grads is not None
-    target = lexicon.class_of[ids]
-    weights, bias = model.p["class_w"], model.p["class_b"]
-    # Tokens stand in the order of their classes; sums over classes run over whole rows.
+    target, h = lexicon.class_of[ids], states.shape[1]
+    # Tokens stand in the order of their classes; sums over classes run over whole rows. A state of ones carries the biases.
     order = np.argsort(target, kind="stable")
     target, ids = target[order], ids[order]
-    states = np.ascontiguousarray(states[order].T)
-    x = weights.T @ states
-    x += bias[:, None]
-    result = _picked(x, target, slope, _bounded(weights, bias, 0)).astype(np.float64)
-    back = None
-    if slope:
-        grads["class_w"] += states @ x.T
-        grads["class_b"] += x.sum(axis=1)
-        back = weights @ x
+    extended = np.ones((h + 1, len(ids)), np.float32)
+    extended[:h] = states.T.take(order, axis=1)
+    weights, bias = model.p["class_w"], model.p["class_b"]
+    bounded = _bounded(weights, bias, 0)
+    weights = np.concatenate([weights, bias[None]]).T
+    result = np.empty(len(ids))
+    back = np.empty((h, len(ids)), np.float32) if slope else None
+    for a in range(0, len(ids), 2048):  # as many as stay in a core's cache
+        x = weights @ extended[:, a : a + 2048]
+        result[a : a + 2048] = _picked(x, target[a : a + 2048], slope, bounded)
+        if slope:
+            found = x @ extended[:, a : a + 2048].T
+            grads["class_w"] += found[:, :h].T
+            grads["class_b"] += found[:, h]
+            back[:, a : a + 2048] = weights.T[:h] @ x
     cuts = np.searchsorted(target, np.arange(lexicon.classes + 1)).tolist()
-    bounds = lexicon.bounds.tolist()
     bounded = _bounded(model.p["word_w"], model.p["word_b"], 1)
-    for c in range(lexicon.classes):
-        low, high, a, b = bounds[c], bounds[c + 1], cuts[c], cuts[c + 1]
-        if a == b or high - low == 1:
+    weights = np.concatenate([model.p["word_w"], model.p["word_b"][:, None]], axis=1)
+    for first, last, others in lexicon.together if slope else lexicon.alone:
+        low, high, a, b = lexicon.bounds[first], lexicon.bounds[last], cuts[first], cuts[last]
+        if a == b:
             continue
-        weights, own = model.p["word_w"][low:high], states[:, a:b]
-        x = weights @ own
-        x += model.p["word_b"][low:high, None]
+        x = weights[low:high] @ extended[:, a:b]
+        if others is not None:
+            x += others[:, target[a:b] - first]
         result[a:b] += _picked(x, ids[a:b] - low, slope, bounded)
         if slope:
-            grads["word_w"][low:high] += x @ own.T
-            grads["word_b"][low:high] += x.sum(axis=1)
-            back[:, a:b] += weights.T @ x
+            found = x @ extended[:, a:b].T
+            grads["word_w"][low:high] += found[:, :h]
+            grads["word_b"][low:high] += found[:, h]
+            back[:, a:b] += weights[low:high, :h].T @ x
     logs = np.empty(len(ids))
     logs[order] = result
     if slope:
-        slopes = np.empty((len(ids), back.shape[0]), np.float32)
-        slopes[order] = back.T
-        back = slopes
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        back = back.take(place, axis=1).T
     return logs, back
 
 
@@ -265,11 +317,22 @@ def score(model: Model, lexicon: Lexicon, texts: list[np.ndarray], settings: Set
     """Natural log-probability of each coded text, its classes of other words without their counts."""
     result = np.zeros(len(texts))
     state = np.zeros((settings.lanes, settings.hidden), np.float32)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    weights = halved(model)
+
+    def put_out() -> None:
+        states, ids, who = (np.concatenate(x, axis=-1) for x in zip(*held))
+        held.clear()
+        result[:] += np.bincount(who, outputs(model, lexicon, states.T, ids)[0], len(texts))
+
     for ids, fresh, who, active in windows(texts, settings.lanes, settings):
-        before, state[active] = forward(model, state[active], ids, fresh)
+        before, state[active] = forward(model, state[active], ids, fresh, weights=weights)
         live = who >= 0
-        logs, _ = outputs(model, lexicon, before[live], ids[live])
-        result += np.bincount(who[live], logs, len(texts))
+        held.append((columns(before, live), ids[live], who[live]))
+        if sum(len(x[1]) for x in held) >= CHUNK:
+            put_out()
+    if held:
+        put_out()
     return result
 
 
@@ -291,49 +354,57 @@ class Trainer:
         grads = {k: np.zeros_like(v) for k, v in p.items() if k != "table"}
         trace: list = []
         before, after = forward(self.model, state, ids, fresh, trace)
-        _, back = outputs(self.model, self.lexicon, before[live], ids[live], grads)
-        towards = np.zeros(before.shape, np.float32)
-        towards[live] = back
-        towards = np.ascontiguousarray(towards.transpose(0, 2, 1))
+        _, back = outputs(self.model, self.lexicon, columns(before, live).T, ids[live], grads)
+        towards = back.T
+        if n < live.size:
+            towards = towards.take(np.maximum(np.cumsum(live) - 1, 0), axis=1) * live.ravel()
+        towards = np.ascontiguousarray(towards.reshape(h, *live.shape).transpose(1, 0, 2))
         past, z, r, new, own = trace
-        # What does not depend on later steps, for all steps at once.
+        # What does not depend on later steps, for all steps at once: of the gates' arguments, and of their recurrent parts.
         to_new = (1 - z) * (1 - new * new)
-        to_z = (past - new) * z * (1 - z)
-        to_r = own * r * (1 - r)
-        slopes = np.empty((len(ids), 3 * h, len(state)), np.float32)  # of the gates' arguments
-        inner = np.empty((len(ids), 3 * h, len(state)), np.float32)  # of their recurrent parts
-        carried, kept, begins = np.zeros((h, len(state)), np.float32), ~fresh, fresh.any(axis=1)
-        recur = np.ascontiguousarray(p["recur"])
+        parts = np.empty((len(ids), 3, h, len(state)), np.float32)
+        np.multiply((past - new) * z, 1 - z, out=parts[:, 0])
+        np.multiply(to_new, own * r * (1 - r), out=parts[:, 1])
+        np.multiply(to_new, r, out=parts[:, 2])
+        after_ = np.zeros((len(ids) + 1, h, len(state)), np.float32)  # slopes of the state after each step
+        kept, begins = ~fresh, fresh.any(axis=1).tolist()
+        recur, step_ = np.ascontiguousarray(p["recur"]), np.empty((h, len(state)), np.float32)
         for t in reversed(range(len(ids))):
-            dz, dr, dn = slopes[t, :h], slopes[t, h : 2 * h], slopes[t, 2 * h :]
-            np.multiply(carried, to_z[t], out=dz)
-            np.multiply(carried, to_new[t], out=dn)
-            np.multiply(dn, to_r[t], out=dr)
-            inner[t, : 2 * h] = slopes[t, : 2 * h]
-            np.multiply(dn, r[t], out=inner[t, 2 * h :])
-            carried *= z[t]
-            carried += recur @ inner[t]
-            grads["recur"] += past[t] @ inner[t].T
-            carried += towards[t]
+            carried, earlier, inner = after_[t + 1], after_[t], parts[t]
+            np.multiply(inner, carried, out=inner)
+            np.matmul(recur, inner.reshape(3 * h, -1), out=step_)
+            np.multiply(carried, z[t], out=earlier)
+            np.add(earlier, step_, out=earlier)
+            np.add(earlier, towards[t], out=earlier)
             if begins[t]:
-                carried *= kept[t]
-        gates = slopes.transpose(0, 2, 1)
-        rows, place = np.unique(ids[live], return_inverse=True)
-        table = np.zeros((len(rows), 3 * h), np.float32)
-        order = np.argsort(place, kind="stable")
-        step, lane = np.nonzero(live)
-        sorted_gates = gates[step[order], lane[order]]
-        table[:] = np.add.reduceat(sorted_gates, np.searchsorted(place[order], np.arange(len(rows))), axis=0)
+                earlier *= kept[t]
+        inner = parts.reshape(len(ids), 3 * h, -1)
+        # All steps in one call; then the candidate's slopes without the gate of their recurrent part.
+        grads["recur"] += np.matmul(past, inner.transpose(0, 2, 1)).sum(axis=0)
+        np.multiply(to_new, after_[1:], out=parts[:, 2])
+        used = ids[live].astype(np.uint16 if len(p["table"]) <= 1 << 16 else np.int64)
+        order = np.argsort(used, kind="stable")
+        used = used[order]
+        cuts = np.flatnonzero(np.append(True, used[1:] != used[:-1]))
+        rows = used[cuts].astype(np.int64)
+        sorted_ = inner.transpose(0, 2, 1).reshape(-1, 3 * h).take(np.flatnonzero(live)[order], axis=0)
+        table = np.add.reduceat(sorted_, cuts, axis=0)
         for k, g in grads.items():
-            g /= n
-            self.squares[k] += g * g
-            p[k] += self.settings.rate * g / np.sqrt(self.squares[k])
-        table /= n
-        self.squares["table"][rows] += table * table
-        p["table"][rows] += self.settings.rate * table / np.sqrt(self.squares["table"][rows])
+            p[k] += self._move(g, n, self.squares[k])
+        squares = self.squares["table"][rows]
+        p["table"][rows] += self._move(table, n, squares)
+        self.squares["table"][rows] = squares
         self.tokens += n
         return after
 
+    def _move(self, slope: np.ndarray, n: int, squares: np.ndarray) -> np.ndarray:
+        """By how much parameters move, given the sum of slopes over ``n`` tokens; ``squares`` gains their squares."""
+        slope /= n
+        squares += slope * slope
+        slope /= np.sqrt(squares)
+        slope *= self.settings.rate
+        return slope
+
 
 # --- over Spark ----------------------------------------------------------------------------------------------------
 
@@ -356,9 +427,10 @@ class Coded:
     def __init__(self, column: pa.Array, lexicon: Lexicon):
         flat, offsets = split_words(column)
         coded = flat.dictionary_encode()
-        self.words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.dictionary = coded.dictionary
         self.index, self.offsets = coded.indices.to_numpy(), offsets
-        codes = np.fromiter(map(lexicon.code, self.words), np.int32, len(self.words))[self.index] if self.words else np.zeros(0, np.int32)
+        self.codes = lexicon.codes(self.dictionary)
+        codes = self.codes[self.index]
         end = lexicon.code(END)
         ended = np.insert(codes, offsets[1:], end)  # each text is followed by its end
         bounds = offsets + np.arange(len(offsets))
@@ -464,29 +536,31 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
             coded = Coded(part.column(3), lexicon)
             logs = score(model, lexicon, coded.texts, settings) / math.log(10)
             # What each word of the batch adds to the base score and, for other words, to the model's.
-            known = np.array([lexicon.counts.get(w, -1) for w in coded.words], np.int64)
-            base_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - unit
-            codes = np.fromiter(map(lexicon.code, coded.words), np.int64, len(coded.words))
-            own = codes < lexicon.own
-            more = np.where(own, 0.0, np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0) - class_log[codes]) if len(codes) else np.zeros(0)
+            known = np.array([lexicon.counts.get(w, -1) for w in coded.dictionary.to_pylist()], np.int64)
+            word_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0)
+            base_log = word_log - unit
+            more = np.where(coded.codes < lexicon.own, 0.0, word_log - class_log[coded.codes])
             end = lexicon.counts.get(END, -1)
             end_code = lexicon.code(END)
             end_log = math.log10(end + 1) if end >= 0 else 0.0
             sums = lambda values: np.append(0, np.cumsum(values[coded.index]))
             a, b = coded.offsets[:-1], coded.offsets[1:]
             base_sum, more_sum, known_sum = sums(base_log), sums(more), sums((known >= 0).astype(np.int64))
-            rare, listed = known < 0, []
-            odd = rare[coded.index] if len(coded.words) else np.zeros(0, bool)
-            for i, j in zip(a.tolist(), b.tolist()):
-                found, times = np.unique(coded.index[i:j][odd[i:j]], return_counts=True)
-                listed.append([{"word": coded.words[w], "times": int(k)} for w, k in zip(found.tolist(), times.tolist())])
+            # Words that the broadcast does not hold, by text: each once, with how often it occurs there.
+            at = np.flatnonzero((known < 0)[coded.index])
+            text = np.searchsorted(coded.offsets, at, "right") - 1
+            found, times = np.unique(text * max(1, len(known)) + coded.index[at], return_counts=True)
+            text, word = np.divmod(found, max(1, len(known)))
+            listed = [coded.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(times.astype(np.int64))]
+            firsts = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32))
+            rare = pa.ListArray.from_arrays(firsts, pa.StructArray.from_arrays(listed, ["word", "times"]))
             columns = [
                 *part.columns[:3],
                 pa.array(b - a + 1, pa.int64()),
                 pa.array(known_sum[b] - known_sum[a] + (end > 0), pa.int64()),
                 pa.array(base_sum[b] - base_sum[a] + end_log - unit),
                 pa.array(logs + more_sum[b] - more_sum[a] + (0.0 if end_code < lexicon.own else end_log - class_log[end_code])),
-                pa.array(listed, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
+                rare,
             ]
             yield pa.RecordBatch.from_arrays(columns, names=_SCORED_NAMES)
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm.conftest import prose
@@ -19,3 +21,33 @@ def test_rounds_train_on_every_training_document_once(docs, monkeypatch):
     found = language_model.score_documents(docs([(i, prose(i)) for i in range(90)]), remainder(F.col("doc_id"), 7) == 2).collect()
     trained = sum(r.tokens for frame in kept for r in frame.filter("block = 0").collect())
     assert trained == sum(r.n_tokens for r in found if not r.held_out) == found[0].train_tokens
+
+
+def test_classes_taken_together_cost_fewer_products_and_change_nothing():
+    rng, settings = np.random.default_rng(0), language_model.Settings(words=60, word_classes=20, endings=2, hidden=5)
+    words = [f"w{i}" for i in range(70)]
+    lexicon = language_model.Lexicon(words, np.sort(rng.integers(1, 400, 70))[::-1], ["w9", "zz"], np.array([9.0, 8.0, 5.0]), settings)
+    assert len(lexicon.together) < len(lexicon.alone) / 2
+    model = language_model.Model(lexicon, settings, seed=3)
+    for k in ("class_w", "word_w"):
+        model.p[k] += rng.normal(0, 1, model.p[k].shape).astype(np.float32)
+    ids, states = rng.integers(0, 63, 3000), rng.normal(0, 0.5, (3000, 5)).astype(np.float32)
+    found = []
+    for groups in (lexicon.together, lexicon.alone):
+        lexicon.together = groups
+        grads = {k: np.zeros_like(v) for k, v in model.p.items()}
+        logs, back = language_model.outputs(model, lexicon, states, ids, grads)
+        found.append([logs, back, grads["word_w"], grads["word_b"], grads["class_w"]])
+    assert all(np.allclose(a, b, atol=2e-3) for a, b in zip(*found))
+    assert np.allclose(found[0][0], language_model.outputs(model, lexicon, states, ids)[0], atol=1e-4)
+
+
+def test_words_of_a_batch_are_coded_at_once():
+    settings = language_model.Settings(words=3, word_classes=2, endings=2)
+    lexicon = language_model.Lexicon(["the", "", "é"], np.array([9, 5, 4]), ["ly", "é"], np.array([3.0, 2.0, 1.0]), settings)
+    texts = pa.array(["The badly é zé\tly y", None, "", "aé \U0001f600\U0001f600 the"])
+    coded = language_model.Coded(texts, lexicon)
+    assert [lexicon.code(w) for w in coded.dictionary.to_pylist()] == coded.codes.tolist()
+    assert [t.tolist() for t in coded.texts][1:3] == [[lexicon.code("")]] * 2
+    nothing = language_model.Lexicon([], np.zeros(0, np.int64), [], np.array([1.0]), settings)
+    assert [t.tolist() for t in language_model.Coded(pa.array(["a b"]), nothing).texts] == [[0, 0, 0]]
