@@ -1,6 +1,6 @@
 """How far the sources of a language differ in their use of terms, and which terms make the difference.
 
-Late string materialization: texts are cut into terms and counted within a task; what is shuffled for counting is a
+Late string materialization: texts are cut into terms and counted within a task, many texts at once by sorting; what is shuffled for counting is a
 digest of fixed width. A term's string is written once a task beside the counts and read again only for digests that
 are kept: their least and greatest string tell whether two terms share a digest. Such digests are split, that is
 counted again by their strings. Terms get their text back at the end, for the rows that are put out.
@@ -11,23 +11,24 @@ that occur in neither, each occurring term adds what it differs from ``z``.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableferry.llm import common
+from tableferry.llm.language_model import grouped
 
 #: A language keeps terms of at least so many of its documents.
 LEAST_DOCS = 30
 #: What is added to each count, the parts that a share is told in, and the ranks of terms that are put out.
 ADDED, PARTS, TOP = 5, 1_000_000_000, 50
-#: Counts that a task holds before it writes them.
-HELD = 300_000
+#: Bytes of text that a task counts at once.
+HELD = 1 << 25
 #: Strings that a task remembers to have written.
 SEEN = 500_000
 #: Rows that a task of the pairs should make.
@@ -40,30 +41,38 @@ _TERM = ["digest", "split"]
 _SCHEMA = "lang string, source string, digest long, occurs long, docs long, term string"
 
 
-def terms_of(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All terms of a batch, and where each text's terms begin and end among them."""
+    low = pc.ascii_lower(texts)  # its offsets start at 0
+    _, offsets, data = low.buffers()
+    letters = pa.py_buffer(data.to_pybytes().translate(_LETTERS) if data else b"")
+    spaced = pa.StringArray.from_buffers(len(low), offsets, letters)
+    lists = pc.ascii_split_whitespace(spaced.cast(pa.large_string()))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # a space at an end leaves an empty term
+    return flat.filter(pa.array(full)), np.append(0, np.cumsum(full))[offsets]
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs. ``keys`` is used up."""
+    keys.sort()
+    firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[firsts], np.diff(firsts, append=len(keys))
 
 
 def tally(docs: DataFrame, digest_bits: int = 64, split: bool = False) -> DataFrame:
-    """Counts by group and digest, folded within a task, and the strings behind the digests.
+    """Counts by group and digest, folded over the texts that a task holds, and the strings behind the digests.
 
     Three kinds of rows: one with a null digest for each group; counts; and with ``term`` the string of a digest. With
-    ``split`` each row of counts has its string. Strings and counts are written anew when a task has held many of them.
+    ``split`` each row of counts has its string. Strings are written anew when a task has written many of them.
     """
 
-    def rows(lang: list, source: list, digest: np.ndarray | None, occurs: list, docs: list, term: list | None) -> pa.RecordBatch:
-        n = len(lang)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(lang, pa.string()),
-                pa.array(source, pa.string()),
-                pa.nulls(n, pa.int64()) if digest is None else pa.array(digest, pa.int64()),
-                pa.array(occurs, pa.int64()),
-                pa.array(docs, pa.int64()),
-                pa.nulls(n, pa.string()) if term is None else pa.array(term, pa.string()),
-            ],
-            names=["lang", "source", "digest", "occurs", "docs", "term"],
-        )
+    def rows(n: int, lang=None, source=None, digest=None, occurs=None, docs=None, term=None) -> pa.RecordBatch:
+        texts = [pa.nulls(n, pa.string()) if x is None else x.cast(pa.string()) for x in (lang, source, term)]
+        numbers = [np.zeros(n, np.int64) if x is None else x for x in (occurs, docs)]
+        found = pa.nulls(n, pa.int64()) if digest is None else pa.array(digest)
+        columns = [texts[0], texts[1], found, pa.array(numbers[0]), pa.array(numbers[1]), texts[2]]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "digest", "occurs", "docs", "term"])
 
     def digests(terms: list[bytes]) -> np.ndarray:
         found = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
@@ -71,45 +80,38 @@ def tally(docs: DataFrame, digest_bits: int = 64, split: bool = False) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: set[tuple[str, str]] = set()
-        occurs: dict[tuple[str, str], Counter] = {}
-        docs: dict[tuple[str, str], Counter] = {}
         seen: set[bytes] = set()
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in occurs.items():
-                terms = list(counts)
-                names, found = [t.decode("utf-8", "replace") for t in terms] if split else None, digests(terms)
-                held = docs[lang, source]
-                yield rows([lang] * len(terms), [source] * len(terms), found, list(counts.values()), [held[t] for t in terms], names)
+        for part in grouped(batches, 2, HELD):
+            numbers: dict[tuple[str, str], int] = {}
+            pairs = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            group = np.fromiter((numbers.setdefault(x, len(numbers)) for x in pairs), np.int64, part.num_rows)
+            langs, sources = (pa.array([x[i] for x in numbers], pa.string()) for i in (0, 1))
+            unseen = pa.array([i for x, i in numbers.items() if x not in groups], pa.int64())
+            if len(groups) + len(unseen) > SEEN:
+                groups.clear()
+            groups.update(list(numbers)[:SEEN])
+            yield rows(len(unseen), langs.take(unseen), sources.take(unseen))
+
+            flat, offsets = terms_of(part.column(2))
+            coded = flat.dictionary_encode()
+            codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            if not len(words):
+                continue
+            terms, width = words.cast(pa.large_binary()).to_pylist(), len(words)
+            digest = digests(terms)
+            text = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+            found, occurs = runs(group[text] * width + codes)
+            text, code = np.divmod(runs(text * width + codes)[0], width)  # each term of a text once
+            docs = runs(group[text] * width + code)[1]
+            at, code = np.divmod(found, width)
+            held = pa.array(at)
+            yield rows(len(at), langs.take(held), sources.take(held), digest[code], occurs, docs, words.take(pa.array(code)) if split else None)
             if not split:
-                new = list({t for counts in occurs.values() for t in counts if t not in seen})
+                new = [i for i, t in enumerate(terms) if t not in seen]
                 if len(seen) + len(new) > SEEN:
                     seen.clear()
-                seen.update(new[:SEEN])
-                n = len(new)
-                yield rows([None] * n, [None] * n, digests(new), [0] * n, [0] * n, [t.decode("utf-8", "replace") for t in new])
-            occurs.clear()
-            docs.clear()
-
-        held = 0
-        for batch in batches:
-            for group, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2)):
-                if group not in groups:
-                    if len(groups) >= SEEN:
-                        groups.clear()
-                    groups.add(group)
-                    yield rows([group[0]], [group[1]], None, [0], [0], None)
-                counts = Counter(terms_of(text.as_py()))
-                if counts:
-                    mine = occurs.setdefault(group, Counter())
-                    before = len(mine)
-                    mine.update(counts)
-                    docs.setdefault(group, Counter()).update(counts.keys())
-                    held += len(mine) - before
-                if held >= HELD:
-                    yield from flush()
-                    held = 0
-        yield from flush()
+                seen.update(terms[i] for i in new[:SEEN])
+                yield rows(len(new), digest=digest[new], term=words.take(pa.array(new, pa.int64())))
 
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*_GROUP, "text")]
     return docs.select(*filled).mapInArrow(run, _SCHEMA)

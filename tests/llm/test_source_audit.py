@@ -74,6 +74,27 @@ def test_only_digests_are_shuffled_for_counts(table):
     assert len(shuffled) == 1 and "term" not in shuffled[0]
 
 
+def test_a_task_counts_its_texts_together(table):
+    rows = [(f"one two {'abc'[i % 3]} One", "en", f"s{i % 2}") for i in range(3000)] + [(None, None, "s1"), (" ", "de", None)]
+    found = source_audit.tally(table(rows).coalesce(1)).collect()
+    counted = sorted((r.lang, r.source, r.occurs, r.docs) for r in found if r.occurs)
+    assert counted == sorted(("en", s, n, d) for s in ("s0", "s1") for n, d in [(3000, 1500), (1500, 1500)] + [(500, 500)] * 3)
+    assert sorted(r.term for r in found if r.term is not None) == ["a", "b", "c", "one", "two"]
+    assert sorted((r.lang, r.source) for r in found if r.digest is None) == [("", "s1"), ("de", ""), ("en", "s0"), ("en", "s1")]
+    assert source_audit.terms_of(pa.array(["", " It's É-é ", "a\x7fB\u00a0c", "", "9"]).slice(1))[0].to_pylist() == ["it", "s", "É", "é", "a", "b\u00a0c"]
+
+
+def test_texts_counted_in_parts_change_nothing(table):
+    rows = drawn(5)
+    whole = table(rows)
+    held, source_audit.HELD = source_audit.HELD, 100
+    try:  # the function that tasks get holds the value
+        parts = sorted_rows(source_audit.audit(whole, 2), *COLUMNS)
+    finally:
+        source_audit.HELD = held
+    assert parts == by_sql(rows, 2, 50)
+
+
 def test_long_text(table):
     rows = [("word " * 200_000 + "tail", "en", "a"), ("word tail", "en", "b"), ("x" * 500_000, "en", "a"), ("x" * 500_000, "en", "b")]
     assert sorted_rows(source_audit.audit(table(rows), 2), *COLUMNS) == by_sql(rows, 2, 50)
