@@ -446,6 +446,7 @@ def grouped(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterat
             to = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), size, "right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch  # its memory is free before the next one comes
 
 
 def _average(parts: DataFrame) -> DataFrame:

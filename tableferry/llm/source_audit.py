@@ -1,7 +1,7 @@
 """How far the sources of a language differ in their use of terms, and which terms make the difference.
 
-Late string materialization: texts are cut into terms and counted within a task, many texts at once by sorting; what is shuffled for counting is a
-digest of fixed width. A term's string is written once a task beside the counts and read again only for digests that
+Late string materialization: texts are cut into terms and counted within a task, many texts at once by sorting, and the
+counts of many such parts are added up before they are put out; what is shuffled for counting is a digest of fixed width. A term's string is written once a task beside the counts and read again only for digests that
 are kept: their least and greatest string tell whether two terms share a digest. Such digests are split, that is
 counted again by their strings. Terms get their text back at the end, for the rows that are put out.
 
@@ -27,8 +27,8 @@ from tableferry.llm.language_model import grouped
 LEAST_DOCS = 30
 #: What is added to each count, the parts that a share is told in, and the ranks of terms that are put out.
 ADDED, PARTS, TOP = 5, 1_000_000_000, 50
-#: Bytes of text that a task counts at once.
-HELD = 1 << 25
+#: Bytes whose counts a task holds until it adds them up, bytes of text that it counts at once, rows that it puts out at once.
+HELD, CUT, ROWS = 1 << 25, 1 << 22, 100_000
 #: Strings that a task remembers to have written.
 SEEN = 500_000
 #: Rows that a task of the pairs should make.
@@ -53,10 +53,15 @@ def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(full)), np.append(0, np.cumsum(full))[offsets]
 
 
+def starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+
+
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys in order, and how often each occurs. ``keys`` is used up."""
     keys.sort()
-    firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    firsts = starts(keys)
     return keys[firsts], np.diff(firsts, append=len(keys))
 
 
@@ -74,44 +79,78 @@ def tally(docs: DataFrame, digest_bits: int = 64, split: bool = False) -> DataFr
         columns = [texts[0], texts[1], found, pa.array(numbers[0]), pa.array(numbers[1]), texts[2]]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "digest", "occurs", "docs", "term"])
 
-    def digests(terms: list[bytes]) -> np.ndarray:
-        found = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
+    def digests(words: pa.Array) -> np.ndarray:
+        terms = (x for i in range(0, len(words), ROWS) for x in words.slice(i, ROWS).cast(pa.large_binary()).to_pylist())
+        found = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(words))
         return (found >> np.uint64(64 - digest_bits)).view(np.int64)
 
+    def counted(part: pa.RecordBatch, group: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Term, group, occurrences and texts of each count of a part."""
+        flat, offsets = terms_of(part.column(2))
+        coded = flat.dictionary_encode()
+        codes, width = coded.indices.to_numpy().astype(np.int64), max(1, len(coded.dictionary))
+        text = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+        found, occurs = runs(group[text] * width + codes)
+        text, code = np.divmod(runs(text * width + codes)[0], width)  # each term of a text once
+        docs = runs(group[text] * width + code)[1]
+        at, code = np.divmod(found, width)
+        term = pa.DictionaryArray.from_arrays(pa.array(code.astype(np.int32)), coded.dictionary)
+        return term, *(x.astype(np.int32) for x in (at, occurs, docs))
+
+    def added(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All terms of the parts; group, term, occurrences and texts of each count, those of equal group and term as one. ``parts`` is emptied."""
+        term, at, occurs, docs = zip(*parts)
+        parts.clear()
+        chunks = pa.chunked_array(term).unify_dictionaries().chunks
+        words, at, occurs, docs = chunks[0].dictionary, *map(np.concatenate, (at, occurs, docs))
+        width = max(1, len(words))
+        keys = at * np.int64(width) + np.concatenate([x.indices.to_numpy() for x in chunks])
+        order = np.argsort(keys)
+        keys, firsts = keys[order], starts(keys[order])
+        sums = (np.add.reduceat(x[order], firsts, dtype=np.int64) if len(x) else np.zeros(0, np.int64) for x in (occurs, docs))
+        return words, *np.divmod(keys[firsts], width), *sums
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: set[tuple[str, str]] = set()
-        seen: set[bytes] = set()
-        for part in grouped(batches, 2, HELD):
-            numbers: dict[tuple[str, str], int] = {}
-            pairs = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
-            group = np.fromiter((numbers.setdefault(x, len(numbers)) for x in pairs), np.int64, part.num_rows)
+        seen = pa.array([], pa.large_string())
+        counts: list[tuple] = []
+        numbers: dict[tuple[str, str], int] = {}
+
+        def put_out() -> Iterator[pa.RecordBatch]:
+            nonlocal seen
             langs, sources = (pa.array([x[i] for x in numbers], pa.string()) for i in (0, 1))
             unseen = pa.array([i for x, i in numbers.items() if x not in groups], pa.int64())
             if len(groups) + len(unseen) > SEEN:
                 groups.clear()
             groups.update(list(numbers)[:SEEN])
             yield rows(len(unseen), langs.take(unseen), sources.take(unseen))
-
-            flat, offsets = terms_of(part.column(2))
-            coded = flat.dictionary_encode()
-            codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-            if not len(words):
-                continue
-            terms, width = words.cast(pa.large_binary()).to_pylist(), len(words)
-            digest = digests(terms)
-            text = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-            found, occurs = runs(group[text] * width + codes)
-            text, code = np.divmod(runs(text * width + codes)[0], width)  # each term of a text once
-            docs = runs(group[text] * width + code)[1]
-            at, code = np.divmod(found, width)
-            held = pa.array(at)
-            yield rows(len(at), langs.take(held), sources.take(held), digest[code], occurs, docs, words.take(pa.array(code)) if split else None)
+            words, at, code, occurs, docs = added(counts)
+            digest = digests(words)
+            for i in range(0, len(at), ROWS):
+                some, its = pa.array(at[i : i + ROWS]), code[i : i + ROWS]
+                term = words.take(pa.array(its)) if split else None
+                yield rows(len(its), langs.take(some), sources.take(some), digest[its], occurs[i : i + ROWS], docs[i : i + ROWS], term)
             if not split:
-                new = [i for i, t in enumerate(terms) if t not in seen]
-                if len(seen) + len(new) > SEEN:
-                    seen.clear()
-                seen.update(terms[i] for i in new[:SEEN])
-                yield rows(len(new), digest=digest[new], term=words.take(pa.array(new, pa.int64())))
+                new = pc.invert(pc.is_in(words, value_set=seen))
+                digest, words = digest[new.to_numpy(zero_copy_only=False)], words.filter(new)
+                seen = (words if len(seen) + len(words) > SEEN else pa.concat_arrays([seen, words])).slice(0, SEEN)
+                for i in range(0, len(words), ROWS):
+                    term = words.slice(i, ROWS)
+                    yield rows(len(term), digest=digest[i : i + ROWS], term=term)
+            numbers.clear()
+
+        size = 0
+        for part in grouped(batches, 2, CUT):
+            pairs = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            group = np.fromiter((numbers.setdefault(x, len(numbers)) for x in pairs), np.int64, part.num_rows)
+            counts.append(counted(part, group))
+            size += part.nbytes
+            del part  # its memory is free before the next batch comes
+            if size >= HELD:
+                yield from put_out()
+                size = 0
+        if counts:
+            yield from put_out()
 
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*_GROUP, "text")]
     return docs.select(*filled).mapInArrow(run, _SCHEMA)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import duckdb
 import pyarrow as pa
@@ -98,3 +99,52 @@ def test_texts_counted_in_parts_change_nothing(table):
 def test_long_text(table):
     rows = [("word " * 200_000 + "tail", "en", "a"), ("word tail", "en", "b"), ("x" * 500_000, "en", "a"), ("x" * 500_000, "en", "b")]
     assert sorted_rows(source_audit.audit(table(rows), 2), *COLUMNS) == by_sql(rows, 2, 50)
+
+
+class Captured:
+    """Stands for a table; gives the function that tasks get."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def batch_of(texts):
+    langs = pa.array([f"l{i % 7}" for i in range(len(texts))])
+    return pa.RecordBatch.from_arrays([langs, pa.array(["s"] * len(texts)), pa.array(texts)], names=["lang", "source", "text"])
+
+
+def test_parts_of_a_task_are_added_up(table, monkeypatch):
+    rows = drawn(6) + [(None, None, "s1"), ("", "", "")]
+    plan = table(rows).coalesce(1)
+    for split in (False, True):
+        whole = source_audit.tally(plan, 64, split).collect()
+        with monkeypatch.context() as patch:  # the function that tasks get holds the values
+            patch.setattr(source_audit, "CUT", 100)
+            patch.setattr(source_audit, "ROWS", 7)
+            cut = source_audit.tally(plan, 64, split).collect()
+        assert sorted(map(repr, cut)) == sorted(map(repr, whole))  # no count, group or string stands twice
+        assert len({(r.lang, r.source, r.digest) for r in cut if r.occurs}) == sum(r.occurs > 0 for r in cut)
+
+
+def test_a_task_holds_counts_instead_of_terms(spark, monkeypatch):
+    monkeypatch.setattr(source_audit, "CUT", 1 << 14)
+    batch = batch_of(["some words stand here again and again " * 50] * 2000)
+    run = source_audit.tally(Captured())
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    try:
+        found = list(run(iter([batch])))
+        assert sum(x.num_rows for x in found) == 7 + 7 * 6 + 6
+        assert tracemalloc.get_traced_memory()[1] < batch.nbytes / 2
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_task_puts_out_few_rows_at_once(spark, monkeypatch):
+    monkeypatch.setattr(source_audit, "ROWS", 50)
+    texts = [" ".join(chr(97 + (i * 7 + j) % 26) * (1 + j % 5) for j in range(300)) for i in range(40)]
+    found = list(source_audit.tally(Captured())(iter([batch_of(texts)])))
+    assert sum(x.num_rows for x in found) > 900 and max(x.num_rows for x in found) <= 50
