@@ -9,8 +9,8 @@ start of training the output biases are the counts, so that the untrained model
 The recurrent unit is trained in numpy by backpropagation truncated to windows, with the state carried from one window
 to the next: the rounds divide all training documents, copies of the model train on parts of a round, and are averaged. A text is scored as a whole, with its state carried to its end. Texts run side by side in lanes.
 
-Words with at least ``COMMON`` of all training tokens, at most ``1 / COMMON`` of them, are broadcast with their counts;
-the counts of all others are joined by word.
+Words with at least ``COMMON`` of all training tokens, at most ``1 / COMMON`` of them, are broadcast with their counts, and
+the next most frequent ones as long as no more than ``HELD`` are; the counts of all others are joined by word.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tableferry.llm import common
 
-COMMON = 1e-6
+COMMON, HELD = 1e-6, 200_000
 #: The end of a text, which no word equals.
 END = ""
 #: Sum of squares that each parameter's step size starts from.
@@ -81,6 +81,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def least_held(counts: DataFrame, total: int) -> float:
+    """From which count on words are broadcast: ``COMMON`` of all, or less where no more than ``HELD`` words reach it."""
+    least = COMMON * total
+    sizes = counts.groupBy(F.least("n", F.lit(math.ceil(least))).alias("n")).agg(F.count("*").alias("words"))
+    held = 0
+    for row in sorted(sizes.collect(), reverse=True):  # a row for each count up to COMMON of all
+        held += row["words"]
+        if held > HELD:
+            break
+        least = min(least, row["n"])
+    return least
+
+
 # --- the model -----------------------------------------------------------------------------------------------------
 
 
@@ -89,7 +102,7 @@ class Lexicon:
 
     def __init__(self, common_words: list[str], counts: np.ndarray, endings: list[str], masses: np.ndarray, settings: Settings):
         own = min(settings.words, len(common_words))
-        self.counts = {w: int(n) for w, n in zip(common_words, counts)}
+        self.common, self.common_counts = pa.array(common_words, pa.large_string()), np.asarray(counts, np.int64)
         self.number = {w: i for i, w in enumerate(common_words[:own])}
         self.own, self.own_counts = own, counts[:own].astype(np.float64) + 1
         self.ending = {e: i for i, e in enumerate(endings)}
@@ -126,6 +139,11 @@ class Lexicon:
         found = self.number.get(word)
         return self.own + self.ending.get(word[-2:], len(self.ending)) if found is None else found
 
+    def counts(self, words: pa.Array) -> np.ndarray:
+        """How often each word occurs in training; -1 if it is not among those broadcast."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.common), -1).to_numpy()
+        return np.append(self.common_counts, -1)[at]
+
     def codes(self, words: pa.Array) -> np.ndarray:
         number = pc.index_in(words, value_set=self.words_)
         ending = pc.fill_null(pc.index_in(pc.utf8_slice_codeunits(words, -2), value_set=self.endings_), len(self.ending))
@@ -513,7 +531,8 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
     counts = common.stored(word_counts(training), "counts")
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
-    frequent = counts.filter((F.col("n") >= COMMON * n) | (F.col("word") == END)).toArrow()  # at most 1 / COMMON rows and the end
+    least = least_held(counts, n)
+    frequent = counts.filter((F.col("n") >= least) | (F.col("word") == END)).toArrow()  # at most HELD or 1 / COMMON rows, and the end
     words, numbers = frequent.column("word").to_pylist(), frequent.column("n").to_numpy()
     order = sorted(range(len(words)), key=lambda i: (-numbers[i], words[i]))
     words, numbers = [words[i] for i in order], numbers[order]
@@ -537,11 +556,11 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
             coded = Coded(part.column(3), lexicon)
             logs = score(model, lexicon, coded.texts, settings) / math.log(10)
             # What each word of the batch adds to the base score and, for other words, to the model's.
-            known = np.array([lexicon.counts.get(w, -1) for w in coded.dictionary.to_pylist()], np.int64)
+            known = lexicon.counts(coded.dictionary)
             word_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0)
             base_log = word_log - unit
             more = np.where(coded.codes < lexicon.own, 0.0, word_log - class_log[coded.codes])
-            end = lexicon.counts.get(END, -1)
+            end = int(lexicon.counts(pa.array([END], pa.large_string()))[0])
             end_code = lexicon.code(END)
             end_log = math.log10(end + 1) if end >= 0 else 0.0
             sums = lambda values: np.append(0, np.cumsum(values[coded.index]))
@@ -566,7 +585,7 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
             yield pa.RecordBatch.from_arrays(columns, names=_SCORED_NAMES)
 
     scored = common.stored(rows.mapInArrow(run, _SCORED), "scored")
-    rare = counts.filter((F.col("n") < COMMON * n) & (F.col("word") != END))
+    rare = counts.filter((F.col("n") < least) & (F.col("word") != END)).hint("shuffle_hash")  # a row for each word: nothing needs sorting
     listed = scored.select("row", F.explode("rare").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.times").alias("times"))
     gain = F.sum(F.col("times") * F.log10(F.col("n") + 1))
     gains = listed.join(rare, "word").groupBy("row").agg(gain.alias("gain"), F.sum("times").alias("seen"))

@@ -51,3 +51,34 @@ def test_words_of_a_batch_are_coded_at_once():
     assert [t.tolist() for t in coded.texts][1:3] == [[lexicon.code("")]] * 2
     nothing = language_model.Lexicon([], np.zeros(0, np.int64), [], np.array([1.0]), settings)
     assert [t.tolist() for t in language_model.Coded(pa.array(["a b"]), nothing).texts] == [[0, 0, 0]]
+
+
+def test_words_held_by_tasks_are_not_joined(docs, monkeypatch):
+    kept, store = [], common.stored
+
+    def stored(frame, name, *rest):
+        out = store(frame, name, *rest)
+        kept.extend([out] if name == "scored" else [])
+        return out
+
+    monkeypatch.setattr(common, "stored", stored)
+    monkeypatch.setattr(language_model, "COMMON", 0.02)
+    table, found, listed = docs([(i, prose(i)) for i in range(60)]), [], []
+    for held in (10_000, 30, 1):
+        monkeypatch.setattr(language_model, "HELD", held)
+        rows = language_model.score_documents(table, remainder(F.col("doc_id"), 7) == 2).orderBy("doc_id").collect()
+        found.append([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows])
+        listed.append({r.word for r in kept[-1].selectExpr("explode(rare.word) AS word").collect()})
+    assert found[0] == found[1] == found[2]
+    assert listed[0] < listed[1] < listed[2]
+    counted = {r.word: r.n for r in language_model.word_counts(table.filter(remainder(F.col("doc_id"), 7) != 2)).collect()}
+    assert not listed[0] & set(counted)  # only words that training never met
+
+
+def test_least_count_that_is_held(spark, monkeypatch):
+    counts = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate([900, 40, 30, 9, 9, 9, 2, 1, 1])], "word string, n long")
+    monkeypatch.setattr(language_model, "COMMON", 0.025)  # a little over 25 of 1001
+    for held, least in [(2, 0.025 * 1001), (3, 0.025 * 1001), (5, 0.025 * 1001), (6, 9), (7, 2), (8, 2), (9, 1), (99, 1)]:
+        monkeypatch.setattr(language_model, "HELD", held)
+        assert language_model.least_held(counts, 1001) == least
+    assert language_model.least_held(counts.limit(0), 0) == 0
