@@ -33,8 +33,11 @@ COMMON, HELD = 1e-6, 200_000
 END = ""
 #: Sum of squares that each parameter's step size starts from.
 START = 1e-5
-#: Training takes neighbouring classes together up to so many words; scoring puts out so many tokens at once.
-TOGETHER, CHUNK = 48, 8192
+#: Training takes neighbouring classes together up to so many words; scoring puts out so many tokens at once; as many
+#: tokens as stay in a core's cache are taken over all classes at once.
+TOGETHER, CHUNK, ROWS = 48, 16_384, 384
+#: So many rows of each input are summed at once with those of the others.
+LAYERS = 6
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ class Settings:
     endings: int = 63  #: classes of other words: this many frequent endings, and the rest
     hidden: int = 24
     window: int = 32  #: tokens after which backpropagation is cut
-    lanes: int = 64
+    lanes: int = 128  #: side by side in scoring; scores do not depend on it
     train_lanes: int = 64
     rounds: int = 3  #: each trains on its part of the training documents; together they use every document once
     rate: float = 0.1
@@ -131,7 +134,7 @@ class Lexicon:
                 groups.append([c, c + 1])
         found = []
         for first, last in groups:
-            own = np.repeat(np.arange(first, last), np.diff(self.bounds[first : last + 1]))[:, None] == np.arange(first, last)
+            own = np.arange(first, last)[:, None] == np.repeat(np.arange(first, last), np.diff(self.bounds[first : last + 1]))
             found.append((first, last, np.where(own, 0, -np.inf).astype(np.float32) if last - first > 1 else None))
         return found
 
@@ -146,8 +149,10 @@ class Lexicon:
 
     def codes(self, words: pa.Array) -> np.ndarray:
         number = pc.index_in(words, value_set=self.words_)
-        ending = pc.fill_null(pc.index_in(pc.utf8_slice_codeunits(words, -2), value_set=self.endings_), len(self.ending))
-        return pc.coalesce(number, pc.add(ending, pa.scalar(self.own, pa.int32()))).to_numpy(zero_copy_only=False).astype(np.int32)
+        found = pc.fill_null(number, -1).to_numpy(zero_copy_only=False).astype(np.int32)
+        ending = pc.index_in(pc.utf8_slice_codeunits(words.filter(pc.is_null(number)), -2), value_set=self.endings_)
+        found[found < 0] = pc.fill_null(ending, len(self.ending)).to_numpy(zero_copy_only=False) + self.own
+        return found
 
 
 class Model:
@@ -196,19 +201,24 @@ def forward(
     """States before each token of a window, and the state after it. ``ids`` and ``fresh`` (a text begins) are time x lanes.
 
     Gates lie one behind another (gate x hidden x lanes), so that each step works on whole stretches of memory. With
-    ``trace`` the gates of all steps are added to it: both sigmoids, the candidate, and its recurrent part.
+    ``trace`` what the steps had is added to it: states, the first sigmoid, twice the second, the candidate, and half its recurrent part.
     """
     steps, (lanes, h) = len(ids), state.shape
     table, recur = weights or halved(model)
-    gates = np.ascontiguousarray(table.take(ids, axis=0).transpose(0, 2, 1))
+    gates = table.take(ids, axis=0).transpose(0, 2, 1)
     states = np.empty((steps + 1, h, lanes), np.float32)
-    owns, candidates = np.empty((steps, 3 * h, lanes), np.float32), np.empty((steps, h, lanes), np.float32)
+    # Without a trace the gates of one step take the place of those before them, which are still in the core's cache.
+    kept_steps = steps if trace is not None else 1
+    owns, candidates = np.empty((kept_steps, 3 * h, lanes), np.float32), np.empty((kept_steps, h, lanes), np.float32)
     states[0] = state.T
     kept, begins = ~fresh, fresh.any(axis=1).tolist()
-    views = zip(states, states[1:], owns, owns[:, : 2 * h], owns[:, :h], owns[:, h : 2 * h], owns[:, 2 * h :], gates[:, : 2 * h], gates[:, 2 * h :], candidates)
+    views = [owns, owns[:, : 2 * h], owns[:, :h], owns[:, h : 2 * h], owns[:, 2 * h :], candidates]
+    if trace is None:
+        views = [[x[0]] * steps for x in views]
     one, half = np.float32(1), np.float32(0.5)
-    for t, (past, after, own, zr, z, r, inner, gate, gate_n, new) in enumerate(views):
-        if begins[t]:
+    steps_ = zip(begins, states, states[1:], gates[:, : 2 * h], gates[:, 2 * h :], *views)
+    for t, (begin, past, after, gate, gate_n, own, zr, z, r, inner, new) in enumerate(steps_):
+        if begin:
             past *= kept[t]
         np.matmul(recur, past, out=own)
         np.add(zr, gate, out=zr)
@@ -222,82 +232,87 @@ def forward(
         np.multiply(after, z, out=after)
         np.add(after, new, out=after)
     if trace is not None:
-        trace.extend([states[:-1], owns[:, :h], owns[:, h : 2 * h] * half, candidates, owns[:, 2 * h :] * np.float32(2)])
+        trace.extend([states[:-1], owns[:, :h], owns[:, h : 2 * h], candidates, owns[:, 2 * h :]])
     return states[:-1].transpose(0, 2, 1), np.ascontiguousarray(states[-1].T)
 
 
-def columns(before: np.ndarray, live: np.ndarray) -> np.ndarray:
-    """States before the live tokens of a window, hidden x tokens."""
-    flat = before.transpose(2, 0, 1).reshape(before.shape[2], -1)
-    return flat if live.all() else flat.take(np.flatnonzero(live), axis=1)
+def lived(values: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """The live tokens of a window one below another."""
+    flat = values.reshape(live.size, *values.shape[2:])
+    return flat if live.all() else flat[live.ravel()]
 
 
-def _bounded(weights: np.ndarray, bias: np.ndarray, axis: int) -> bool:
-    """Whether no sum of a bias and weights times states, which lie between -1 and 1, can be too large for ``exp``."""
-    return bool(bias.size) and float(np.abs(weights).sum(axis=axis).max() + np.abs(bias).max()) < 60
+def _bounded(weights: np.ndarray) -> bool:
+    """Whether no sum of a row's weights times states, which lie between -1 and 1, can be too large for ``exp``."""
+    return bool(weights.size) and float((np.abs(weights) @ np.ones(weights.shape[1], np.float32)).max()) < 60
 
 
-def _picked(x: np.ndarray, target: np.ndarray, slope: bool, bounded: bool) -> np.ndarray:
-    """Logarithm of the target's share in each column's softmax. ``x`` is used up; with ``slope`` it becomes the gradient."""
-    columns = np.arange(x.shape[1])
+def _picked(x: np.ndarray, target: np.ndarray, bounded: bool, logs: np.ndarray | None) -> np.ndarray:
+    """``logs`` gains the logarithm of the target's share in each row's softmax. ``x`` times what comes back becomes the gradient."""
     if not bounded:
-        x -= x.max(axis=0)
-    chosen = x[target, columns]
+        x -= x.max(axis=1)[:, None]
+    flat, at = x.reshape(-1), np.arange(0, x.size, x.shape[1]) + target
+    chosen = flat.take(at) if logs is not None else None
     np.exp(x, out=x)
-    total = x.sum(axis=0)
-    if slope:
-        x *= -1 / total
-        x[target, columns] += 1
-    return chosen - np.log(total)
+    total = x @ np.ones(x.shape[1], np.float32)
+    flat[at] -= total
+    if logs is not None:
+        logs += chosen - np.log(total)
+    return np.divide(-1, total, out=total)[:, None]
 
 
-def outputs(model: Model, lexicon: Lexicon, states: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+def outputs(
+    model: Model, lexicon: Lexicon, states: np.ndarray, ids: np.ndarray, grads: dict | None = None, wanted: bool = True
+) -> tuple[np.ndarray | None, np.ndarray | None]:
     """Natural log-probabilities of tokens given their states, without the count of a word in its class of other words.
 
-    With ``grads`` the gradients are added to it, and the gradient of the states comes back too.
+    With ``grads`` the gradients are added to it, and the gradient of the states comes back too; the log-probabilities
+    are left out unless they are ``wanted``.
     """
     slope = grads is not None
-    target, h = lexicon.class_of[ids], states.shape[1]
-    # Tokens stand in the order of their classes; sums over classes run over whole rows. A state of ones carries the biases.
+    target, h, n = lexicon.class_of[ids], states.shape[1], len(ids)
+    # Tokens stand in the order of their classes, one in each row. A state of one carries the biases.
     order = np.argsort(target, kind="stable")
     target, ids = target[order], ids[order]
-    extended = np.ones((h + 1, len(ids)), np.float32)
-    extended[:h] = states.T.take(order, axis=1)
-    weights, bias = model.p["class_w"], model.p["class_b"]
-    bounded = _bounded(weights, bias, 0)
-    weights = np.concatenate([weights, bias[None]]).T
-    result = np.empty(len(ids))
-    back = np.empty((h, len(ids)), np.float32) if slope else None
-    for a in range(0, len(ids), 2048):  # as many as stay in a core's cache
-        x = weights @ extended[:, a : a + 2048]
-        result[a : a + 2048] = _picked(x, target[a : a + 2048], slope, bounded)
+    extended = np.empty((n, h + 1), np.float32)
+    extended[:, :h] = states.take(order, axis=0)
+    extended[:, h] = 1
+    weights = np.concatenate([model.p["class_w"], model.p["class_b"][None]])
+    bounded, across = _bounded(weights.T), np.ascontiguousarray(weights[:h].T)
+    result = np.zeros(n) if wanted else None
+    back = np.empty((n, h), np.float32) if slope else None
+    for a in range(0, n, ROWS):
+        x = extended[a : a + ROWS] @ weights
+        scale = _picked(x, target[a : a + ROWS], bounded, result[a : a + ROWS] if wanted else None)
         if slope:
-            found = x @ extended[:, a : a + 2048].T
-            grads["class_w"] += found[:, :h].T
-            grads["class_b"] += found[:, h]
-            back[:, a : a + 2048] = weights.T[:h] @ x
+            found = (extended[a : a + ROWS] * scale).T @ x
+            grads["class_w"] += found[:h]
+            grads["class_b"] += found[h]
+            np.multiply(x @ across, scale, out=back[a : a + ROWS])
     cuts = np.searchsorted(target, np.arange(lexicon.classes + 1)).tolist()
-    bounded = _bounded(model.p["word_w"], model.p["word_b"], 1)
     weights = np.concatenate([model.p["word_w"], model.p["word_b"][:, None]], axis=1)
+    bounded, of_words = _bounded(weights), np.zeros(weights.shape if slope else 0, np.float32)
     for first, last, others in lexicon.together if slope else lexicon.alone:
         low, high, a, b = lexicon.bounds[first], lexicon.bounds[last], cuts[first], cuts[last]
         if a == b:
             continue
-        x = weights[low:high] @ extended[:, a:b]
+        x = extended[a:b] @ weights[low:high].T
         if others is not None:
-            x += others[:, target[a:b] - first]
-        result[a:b] += _picked(x, ids[a:b] - low, slope, bounded)
+            x += others.take(target[a:b] - first, axis=0)
+        scale = _picked(x, ids[a:b] - low, bounded, result[a:b] if wanted else None)
         if slope:
-            found = x @ extended[:, a:b].T
-            grads["word_w"][low:high] += found[:, :h]
-            grads["word_b"][low:high] += found[:, h]
-            back[:, a:b] += weights[low:high, :h].T @ x
-    logs = np.empty(len(ids))
-    logs[order] = result
+            x *= scale
+            np.matmul(x.T, extended[a:b], out=of_words[low:high])
+            back[a:b] += x @ model.p["word_w"][low:high]
+    logs = np.empty(n) if wanted else None
+    if wanted:
+        logs[order] = result
     if slope:
-        place = np.empty(len(ids), np.int64)
-        place[order] = np.arange(len(ids))
-        back = back.take(place, axis=1).T
+        grads["word_w"] += of_words[:, :h]
+        grads["word_b"] += of_words[:, h]
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        back = back.take(place, axis=0)
     return logs, back
 
 
@@ -326,8 +341,12 @@ def windows(texts: list[np.ndarray], count: int, settings: Settings) -> Iterator
         stop = min(int(size[0]), start + settings.window)
         active = np.arange(int((size > start).sum()))  # the longest lanes come first
         at = np.arange(start, stop)[:, None]
+        place = first[active] + at
+        if stop <= size[active[-1]]:
+            yield flat.take(place), begins.take(place), owner.take(place), active
+            continue
         live = at < size[active]
-        place = np.where(live, first[active] + at, 0)
+        place = np.where(live, place, 0)
         yield np.where(live, flat[place], 0), live & begins[place], np.where(live, owner[place], -1), active
 
 
@@ -339,14 +358,14 @@ def score(model: Model, lexicon: Lexicon, texts: list[np.ndarray], settings: Set
     weights = halved(model)
 
     def put_out() -> None:
-        states, ids, who = (np.concatenate(x, axis=-1) for x in zip(*held))
+        states, ids, who = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        result[:] += np.bincount(who, outputs(model, lexicon, states.T, ids)[0], len(texts))
+        result[:] += np.bincount(who, outputs(model, lexicon, states, ids)[0], len(texts))
 
     for ids, fresh, who, active in windows(texts, settings.lanes, settings):
         before, state[active] = forward(model, state[active], ids, fresh, weights=weights)
         live = who >= 0
-        held.append((columns(before, live), ids[live], who[live]))
+        held.append((lived(before, live), lived(ids, live), lived(who, live)))
         if sum(len(x[1]) for x in held) >= CHUNK:
             put_out()
     if held:
@@ -354,6 +373,30 @@ def score(model: Model, lexicon: Lexicon, texts: list[np.ndarray], settings: Set
     return result
 
 
+def summed(rows: np.ndarray, order: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of the sorted ``keys``, and for each the sum of its rows, which ``order`` names. Rows are of even width.
+
+    Most keys have few rows: the first rows of all keys are added at once, then the second ones, and only what is left of
+    the frequent keys is summed key by key.
+    """
+    cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    sizes = np.diff(np.append(cuts, len(keys)))
+    by_size = np.argsort(-sizes, kind="stable")
+    cuts, sizes = cuts[by_size], sizes[by_size]
+    total = rows.take(order[cuts], axis=0)
+    for k in range(1, LAYERS):
+        n = int(np.searchsorted(-sizes, -k))  # keys with more than k rows
+        total[:n] += rows.take(order[cuts[:n] + k], axis=0)
+    n = int(np.searchsorted(-sizes, -LAYERS))
+    if n:
+        sizes = sizes[:n] - LAYERS
+        ends = np.cumsum(sizes)
+        left = np.arange(ends[-1]) + np.repeat(cuts[:n] + LAYERS - ends + sizes, sizes)
+        pairs = rows.take(order[left], axis=0).view(np.complex64)  # two numbers at once
+        total[:n] += np.add.reduceat(pairs, ends - sizes, axis=0).view(np.float32)
+    return keys[cuts].astype(np.int64), total
+
+
 class Trainer:
     """Adagrad on one copy of the model; the state is carried between windows, gradients are not."""
 
@@ -372,46 +415,58 @@ class Trainer:
         grads = {k: np.zeros_like(v) for k, v in p.items() if k != "table"}
         trace: list = []
         before, after = forward(self.model, state, ids, fresh, trace)
-        _, back = outputs(self.model, self.lexicon, columns(before, live).T, ids[live], grads)
-        towards = back.T
+        states, used = before.reshape(-1, h), lived(ids, live)
+        _, towards = outputs(self.model, self.lexicon, lived(states.reshape(before.shape), live), used, grads, wanted=False)
         if n < live.size:
-            towards = towards.take(np.maximum(np.cumsum(live) - 1, 0), axis=1) * live.ravel()
-        towards = np.ascontiguousarray(towards.reshape(h, *live.shape).transpose(1, 0, 2))
-        past, z, r, new, own = trace
-        # What does not depend on later steps, for all steps at once: of the gates' arguments, and of their recurrent parts.
-        to_new = (1 - z) * (1 - new * new)
-        parts = np.empty((len(ids), 3, h, len(state)), np.float32)
-        np.multiply((past - new) * z, 1 - z, out=parts[:, 0])
-        np.multiply(to_new, own * r * (1 - r), out=parts[:, 1])
-        np.multiply(to_new, r, out=parts[:, 2])
-        after_ = np.zeros((len(ids) + 1, h, len(state)), np.float32)  # slopes of the state after each step
+            every = np.zeros((live.size, h), np.float32)
+            every[live.ravel()] = towards
+            towards = every
+        towards = np.ascontiguousarray(towards.reshape(*live.shape, h).transpose(0, 2, 1))
+        # Slopes of the candidate's recurrent part (twice them), of both gates' arguments and of the candidate's argument.
+        parts = np.empty((len(ids), 4, h, len(state)), np.float32)
+        one, half = np.float32(1), np.float32(-0.5)
+        for first in range(0, len(ids), 8):  # as many steps as stay in a core's cache
+            past, z, r, new, own = (x[first : first + 8] for x in trace)
+            to_own, to_z, to_r, to_new = (parts[first : first + 8, i] for i in range(4))
+            rest, some = one - z, new * new
+            np.subtract(one, some, out=some)
+            np.multiply(some, rest, out=to_new)
+            np.subtract(past, new, out=some)
+            np.multiply(some, z, out=some)
+            np.multiply(some, rest, out=to_z)
+            np.multiply(r, half, out=some)
+            np.add(some, one, out=some)
+            np.multiply(some, own, out=some)
+            np.multiply(to_new, r, out=rest)
+            np.multiply(rest, some, out=to_r)
+            to_own[:] = rest
         kept, begins = ~fresh, fresh.any(axis=1).tolist()
-        recur, step_ = np.ascontiguousarray(p["recur"]), np.empty((h, len(state)), np.float32)
-        for t in reversed(range(len(ids))):
-            carried, earlier, inner = after_[t + 1], after_[t], parts[t]
-            np.multiply(inner, carried, out=inner)
-            np.matmul(recur, inner.reshape(3 * h, -1), out=step_)
-            np.multiply(carried, z[t], out=earlier)
-            np.add(earlier, step_, out=earlier)
-            np.add(earlier, towards[t], out=earlier)
-            if begins[t]:
-                earlier *= kept[t]
-        inner = parts.reshape(len(ids), 3 * h, -1)
-        # All steps in one call; then the candidate's slopes without the gate of their recurrent part.
-        grads["recur"] += np.matmul(past, inner.transpose(0, 2, 1)).sum(axis=0)
-        np.multiply(to_new, after_[1:], out=parts[:, 2])
-        used = ids[live].astype(np.uint16 if len(p["table"]) <= 1 << 16 else np.int64)
+        recur = np.concatenate([p["recur"][:, 2 * h :] * -half, p["recur"][:, : 2 * h]], axis=1)
+        carried, more = np.zeros((2, h, len(state)), np.float32)  # the first: slopes of the state after each step
+        rows = np.empty((len(ids), len(state), 4 * h), np.float32)
+        steps = zip(parts, parts.reshape(len(ids), 4 * h, -1), rows.transpose(0, 2, 1), trace[1], towards, kept, begins)
+        for part, flat, row, z, toward, keep, begin in reversed(list(steps)):
+            np.multiply(part, carried, out=part)
+            np.matmul(recur, flat[: 3 * h], out=more)
+            np.multiply(carried, z, out=carried)
+            np.add(carried, more, out=carried)
+            np.add(carried, toward, out=carried)
+            row[:] = flat
+            if begin:
+                np.multiply(carried, keep, out=carried)
+        rows = rows.reshape(-1, 4 * h)
+        found = sum(states[i : i + 512].T @ rows[i : i + 512, : 3 * h] for i in range(0, len(rows), 512))
+        grads["recur"][:, : 2 * h] = found[:, h:]
+        np.multiply(found[:, :h], -half, out=grads["recur"][:, 2 * h :])
+        used = used.astype(np.uint16 if len(p["table"]) <= 1 << 16 else np.int64)
         order = np.argsort(used, kind="stable")
-        used = used[order]
-        cuts = np.flatnonzero(np.append(True, used[1:] != used[:-1]))
-        rows = used[cuts].astype(np.int64)
-        sorted_ = inner.transpose(0, 2, 1).reshape(-1, 3 * h).take(np.flatnonzero(live)[order], axis=0)
-        table = np.add.reduceat(sorted_, cuts, axis=0)
+        inputs, table = summed(rows, order if n == live.size else np.flatnonzero(live)[order], used[order])
+        table = table[:, h:]
         for k, g in grads.items():
             p[k] += self._move(g, n, self.squares[k])
-        squares = self.squares["table"][rows]
-        p["table"][rows] += self._move(table, n, squares)
-        self.squares["table"][rows] = squares
+        squares = self.squares["table"][inputs]
+        p["table"][inputs] += self._move(table, n, squares)
+        self.squares["table"][inputs] = squares
         self.tokens += n
         return after
 
@@ -439,6 +494,19 @@ def _opened(shared, settings: Settings) -> tuple[Lexicon, Model]:
     return _HELD[value["name"]]
 
 
+def ended(codes: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> list[np.ndarray]:
+    """The codes of each text, followed by that of its end."""
+    codes = np.insert(codes, offsets[1:], lexicon.code(END))
+    bounds = offsets + np.arange(len(offsets))
+    return [codes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def coded_texts(column: pa.Array, lexicon: Lexicon) -> list[np.ndarray]:
+    """``Coded(column, lexicon).texts``, for training, which needs no dictionary of the batch."""
+    flat, offsets = split_words(column)
+    return ended(lexicon.codes(flat), offsets, lexicon)
+
+
 class Coded:
     """A batch as codes of the lexicon: ``texts`` with their ends, and what the dictionary of the batch says of words."""
 
@@ -448,11 +516,7 @@ class Coded:
         self.dictionary = coded.dictionary
         self.index, self.offsets = coded.indices.to_numpy(), offsets
         self.codes = lexicon.codes(self.dictionary)
-        codes = self.codes[self.index]
-        end = lexicon.code(END)
-        ended = np.insert(codes, offsets[1:], end)  # each text is followed by its end
-        bounds = offsets + np.arange(len(offsets))
-        self.texts = [ended[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        self.texts = ended(self.codes[self.index], offsets, lexicon)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -501,7 +565,7 @@ def train(docs: DataFrame, base: dict, settings: Settings, tokens: int) -> dict:
             key = 0
             for part in grouped(batches, 0, settings.group):
                 key = part.column(1)[0].as_py() >> 33 & 63  # the upper bits of a row number are its partition
-                trainer.fit(Coded(part.column(0), lexicon).texts)
+                trainer.fit(coded_texts(part.column(0), lexicon))
             if trainer.tokens:
                 flat = trainer.model.flat()
                 cuts = range(0, len(flat), block)
@@ -556,11 +620,11 @@ def score_documents(docs: DataFrame, held_out: Column, settings: Settings = Sett
             coded = Coded(part.column(3), lexicon)
             logs = score(model, lexicon, coded.texts, settings) / math.log(10)
             # What each word of the batch adds to the base score and, for other words, to the model's.
-            known = lexicon.counts(coded.dictionary)
+            known = lexicon.counts(pa.concat_arrays([coded.dictionary, pa.array([END], pa.large_string())]))
+            known, end = known[:-1], int(known[-1])
             word_log = np.where(known >= 0, np.log10(np.maximum(known, 0) + 1.0), 0.0)
             base_log = word_log - unit
             more = np.where(coded.codes < lexicon.own, 0.0, word_log - class_log[coded.codes])
-            end = int(lexicon.counts(pa.array([END], pa.large_string()))[0])
             end_code = lexicon.code(END)
             end_log = math.log10(end + 1) if end >= 0 else 0.0
             sums = lambda values: np.append(0, np.cumsum(values[coded.index]))

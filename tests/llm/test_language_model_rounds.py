@@ -53,6 +53,18 @@ def test_words_of_a_batch_are_coded_at_once():
     assert [t.tolist() for t in language_model.Coded(pa.array(["a b"]), nothing).texts] == [[0, 0, 0]]
 
 
+def test_training_codes_texts_as_scoring_does():
+    settings = language_model.Settings(words=3, word_classes=2, endings=2)
+    lexicon = language_model.Lexicon(["the", "", "é"], np.array([9, 5, 4]), ["ly", "é"], np.array([3.0, 2.0, 1.0]), settings)
+    nothing = language_model.Lexicon([], np.zeros(0, np.int64), [], np.array([1.0]), settings)
+    for texts in (["The badly é zé\tly y", None, "", "aé \U0001f600\U0001f600 the"], [None], ["the the"], []):
+        for lex in (lexicon, nothing):
+            column = pa.array(texts, pa.string())
+            found, coded = language_model.coded_texts(column, lex), language_model.Coded(column, lex)
+            assert [x.tolist() for x in found] == [x.tolist() for x in coded.texts]
+            assert [x[:-1].tolist() for x in found] == [[lex.code(w.decode()) for w in common.words_of(t)] for t in texts]
+
+
 def test_words_held_by_tasks_are_not_joined(docs, monkeypatch):
     kept, store = [], common.stored
 
@@ -82,3 +94,32 @@ def test_least_count_that_is_held(spark, monkeypatch):
         monkeypatch.setattr(language_model, "HELD", held)
         assert language_model.least_held(counts, 1001) == least
     assert language_model.least_held(counts.limit(0), 0) == 0
+
+
+def test_rows_of_each_input_are_summed_in_layers():
+    rng = np.random.default_rng(1)
+    keys = np.sort(np.concatenate([[0] * 40, [7] * 6, [8] * 7, rng.integers(0, 30, 50), [99]]).astype(np.uint16))
+    rows, order = rng.normal(0, 1, (200, 6)).astype(np.float32), rng.permutation(200)[: len(keys)]
+    found, sums = language_model.summed(rows, order, keys)
+    assert sorted(found.tolist()) == sorted(set(keys.tolist()))
+    assert all(np.allclose(s, rows[order[keys == k]].sum(axis=0), atol=1e-4) for k, s in zip(found, sums))
+
+
+def test_training_leaves_logarithms_out_and_scoring_keeps_one_step(monkeypatch):
+    rng, settings = np.random.default_rng(2), language_model.Settings(words=40, word_classes=8, endings=2, hidden=6, window=8, lanes=4, train_lanes=4)
+    lexicon = language_model.Lexicon([f"w{i}" for i in range(40)], np.arange(90, 50, -1), ["w9", "zz"], np.array([9.0, 8.0, 5.0]), settings)
+    model = language_model.Model(lexicon, settings, seed=4)
+    ids, states = rng.integers(0, 43, 500), rng.normal(0, 0.5, (500, 6)).astype(np.float32)
+    found = []
+    for rows, wanted in ((500, True), (64, False)):
+        monkeypatch.setattr(language_model, "ROWS", rows)
+        grads = {k: np.zeros_like(v) for k, v in model.p.items()}
+        logs, back = language_model.outputs(model, lexicon, states, ids, grads, wanted)
+        found.append([back, grads["word_w"], grads["class_w"], grads["class_b"]])
+        assert (logs is not None) == wanted
+    assert all(np.allclose(a, b, atol=2e-3) for a, b in zip(*found))
+    window, fresh = ids[:32].reshape(8, 4), rng.random((8, 4)) < 0.2
+    start, trace = rng.normal(0, 0.5, (4, 6)).astype(np.float32), []
+    plain, traced = language_model.forward(model, start, window, fresh), language_model.forward(model, start, window, fresh, trace)
+    assert all(np.array_equal(a, b) for a, b in zip(plain, traced))
+    assert len({x.__array_interface__["data"][0] for x in trace}) == 5 and len(trace[0]) == len(trace[3]) == 8
